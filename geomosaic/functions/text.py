@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _FIELD = re.compile(r"\{\{\s*(\w+)\s*\}\}")
@@ -38,15 +38,21 @@ def default_template(name: Column, folder: str) -> Column:
     return F.when(name == "None", name).otherwise(F.concat(F.lit(f"{folder}/"), name))
 
 
-def rewrite_window(doc: Column, schema: str, end_ms: Column, start_ms: Column, extent_ms: Column) -> Column:
-    """Set the four time members of a window document, and leave the rest as it is."""
-    base = "widgets.timeSlider.properties"
-    parsed = F.from_json(doc, schema)
-    for member, value in (
-        ("endTime", end_ms),
-        ("startTime", start_ms),
-        ("currentTimeExtent", F.array(extent_ms, end_ms)),
-        ("timeStopInterval", F.struct(F.lit(1).alias("interval"), F.lit("esriTimeUnitsDays").alias("units"))),
-    ):
-        parsed = parsed.withField(f"{base}.{member}", value)
-    return F.to_json(parsed)
+def rewrite_window(df: DataFrame, doc: str, schema: str, end_ms: Column, start_ms: Column, extent_ms: Column) -> DataFrame:
+    """Set the four time members of a window document, and leave the rest as it is.
+
+    The document is parsed and written once per row; ``schema`` says what it may hold.
+    """
+    parsed = df.withColumn("_doc", F.from_json(doc, schema))
+    properties = (
+        F.col("_doc.widgets.timeSlider.properties")
+        .withField("endTime", end_ms)
+        .withField("startTime", start_ms)
+        .withField("currentTimeExtent", F.array(extent_ms, end_ms))
+        .withField(
+            "timeStopInterval",
+            F.struct(F.lit(1).alias("interval"), F.lit("esriTimeUnitsDays").alias("units")),
+        )
+    )
+    new = F.col("_doc").withField("widgets.timeSlider.properties", properties)
+    return parsed.withColumn(doc, F.to_json(new)).drop("_doc")

@@ -21,13 +21,14 @@ SEASON_ROWS = """
 
 # Family, largest source pixel size, smallest overview pixel size,
 # overview cell size, items per mosaic.
-FAMILY_ROWS = """
-    ('RTC', 1610.0D, 1600.0D, 1200.0D, 50),
-    ('OPERA', 460.0D, 450.0D, 450.0D, 75),
-    ('COH', 910.0D, 900.0D, 900.0D, 50),
-    ('SAMPLE', 810.0D, 800.0D, 800.0D, 50),
-    ('HAND', 610.0D, 600.0D, 600.0D, 50)
-"""
+FAMILIES = (
+    ("RTC", 1610.0, 1600.0, 1200.0, 50),
+    ("OPERA", 460.0, 450.0, 450.0, 75),
+    ("COH", 910.0, 900.0, 900.0, 50),
+    ("SAMPLE", 810.0, 800.0, 800.0, 50),
+    ("HAND", 610.0, 600.0, 600.0, 50),
+)
+FAMILY_COLUMNS = ("family", "source_max_ps", "overview_min_ps", "overview_cell", "mosaic_cap")
 
 
 def seasons(spark: SparkSession) -> DataFrame:
@@ -39,11 +40,16 @@ def seasons(spark: SparkSession) -> DataFrame:
     )
 
 
+def family_rows() -> Column:
+    """The family constants as an array of five structs."""
+    return F.array(
+        *[F.struct(*[F.lit(v).alias(n) for n, v in zip(FAMILY_COLUMNS, row, strict=True)]) for row in FAMILIES]
+    )
+
+
 def families(spark: SparkSession) -> DataFrame:
     """The family dimension: five rows."""
-    return spark.sql(
-        "SELECT * FROM VALUES " + FAMILY_ROWS + " AS t(family, source_max_ps, overview_min_ps, overview_cell, mosaic_cap)"
-    )
+    return spark.range(1).select(F.inline(family_rows()))
 
 
 def new_paths(listing: DataFrame, catalog: DataFrame, path: str = "path") -> DataFrame:

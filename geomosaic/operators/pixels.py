@@ -34,12 +34,11 @@ def value_at(x: Column, y: Column) -> Column:
     return F.when(inside, F.get("values", (row * F.col("n_cols") + col).cast("int")))
 
 
-def resample_nearest(blocks: DataFrame, keys: Sequence[str], cell: float, top: float) -> DataFrame:
-    """Nearest-neighbour regrid to cells of ``cell`` metres, counted from (0, ``top``).
+def resample_nearest(blocks: DataFrame, keys: Sequence[str], size: Column, top: float) -> DataFrame:
+    """Nearest-neighbour regrid to cells of ``size`` metres, counted from (0, ``top``).
 
     Explodes the output cells whose centre lies in the block, never the source pixels.
     """
-    size = F.lit(cell)
     x_max = F.col("x_min") + F.col("n_cols") * F.col("cell")
     y_min = F.col("y_max") - F.col("n_rows") * F.col("cell")
     # centres: x_min <= (c + 1/2) * cell < x_max, and top - (r + 1/2) * cell in (y_min, y_max]

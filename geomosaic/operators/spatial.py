@@ -39,20 +39,28 @@ def native_level(box: Box, base: float) -> Column:
     return F.when(size <= base, F.lit(0)).otherwise(F.least(steps, F.lit(MAX_LEVEL))).cast("int")
 
 
-def _levels(df: DataFrame, level: str) -> list[int]:
-    """The distinct native levels of a side: at most ``MAX_LEVEL + 1`` integers."""
-    return sorted(row[0] for row in df.select(level).distinct().collect() if row[0] is not None)
+def _levels(left: DataFrame, right: DataFrame) -> tuple[dict[int, int], dict[int, int]]:
+    """Row counts per native level of both sides: at most ``MAX_LEVEL + 1`` entries each."""
+    found = (
+        left.select(F.lit("l").alias("side"), F.col("_l_own").alias("level"))
+        .unionByName(right.select(F.lit("r").alias("side"), F.col("_r_own").alias("level")))
+        .groupBy("side", "level")
+        .count()
+        .collect()
+    )
+    return tuple({row["level"]: row["count"] for row in found if row["side"] == side} for side in "lr")
 
 
-def _place(df: DataFrame, box: Box, level: str, probes: list[int], base: float, side: str) -> DataFrame:
-    """One row per cell a box touches, at each probed level not finer than its own."""
+def _place(df: DataFrame, box: Box, own: str, partner_levels: list[int], base: float) -> DataFrame:
+    """One row per cell that a box touches, at its own level and at each coarser one of the partners."""
     x0, y0, x1, y1 = box.columns()
-    wanted = F.filter(F.array(*[F.lit(p) for p in probes]), lambda p: p >= F.col(level))
-    out = df.withColumn("_level", F.explode(wanted))
+    coarser = F.filter(
+        F.array(*[F.lit(p) for p in partner_levels]).cast("array<int>"), lambda p: p > F.col(own)
+    )
+    out = df.withColumn("_level", F.explode(F.concat(F.array(own), coarser)))
     cell = F.lit(base) * F.pow(F.lit(2.0), F.col("_level"))
-    out = out.withColumn(f"_{side}_cx", F.explode(F.sequence(F.floor(x0 / cell), F.floor(x1 / cell))))
-    out = out.withColumn(f"_{side}_cy", F.explode(F.sequence(F.floor(y0 / cell), F.floor(y1 / cell))))
-    return out.withColumnRenamed(f"_{side}_cx", "_cx").withColumnRenamed(f"_{side}_cy", "_cy")
+    out = out.withColumn("_cx", F.explode(F.sequence(F.floor(x0 / cell), F.floor(x1 / cell))))
+    return out.withColumn("_cy", F.explode(F.sequence(F.floor(y0 / cell), F.floor(y1 / cell))))
 
 
 _CELL = ["_level", "_cx", "_cy"]
@@ -116,13 +124,16 @@ def join_boxes(
         raise ValueError("base must be a positive cell size")
     left = _known(left, left_box).withColumn("_l_own", native_level(left_box, base))
     right = _known(right, right_box).withColumn("_r_own", native_level(right_box, base))
-    l_levels, r_levels = _levels(left, "_l_own"), _levels(right, "_r_own")
-    probes = sorted(set(l_levels) | set(r_levels)) or [0]
-    l_cells = _place(left, left_box, "_l_own", probes, base, "l")
-    r_cells = _place(right, right_box, "_r_own", probes, base, "r")
-    hot = hot_cells(l_cells, r_cells, hot_rows)
-    l_cells = _slice(l_cells, left.columns, hot, "_nl", "_nr", "_sl", "_sr")
-    r_cells = _slice(r_cells, right.columns, hot, "_nr", "_nl", "_sr", "_sl")
+    l_levels, r_levels = _levels(left, right)
+    l_cells = _place(left, left_box, "_l_own", sorted(r_levels), base)
+    r_cells = _place(right, right_box, "_r_own", sorted(l_levels), base)
+    keys = list(_CELL)
+    # a row is in a cell once, so a side with no more rows than this has no hot cell
+    if max(sum(l_levels.values()), sum(r_levels.values())) > hot_rows:
+        hot = hot_cells(l_cells, r_cells, hot_rows)
+        l_cells = _slice(l_cells, left.columns, hot, "_nl", "_nr", "_sl", "_sr")
+        r_cells = _slice(r_cells, right.columns, hot, "_nr", "_nl", "_sr", "_sl")
+        keys += ["_sl", "_sr"]
     lx0, ly0, lx1, ly1 = left_box.columns()
     rx0, ry0, rx1, ry1 = right_box.columns()
     cell = F.lit(base) * F.pow(F.lit(2.0), F.col("_level"))
@@ -136,9 +147,9 @@ def join_boxes(
         & (F.floor(F.greatest(ly0, ry0) / cell) == F.col("_cy"))
     )
     return (
-        l_cells.join(r_cells, [*_CELL, "_sl", "_sr"])
+        l_cells.join(r_cells, keys)
         .where(meets & overlap)
-        .drop(*_CELL, "_sl", "_sr", "_l_own", "_r_own")
+        .drop(*keys, "_l_own", "_r_own")
     )
 
 

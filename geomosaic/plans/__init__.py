@@ -8,6 +8,7 @@ from geomosaic.plans import (  # noqa: F401
     ordering,
     projecting,
     rastering,
+    refreshing,
     scanning,
     sinking,
     streams,

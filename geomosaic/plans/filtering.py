@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from geomosaic.functions import dates, names, scales
-from geomosaic.operators import catalog, pixels
+from geomosaic.operators import bounded, catalog, pixels
 from geomosaic.plans import views
 from geomosaic.plans.registry import query
 
@@ -52,7 +52,7 @@ def upd_overview(spark, sf_dir):
         F.min("tag").alias("o_tag"),
     )
     # one row per dataset
-    rows = fresh_items(spark, sf_dir).join(found, "dataset").withColumn("group_name", F.lit(None).cast("string"))
+    rows = bounded.join_measured(fresh_items(spark, sf_dir), found, ["dataset"]).withColumn("group_name", F.lit(None).cast("string"))
     done = catalog.calculate_fields(
         rows,
         {
@@ -134,7 +134,7 @@ def flt_valid_range(spark, sf_dir):
     v = F.col("v")
     return cells.select(
         "vec_id",
-        (F.col("row") * 8 + F.col("col")).alias("k"),
+        (F.col("row") * 8 + F.col("col")).cast("int").alias("k"),
         scales.valid(v).alias("v_valid"),
         scales.valid(v, high=scales.HAND_VALID_HIGH).alias("v_unit"),
     )

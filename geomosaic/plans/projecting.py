@@ -70,7 +70,7 @@ def prj_pixel_type(spark, sf_dir):
     )
 
 
-@query("prj_epsg", "select event_id, cast(epsg as varchar) as srs, null as no_srs from headers")
+@query("prj_epsg", "select event_id, cast(epsg as varchar) as srs, null::varchar as no_srs from headers")
 def prj_epsg(spark, sf_dir):
     wkt = F.get_json_object("doc", "$.coordinateSystem.wkt")
     return views.header_docs(spark, sf_dir).select(
@@ -157,7 +157,7 @@ def prj_download_url(spark, sf_dir):
 @query(
     "prj_dates",
     """select event_id, strftime(start_date, '%m/%d/%Y %H:%M:%S') as acquired, start_date, start_date as end_date,
-         null as no_date from granules""",
+         null::varchar as no_date from granules""",
 )
 def prj_dates(spark, sf_dir):
     acquired = names.catalog_text(F.col("start_date"))
@@ -326,7 +326,8 @@ def prj_json_window(spark, sf_dir):
     )
     when = F.col("start_date")
     new = text.rewrite_window(
-        F.col("doc"),
+        docs,
+        "doc",
         WINDOW_SCHEMA,
         dates.epoch_ms(dates.range_end(when)),
         dates.epoch_ms(dates.range_start(when)),
@@ -334,10 +335,10 @@ def prj_json_window(spark, sf_dir):
     )
 
     def member(path, kind):
-        return F.get_json_object("new", path).cast(kind)
+        return F.get_json_object("doc", path).cast(kind)
 
     base = "$.widgets.timeSlider.properties"
-    return docs.select("event_id", new.alias("new")).select(
+    return new.select(
         "event_id",
         member("$.title", "string").alias("title"),
         member(f"{base}.thumbCount", "int").alias("thumbs"),

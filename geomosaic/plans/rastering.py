@@ -109,27 +109,33 @@ where col between 0 and 7 and row between 0 and 7"""
 
 @query("px_resample_nearest", RESAMPLE_SQL.format(cell="800.0::double"))
 def px_resample_nearest(spark, sf_dir):
-    return pixels.resample_nearest(views.tiles(spark, sf_dir), ["vec_id"], 800.0, views.TOP)
+    return pixels.resample_nearest(views.tiles(spark, sf_dir), ["vec_id"], F.lit(800.0), views.TOP)
 
 
 @query(
     "px_overview",
-    f"""select out_col, out_row, arg_min(v, struct_pack(a := abs(epoch_us(start_date) - epoch_us(timestamp '2050-01-01')), b := name)) as v
-       from ({RESAMPLE_SQL.format(cell="1200.0::double")}) r join (select vec_id, name, start_date from tiles) t using (vec_id)
-       where v between 0 and 4294967295 group by out_col, out_row""",
+    " union all ".join(
+        f"""select '{family}' as family, out_col, out_row, arg_min(v,
+              struct_pack(a := abs(epoch_us(start_date) - epoch_us(timestamp '2050-01-01')), b := name)) as v
+            from ({RESAMPLE_SQL.format(cell=f"{cell}.0::double")}) r join (select vec_id, name, start_date from tiles) t
+            using (vec_id) where v between 0 and 4294967295 group by out_col, out_row"""
+        for family, cell in (("RTC", 1200), ("OPERA", 450), ("COH", 900), ("SAMPLE", 800), ("HAND", 600))
+    ),
 )
 def px_overview(spark, sf_dir):
-    return overview_cells(spark, sf_dir, 1200.0)
+    """The whole mosaic at the overview cell of each family, in one pass over the blocks.
 
-
-def overview_cells(spark, sf_dir, cell):
-    """The whole mosaic at a coarse cell size: only the cells that are kept are ever exploded."""
+    Only output cells are exploded; the pixels between their centres never become rows.
+    """
     placed = join_measured(
         views.tiles(spark, sf_dir).drop("name", "start_date"), mosaicking.ranked_items(spark, sf_dir), ["vec_id"]
     )
-    coarse = pixels.resample_nearest(placed, ["mosaic_rank"], cell, views.TOP)
+    gridded = placed.select("*", F.inline(catalog.family_rows()))
+    coarse = pixels.resample_nearest(
+        gridded, ["family", "mosaic_rank"], F.col("overview_cell"), views.TOP
+    )
     kept = coarse.withColumn("v", scales.valid(F.col("v")))
-    return mosaic.first_merge(kept, ["out_col", "out_row"]).select("out_col", "out_row", "v")
+    return mosaic.first_merge(kept, ["family", "out_col", "out_row"]).select("family", "out_col", "out_row", "v")
 
 
 PROJECT_SQL = """

@@ -41,4 +41,9 @@ def oracle_text(body: str) -> str:
 
     visit(body)
     heads = [f"{v} AS ({views_sql.VIEWS[v].strip()})" for v in views_sql.VIEWS if v in wanted]
-    return ("WITH " + ",\n".join(heads) + "\n" if heads else "") + body.strip()
+    text = body.strip()
+    if not heads:
+        return text
+    # a statement with views of its own goes on with the list
+    own = re.match(r"with\s+", text, re.IGNORECASE)
+    return "WITH " + ",\n".join(heads) + (",\n" + text[own.end() :] if own else "\n" + text)

@@ -12,7 +12,7 @@ from geomosaic.streaming import ingest
 
 def scene_stream(spark, sf_dir):
     schema = views.table(spark, sf_dir, "events").schema
-    return views.granules_of(ingest.landed_stream(spark, f"{sf_dir}/events.parquet", schema))
+    return views.granules_of(ingest.landed_stream(spark, f"{sf_dir}/events.parquet*", schema))
 
 
 @query("st_ingest", "select path, 1::bigint as n from headers")

@@ -87,15 +87,17 @@ def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return headers_of(granules(spark, sf_dir))
 
 
-def header_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Header documents as JSON text, one per path."""
+def header_docs_of(scenes: DataFrame, name: str) -> DataFrame:
+    """Header documents as JSON text, for scenes whose rasters are named by ``name``."""
+    kept = headers_of(scenes.withColumn("raster_name", F.col(name)), "event_type", "raster_name")
+    path = F.concat(F.lit(f"/vsis3/{BUCKET}/"), "raster_name", F.lit(".tif"))
     wkt = F.concat(
         F.lit('PROJCS["f",GEOGCS["g",AUTHORITY["EPSG","4326"]],AUTHORITY["EPSG","'),
         F.col("epsg").cast("string"),
         F.lit('"]]'),
     )
     doc = F.struct(
-        F.col("path").alias("description"),
+        path.alias("description"),
         F.struct(F.array("x_min", "y_min").alias("lowerLeft"), F.array("x_max", "y_max").alias("upperRight")).alias(
             "cornerCoordinates"
         ),
@@ -103,8 +105,11 @@ def header_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.struct(F.col("band_type").alias("type"))).alias("bands"),
         F.struct(wkt.alias("wkt")).alias("coordinateSystem"),
     )
-    kept = headers_of(granules(spark, sf_dir), "event_type")
-    return kept.select("event_id", "event_type", "path", F.to_json(doc).alias("doc"))
+    return kept.select("event_id", "event_type", path.alias("path"), F.to_json(doc).alias("doc"))
+
+
+def header_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return header_docs_of(granules(spark, sf_dir), "opera_name")
 
 
 def catalog_old(spark: SparkSession, sf_dir: str) -> DataFrame:

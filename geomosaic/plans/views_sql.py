@@ -127,9 +127,9 @@ from embeddings e left join granules g on g.event_id = e.vec_id
 """
 
 VIEWS["pixels"] = """
-select vec_id, label, name, start_date, k, cast(v as double) as v, (vec_id%10)*4 + k%8 as gx, label*4 + k//8 as gy
+select vec_id, label, name, start_date, k, cast(v as double) as v, (vec_id%10)*4 + k%8 as gx, cast(label*4 + k//8 as bigint) as gy
 from (select vec_id, label, name, start_date, unnest(embedding) as v,
-        generate_subscripts(embedding,1)-1 as k from tiles)
+        cast(generate_subscripts(embedding,1)-1 as int) as k from tiles)
 """
 
 VIEWS["tile_views"] = """
