@@ -5,9 +5,9 @@ UTM uses the published Krueger series in the third flattening, to its fourth ord
 
 from __future__ import annotations
 
-import math
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The WGS84 ellipsoid and the UTM grid.
@@ -45,36 +45,97 @@ def mercator_y(latitude: Column) -> Column:
     return F.asinh(F.tan(latitude)) * F.lit(SEMI_MAJOR)
 
 
-def utm_to_geographic(easting: Column, northing: Column, zone: Column, south: Column) -> tuple[Column, Column]:
-    """UTM metres to (longitude, latitude) in radians."""
-    offset = F.when(south, F.lit(FALSE_NORTHING_SOUTH)).otherwise(F.lit(0.0))
-    xi = (northing - offset) / F.lit(SCALE * _RECTIFYING)
-    eta = (easting - F.lit(FALSE_EASTING)) / F.lit(SCALE * _RECTIFYING)
-    xi_sphere, eta_sphere = xi, eta
-    for j, beta in enumerate(_TO_SPHERE, start=1):
-        k = F.lit(2.0 * j)
-        xi_sphere = xi_sphere - F.lit(beta) * F.sin(k * xi) * F.cosh(k * eta)
-        eta_sphere = eta_sphere - F.lit(beta) * F.cos(k * xi) * F.sinh(k * eta)
-    conformal = F.asin(F.sin(xi_sphere) / F.cosh(eta_sphere))
-    latitude = conformal
-    for j, delta in enumerate(_TO_GEODETIC, start=1):
-        latitude = latitude + F.lit(delta) * F.sin(F.lit(2.0 * j) * conformal)
-    meridian = F.radians(zone * F.lit(6.0) - F.lit(183.0))
-    return meridian + F.atan2(F.sinh(eta_sphere), F.cos(xi_sphere)), latitude
-
-
-def to_mercator(epsg: Column, x: Column, y: Column) -> tuple[Column, Column]:
-    """A point of a supported EPSG code to web mercator; null for any other code."""
-    zone, south = epsg % F.lit(100), F.floor(epsg / F.lit(100)) == 327
-    is_utm = F.floor(epsg / F.lit(100)).isin(326, 327) & zone.between(1, 60)
-    lon, lat = utm_to_geographic(x, y, zone.cast("double"), south)
-    out_x = (
-        F.when(epsg == 3857, x).when(epsg == 4326, mercator_x(F.radians(x))).when(is_utm, mercator_x(lon))
-    )
-    out_y = (
-        F.when(epsg == 3857, y).when(epsg == 4326, mercator_y(F.radians(y))).when(is_utm, mercator_y(lat))
-    )
-    return out_x, out_y
-
-
-MAX_MERCATOR_LATITUDE = math.degrees(2 * math.atan(math.exp(math.pi)) - math.pi / 2)
+def to_mercator(df: DataFrame, epsg: str, xs: Mapping[str, Column], ys: Mapping[str, Column]) -> DataFrame:
+    """Web mercator positions ``mx_{a}{b}`` and ``my_{a}{b}`` of every x ``a`` with every y ``b``.
+
+    Geographic, web mercator and UTM codes are known; any other code gives nulls. Each
+    step is a column of its own and never null inside (NaN stands for it), and what
+    depends on one axis is worked out once per axis: this keeps the generated code small
+    enough for the JVM to compile.
+    """
+    code, nan, two = F.col(epsg), F.lit(float("nan")), F.lit(2.0)
+    grid = F.floor(code / F.lit(100))
+    is_utm = F.coalesce(grid.isin(326, 327) & (code % F.lit(100)).between(1, 60), F.lit(False))
+    to_rectified = F.lit(1.0 / (SCALE * _RECTIFYING))
+    pairs = [(a, b) for a in xs for b in ys]
+
+    steps: list[dict[str, Column]] = [
+        {f"_x_{a}": F.coalesce(x.cast("double"), nan) for a, x in xs.items()}
+        | {f"_y_{b}": F.coalesce(y.cast("double"), nan) for b, y in ys.items()}
+        | {
+            "_utm": is_utm,
+            "_south": F.when(grid == 327, F.lit(FALSE_NORTHING_SOUTH)).otherwise(F.lit(0.0)),
+            "_meridian": F.coalesce(
+                F.radians((code % F.lit(100)).cast("double") * F.lit(6.0) - F.lit(183.0)), nan
+            ),
+        },
+        {
+            f"_eta_{a}": F.when(F.col("_utm"), (F.col(f"_x_{a}") - F.lit(FALSE_EASTING)) * to_rectified).otherwise(nan)
+            for a in xs
+        }
+        | {
+            f"_xi_{b}": F.when(F.col("_utm"), (F.col(f"_y_{b}") - F.col("_south")) * to_rectified).otherwise(nan)
+            for b in ys
+        },
+        {f"_sh1_{a}": F.sinh(two * F.col(f"_eta_{a}")) for a in xs}
+        | {f"_ch1_{a}": F.cosh(two * F.col(f"_eta_{a}")) for a in xs}
+        | {f"_s1_{b}": F.sin(two * F.col(f"_xi_{b}")) for b in ys}
+        | {f"_c1_{b}": F.cos(two * F.col(f"_xi_{b}")) for b in ys},
+    ]
+    for high, low, rest in ((2, 1, 1), (3, 2, 1), (4, 2, 2)):
+        steps.append(
+            {name: c for a in xs for name, c in _add("_sh", "_ch", a, high, low, rest, 1.0)}
+            | {name: c for b in ys for name, c in _add("_s", "_c", b, high, low, rest, -1.0)}
+        )
+    steps += [
+        {f"_sx_{a}{b}": _sum(f"_xi_{b}", _TO_SPHERE, f"_s{{}}_{b}", f"_ch{{}}_{a}") for a, b in pairs}
+        | {f"_se_{a}{b}": _sum(f"_eta_{a}", _TO_SPHERE, f"_c{{}}_{b}", f"_sh{{}}_{a}") for a, b in pairs},
+        {f"_chi_{a}{b}": F.asin(F.sin(f"_sx_{a}{b}") / F.cosh(f"_se_{a}{b}")) for a, b in pairs}
+        | {
+            f"_lon_{a}{b}": F.when(code == 4326, F.radians(f"_x_{a}")).otherwise(
+                F.col("_meridian") + F.atan2(F.sinh(f"_se_{a}{b}"), F.cos(f"_sx_{a}{b}"))
+            )
+            for a, b in pairs
+        },
+        {f"_s1_{a}{b}": F.sin(two * F.col(f"_chi_{a}{b}")) for a, b in pairs}
+        | {f"_c1_{a}{b}": F.cos(two * F.col(f"_chi_{a}{b}")) for a, b in pairs},
+    ]
+    for high, low, rest in ((2, 1, 1), (3, 2, 1), (4, 2, 2)):
+        steps.append({name: c for a, b in pairs for name, c in _add("_s", "_c", a + b, high, low, rest, -1.0)})
+    steps += [
+        {
+            f"_lat_{a}{b}": F.when(code == 4326, F.radians(f"_y_{b}")).otherwise(
+                _sum(f"_chi_{a}{b}", [-d for d in _TO_GEODETIC], f"_s{{}}_{a}{b}")
+            )
+            for a, b in pairs
+        },
+        {f"mx_{a}{b}": F.when(code == 3857, F.col(f"_x_{a}")).otherwise(mercator_x(F.col(f"_lon_{a}{b}"))) for a, b in pairs}
+        | {f"my_{a}{b}": F.when(code == 3857, F.col(f"_y_{b}")).otherwise(mercator_y(F.col(f"_lat_{a}{b}"))) for a, b in pairs},
+        {f"{m}_{a}{b}": F.nullif(f"{m}_{a}{b}", nan) for a, b in pairs for m in ("mx", "my")},
+    ]
+    out = df
+    for step in steps:
+        out = out.withColumns(step)
+    added = {name for step in steps for name in step if name.startswith("_")}
+    return out.drop(*added)
+
+
+def _add(sine: str, cosine: str, label: str, high: int, low: int, rest: int, sign: float) -> list[tuple[str, Column]]:
+    """Sine and cosine of ``high = low + rest`` times an angle; ``sign`` is 1 for the hyperbolic ones."""
+    s, c = F.col(f"{sine}{low}_{label}"), F.col(f"{cosine}{low}_{label}")
+    s_rest, c_rest = F.col(f"{sine}{rest}_{label}"), F.col(f"{cosine}{rest}_{label}")
+    return [
+        (f"{sine}{high}_{label}", s * c_rest + c * s_rest),
+        (f"{cosine}{high}_{label}", c * c_rest + F.lit(sign) * s * s_rest),
+    ]
+
+
+def _sum(start: str, weights: Sequence[float], *terms: str) -> Column:
+    """A start column less the weighted products of its numbered terms."""
+    out = F.col(start)
+    for j, weight in enumerate(weights, start=1):
+        product = F.lit(weight)
+        for term in terms:
+            product = product * F.col(term.format(j))
+        out = out - product
+    return out

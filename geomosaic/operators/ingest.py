@@ -11,7 +11,7 @@ from geomosaic.functions import headers as H
 from geomosaic.functions import names
 from geomosaic.operators import aggregates, catalog
 from geomosaic.operators.bounded import fits_broadcast
-from geomosaic.session import reliable_checkpoint
+from geomosaic.session import reliable_checkpoint, staged
 
 ZOOM_TILE = "Zoom in further to see specific tile information"
 ZOOM_URL = "Zoom in further to access download link"
@@ -28,11 +28,16 @@ def read_new(listing: DataFrame, headers: DataFrame, held: DataFrame, bucket_roo
     """
     paths = reliable_checkpoint(catalog.new_paths(listing, held))
     wanted = F.broadcast(paths) if fits_broadcast(paths) else paths
-    of_new = headers.join(wanted, "path", "left_semi").groupBy("path").agg(F.min("header").alias("header"))
-    fresh = catalog.with_headers(paths, of_new)
     flat = H.flatten(F.col("header"))
     flat.pop("raster")
-    rows = fresh.withColumns({"name": names.stem(F.col("path")), **flat})
+    # cut down to the catalog columns before the shuffle: a document is far larger
+    slim = headers.join(wanted, "path", "left_semi").select(
+        "path", F.struct(*[c.alias(n) for n, c in flat.items()]).alias("core")
+    )
+    of_new = slim.groupBy("path").agg(F.min("core").alias("core"))
+    rows = catalog.with_headers(paths, of_new).select(
+        "path", "has_header", names.stem(F.col("path")).alias("name"), "core.*"
+    )
     reason = (
         F.when(~F.col("path").startswith(bucket_root), F.lit("bucket"))
         .when(~F.col("has_header"), F.lit("header"))
@@ -112,7 +117,11 @@ def overview_values(family: str) -> dict[str, Column]:
 
 
 def add_overviews(sources: DataFrame, family: str, name: Column) -> DataFrame:
-    """Source items plus one finished overview record per dataset."""
+    """Source items plus one finished overview record per dataset.
+
+    The sources are written once; the records then read no more than their own columns.
+    """
+    sources = staged(sources, "sources")
     found = catalog.overview_records(sources, name)
     if family in ("HAND", "SAMPLE"):
         found = found.drop("start_date", "end_date")

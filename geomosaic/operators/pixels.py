@@ -87,13 +87,11 @@ def project_extent(items: DataFrame, epsg: str = "epsg") -> DataFrame:
 
     Rows of an unsupported code keep null extents and say so in ``reject_reason``.
     """
-    corners = [
-        projection.to_mercator(F.col(epsg), F.col(x), F.col(y))
-        for x in ("x_min", "x_max")
-        for y in ("y_min", "y_max")
-    ]
-    xs, ys = [c[0] for c in corners], [c[1] for c in corners]
-    out = items.withColumns(
-        {"mx_min": F.least(*xs), "my_min": F.least(*ys), "mx_max": F.greatest(*xs), "my_max": F.greatest(*ys)}
+    placed = projection.to_mercator(
+        items, epsg, {"0": F.col("x_min"), "1": F.col("x_max")}, {"0": F.col("y_min"), "1": F.col("y_max")}
     )
+    xs, ys = ([f"{m}_{corner}" for corner in ("00", "01", "10", "11")] for m in ("mx", "my"))
+    out = placed.withColumns(
+        {"mx_min": F.least(*xs), "my_min": F.least(*ys), "mx_max": F.greatest(*xs), "my_max": F.greatest(*ys)}
+    ).drop(*xs, *ys)
     return out.withColumn("reject_reason", F.when(F.col("mx_min").isNull(), F.lit("epsg")))

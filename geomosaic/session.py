@@ -9,6 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
+# The JVM never compiles a method of more than 8000 bytes of code. Above that, generated
+# code would be interpreted; smaller methods per operator are then several times faster.
+RECOMMENDED = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
 
 def local_session(cpus: str = "8", app: str = "geomosaic", **extra: str) -> SparkSession:
     """A UTC session on this machine, for tests and the bench."""
@@ -16,11 +23,10 @@ def local_session(cpus: str = "8", app: str = "geomosaic", **extra: str) -> Spar
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", cpus if cpus.isdigit() else "8")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
     )
-    for key, value in extra.items():
+    for key, value in (RECOMMENDED | extra).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -51,3 +57,10 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(f"{shared_dir(spark)}/geomosaic-checkpoints")
     return df.checkpoint()
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write a table that several later steps read, and read it back by column."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -214,6 +214,12 @@ def forward_utm(longitude, latitude, zone):
     return 500000 + k0 * big_a * east, k0 * big_a * north + (0 if latitude >= 0 else 10000000)
 
 
+def mercator(spark, epsg, x, y):
+    df = spark.range(1).select(F.lit(epsg).alias("epsg"))
+    row = projection.to_mercator(df, "epsg", {"p": F.lit(x)}, {"q": F.lit(y)}).first()
+    return row.mx_pq, row.my_pq
+
+
 @pytest.mark.parametrize(
     ("lon", "lat", "zone"), [(-121.5, 47.25, 10), (2.9, 0.001, 31), (146.0, -43.5, 55), (10.0, 79.9, 32), (-3.1, 83.0, 30)]
 )
@@ -221,14 +227,13 @@ def test_utm_against_the_forward_series(spark, lon, lat, zone):
     import math
 
     east, north = forward_utm(lon, lat, zone)
-    x, y = projection.to_mercator(F.lit((32600 if lat >= 0 else 32700) + zone), F.lit(east), F.lit(north))
-    out = one(spark, {"x": x, "y": y})
-    assert out["x"] == pytest.approx(math.radians(lon) * 6378137, abs=1e-3)
-    assert out["y"] == pytest.approx(6378137 * math.asinh(math.tan(math.radians(lat))), abs=1e-3)
+    out = mercator(spark, (32600 if lat >= 0 else 32700) + zone, east, north)
+    assert out[0] == pytest.approx(math.radians(lon) * 6378137, abs=1e-3)
+    assert out[1] == pytest.approx(6378137 * math.asinh(math.tan(math.radians(lat))), abs=1e-3)
 
 
 def test_other_codes_are_not_projected(spark):
-    x, y = projection.to_mercator(F.lit(3413), F.lit(1.0), F.lit(2.0))
-    assert one(spark, {"x": x, "y": y}) == {"x": None, "y": None}
-    x, y = projection.to_mercator(F.lit(32661), F.lit(1.0), F.lit(2.0))
-    assert one(spark, {"x": x, "y": y}) == {"x": None, "y": None}
+    assert mercator(spark, 3413, 1.0, 2.0) == (None, None)
+    assert mercator(spark, 32661, 1.0, 2.0) == (None, None)
+    assert mercator(spark, 3857, 1.0, 2.0) == (1.0, 2.0)
+    assert mercator(spark, 4326, 180.0, 0.0) == pytest.approx((20037508.342789244, 0.0))
