@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geomosaic.functions import dates
+from geomosaic.operators.bounded import join_measured
 
 CATEGORY_OVERVIEW = 2
 
@@ -119,7 +120,7 @@ def route(objects: DataFrame, configs: DataFrame, key: str = "key") -> DataFrame
         }
     )
     on = ["_pre", "_suf", "_plen", "_slen"]
-    return cut.join(lookup, on).drop(*on)
+    return join_measured(cut, lookup, on).drop(*on)
 
 
 def union_catalog(old: DataFrame, new: DataFrame) -> DataFrame:

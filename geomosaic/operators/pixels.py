@@ -26,6 +26,23 @@ def explode_cells(blocks: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def explode_window(
+    blocks: DataFrame, keys: Sequence[str], rows: tuple[Column, Column], cols: tuple[Column, Column]
+) -> DataFrame:
+    """Cells of a block inside closed row and column bounds; cells outside never become rows."""
+
+    def span(bounds: tuple[Column, Column], size: str) -> Column:
+        low = F.greatest(bounds[0], F.lit(0)).cast("bigint")
+        high = F.least(bounds[1], F.col(size) - F.lit(1)).cast("bigint")
+        return F.explode(F.when(low <= high, F.sequence(low, high)))
+
+    return (
+        blocks.withColumn("row", span(rows, "n_rows"))
+        .withColumn("col", span(cols, "n_cols"))
+        .select(*keys, "row", "col", F.get("values", (F.col("row") * F.col("n_cols") + F.col("col")).cast("int")).alias("v"))
+    )
+
+
 def value_at(x: Column, y: Column) -> Column:
     """Block value at a position; null outside of the block."""
     col = F.floor((x - F.col("x_min")) / F.col("cell"))

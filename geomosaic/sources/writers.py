@@ -6,6 +6,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from geomosaic.operators.bounded import fits_broadcast
+from geomosaic.session import reliable_checkpoint
+
 
 def write_catalog_csv(catalog: DataFrame, path: str, key: str = "path") -> str:
     """The whole catalog in path order, with a header. The sort is a range partitioning."""
@@ -14,17 +17,24 @@ def write_catalog_csv(catalog: DataFrame, path: str, key: str = "path") -> str:
 
 
 def append_catalog(rows: DataFrame, path: str, key: str = "path") -> str:
-    """Append the rows whose key the catalog lacks, each once."""
+    """Append the rows whose key the catalog lacks, each once.
+
+    The new rows are fixed first, so that a task that runs again writes the same ones. When
+    they are few, the catalog is only filtered by them where it lies; else both sides are
+    shuffled by key.
+    """
     spark = rows.sparkSession
+    unique = reliable_checkpoint(rows.dropDuplicates([key]))
     try:
         held = spark.read.parquet(path).select(key)
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
-        held = None
-    unique = rows.dropDuplicates([key])
-    fresh = unique if held is None else unique.join(held, key, "left_anti")
-    fresh.write.mode("append").parquet(path)
+        unique.write.mode("append").parquet(path)
+        return path
+    if fits_broadcast(unique):
+        held = held.join(F.broadcast(unique.select(key)), key, "left_semi")
+    unique.join(held, key, "left_anti").write.mode("append").parquet(path)
     return path
 
 

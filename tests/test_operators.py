@@ -314,3 +314,10 @@ def test_items_from_damaged_catalog(spark):
     types = {"path": "string", "x_min": "double", "y_min": "double", "x_max": "double", "y_max": "double"}
     row = readers.items_from_catalog(df, types).first()
     assert (row.x_min, row.y_min, row.center_x, row.center_y) == (1.0, None, 2.0, None)
+
+
+def test_window_explodes_only_what_it_keeps(spark):
+    df = block(spark, [float(i) for i in range(16)], 4)
+    got = pixels.explode_window(df, ["id"], (F.lit(-3), F.lit(1)), (F.lit(2), F.lit(9))).collect()
+    assert sorted((r.row, r.col, r.v) for r in got) == [(0, 2, 2.0), (0, 3, 3.0), (1, 2, 6.0), (1, 3, 7.0)]
+    assert pixels.explode_window(df, ["id"], (F.lit(4), F.lit(9)), (F.lit(0), F.lit(3))).count() == 0

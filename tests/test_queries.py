@@ -18,5 +18,12 @@ def test_query_equals_sql(spark, con, name):
     assert compare(spark, con, entry.queries()[name], entry.oracle_sql()[name], SF_DIR) == []
 
 
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_plan_compares_no_side_with_all_of_another(spark, name):
+    plan = entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    for operator in ("CartesianProduct", "NestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+        assert operator not in plan
+
+
 def test_entry_runs(spark):
     assert entry.entry(spark).columns == ["gx", "gy", "v", "n_candidates"]
