@@ -26,7 +26,7 @@ def visible_at(cell: Column) -> Column:
     )
 
 
-def select_items(items: DataFrame, requests: DataFrame, base: float) -> DataFrame:
+def select_items(items: DataFrame, requests: DataFrame) -> DataFrame:
     """Pairs of a request and an item that it shows: space, pixel size, and time.
 
     Requests carry ``rx_min … ry_max``, ``cell``, ``t_from`` and ``t_to``; a null time
@@ -36,7 +36,7 @@ def select_items(items: DataFrame, requests: DataFrame, base: float) -> DataFram
         (F.col("t_from").isNull() & F.col("t_to").isNull())
         | dates.overlaps(F.col("start_date"), F.col("end_date"), F.col("t_from"), F.col("t_to"))
     )
-    pairs = join_boxes(items, requests, Box(), Box("rx_min", "ry_min", "rx_max", "ry_max"), base)
+    pairs = join_boxes(items, requests, Box(), Box("rx_min", "ry_min", "rx_max", "ry_max"))
     return pairs.where(visible_at(F.col("cell")) & in_time)
 
 

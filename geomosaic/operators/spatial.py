@@ -1,14 +1,16 @@
-"""Extent joins: rows whose boxes overlap, by equi-joins on a grid of several levels.
-
-Every box gets a native level, the finest whose cell is at least its own size, so it
-touches at most four cells of it. A pair meets at the coarser of its two native levels
-only, and only in the cell that holds the lower-left corner of the common area. So the
-result needs no ``distinct`` and a large overview costs four rows, not thousands.
+"""Extent joins: rows whose boxes overlap, by equi-joins on grids of several cell sizes.
+
+Cell sizes are powers of two. Every box gets a native level, whose cell is one to two
+times its own size, so that it touches at most four cells of it. A pair meets at the
+coarser of its two native levels only, and only in the cell that holds the lower-left
+corner of the common area. So the result needs no ``distinct``, a large overview costs
+four rows and not thousands, and a crowd of small boxes is parted by small cells: the
+pairs looked at stay within a constant factor of the pairs that overlap, as long as
+boxes are not much longer than they are wide.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 
 HOT_ROWS = 200_000
 HOT_CELLS = 10_000
-MAX_LEVEL = 60
+MIN_LEVEL, MAX_LEVEL = -30, 60
 
 
 @dataclass(frozen=True)
@@ -32,15 +34,17 @@ class Box:
         return [F.col(prefix + c).cast("double") for c in (self.x_min, self.y_min, self.x_max, self.y_max)]
 
 
-def native_level(box: Box, base: float) -> Column:
+def native_level(box: Box) -> Column:
+    """Power of two of the cell size that suits a box; a point has the finest one."""
     x0, y0, x1, y1 = box.columns()
     size = F.greatest(x1 - x0, y1 - y0)
-    steps = F.ceil(F.log2(size / F.lit(base)))
-    return F.when(size <= base, F.lit(0)).otherwise(F.least(steps, F.lit(MAX_LEVEL))).cast("int")
+    wanted = F.ceil(F.log2(size))
+    bounded = F.greatest(F.lit(MIN_LEVEL), F.least(wanted, F.lit(MAX_LEVEL)))
+    return F.when(size > 0, bounded).otherwise(F.lit(MIN_LEVEL)).cast("int")
 
 
 def _levels(left: DataFrame, right: DataFrame) -> tuple[dict[int, int], dict[int, int]]:
-    """Row counts per native level of both sides: at most ``MAX_LEVEL + 1`` entries each."""
+    """Row counts per native level of both sides: at most 91 small rows each."""
     found = (
         left.select(F.lit("l").alias("side"), F.col("_l_own").alias("level"))
         .unionByName(right.select(F.lit("r").alias("side"), F.col("_r_own").alias("level")))
@@ -51,14 +55,17 @@ def _levels(left: DataFrame, right: DataFrame) -> tuple[dict[int, int], dict[int
     return tuple({row["level"]: row["count"] for row in found if row["side"] == side} for side in "lr")
 
 
-def _place(df: DataFrame, box: Box, own: str, partner_levels: list[int], base: float) -> DataFrame:
-    """One row per cell that a box touches, at its own level and at each coarser one of the partners."""
+def _place(df: DataFrame, box: Box, own: str, partners: list[int]) -> DataFrame:
+    """One row per cell that a box touches, at each level where it can meet a partner.
+
+    Those are its own level, if some partner is as fine, and the partners' coarser levels.
+    """
     x0, y0, x1, y1 = box.columns()
-    coarser = F.filter(
-        F.array(*[F.lit(p) for p in partner_levels]).cast("array<int>"), lambda p: p > F.col(own)
-    )
-    out = df.withColumn("_level", F.explode(F.concat(F.array(own), coarser)))
-    cell = F.lit(base) * F.pow(F.lit(2.0), F.col("_level"))
+    mine, finest = F.col(own), partners[0] if partners else MAX_LEVEL + 1
+    at_own = F.when(mine >= finest, F.array(mine)).otherwise(F.array().cast("array<int>"))
+    coarser = F.filter(F.array(*[F.lit(p) for p in partners]).cast("array<int>"), lambda p: p > mine)
+    out = df.withColumn("_level", F.explode(F.concat(at_own, coarser)))
+    cell = F.pow(F.lit(2.0), F.col("_level"))
     out = out.withColumn("_cx", F.explode(F.sequence(F.floor(x0 / cell), F.floor(x1 / cell))))
     return out.withColumn("_cy", F.explode(F.sequence(F.floor(y0 / cell), F.floor(y1 / cell))))
 
@@ -111,7 +118,6 @@ def join_boxes(
     right: DataFrame,
     left_box: Box,
     right_box: Box,
-    base: float,
     half_open: bool = False,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
@@ -120,13 +126,11 @@ def join_boxes(
     With ``half_open`` the right side holds points: a point belongs to a box when
     ``min <= p < max``. Column names of the two sides must differ.
     """
-    if base <= 0 or not math.isfinite(base):
-        raise ValueError("base must be a positive cell size")
-    left = _known(left, left_box).withColumn("_l_own", native_level(left_box, base))
-    right = _known(right, right_box).withColumn("_r_own", native_level(right_box, base))
+    left = _known(left, left_box).withColumn("_l_own", native_level(left_box))
+    right = _known(right, right_box).withColumn("_r_own", native_level(right_box))
     l_levels, r_levels = _levels(left, right)
-    l_cells = _place(left, left_box, "_l_own", sorted(r_levels), base)
-    r_cells = _place(right, right_box, "_r_own", sorted(l_levels), base)
+    l_cells = _place(left, left_box, "_l_own", sorted(r_levels))
+    r_cells = _place(right, right_box, "_r_own", sorted(l_levels))
     keys = list(_CELL)
     # a row is in a cell once, so a side with no more rows than this has no hot cell
     if max(sum(l_levels.values()), sum(r_levels.values())) > hot_rows:
@@ -136,19 +140,19 @@ def join_boxes(
         keys += ["_sl", "_sr"]
     lx0, ly0, lx1, ly1 = left_box.columns()
     rx0, ry0, rx1, ry1 = right_box.columns()
-    cell = F.lit(base) * F.pow(F.lit(2.0), F.col("_level"))
+    cell = F.pow(F.lit(2.0), F.col("_level"))
     if half_open:
         overlap = (lx0 <= rx0) & (rx0 < lx1) & (ly0 <= ry0) & (ry0 < ly1)
     else:
         overlap = (lx0 < rx1) & (rx0 < lx1) & (ly0 < ry1) & (ry0 < ly1)
-    meets = (
-        (F.col("_level") == F.greatest("_l_own", "_r_own"))
-        & (F.floor(F.greatest(lx0, rx0) / cell) == F.col("_cx"))
-        & (F.floor(F.greatest(ly0, ry0) / cell) == F.col("_cy"))
+    at_coarser = F.col("_level") == F.greatest("_l_own", "_r_own")
+    at_corner = (F.floor(F.greatest(lx0, rx0) / cell) == F.col("_cx")) & (
+        F.floor(F.greatest(ly0, ry0) / cell) == F.col("_cy")
     )
+    # cheap comparisons first: this is looked at once per candidate pair
     return (
         l_cells.join(r_cells, keys)
-        .where(meets & overlap)
+        .where(overlap & at_coarser & at_corner)
         .drop(*keys, "_l_own", "_r_own")
     )
 

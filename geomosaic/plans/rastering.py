@@ -276,7 +276,7 @@ def px_identify(spark, sf_dir):
         f"{views.TOP}D-(c_custkey*32452843%25000+0.5D) as y",
     )
     slim = views.tiles(spark, sf_dir).select("vec_id", "name", "start_date", "x_min", "y_min", "x_max", "y_max")
-    pairs = join_boxes(slim, points, Box(), Box("x", "y", "x", "y"), views.TILE_CELL, half_open=True)
+    pairs = join_boxes(slim, points, Box(), Box("x", "y", "x", "y"), half_open=True)
     held = views.table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("values"))
     found = pairs.join(held, "vec_id").withColumns(
         {"cell": F.lit(450.0), "n_cols": F.lit(8), "n_rows": F.lit(8)}

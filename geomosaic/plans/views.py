@@ -17,7 +17,6 @@ SITE = "https://fixture.example/"
 VERSION = "V1"
 AS_OF = "2024-01-31 00:00:00"
 SCENE_CELL = 57_600.0
-TILE_CELL = 3_600.0
 TOP = 100_000.0
 
 
@@ -233,7 +232,7 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 def chosen(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Visible pairs of a request and an item."""
     slim = items(spark, sf_dir).drop("download_url", "tag")
-    return mosaic.select_items(slim, requests(spark, sf_dir), SCENE_CELL)
+    return mosaic.select_items(slim, requests(spark, sf_dir))
 
 
 def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -277,5 +276,5 @@ def tile_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tiles that overlap a view, without their pixels."""
     slim = tiles(spark, sf_dir).select("vec_id", "name", "start_date", "x_min", "y_min", "x_max", "y_max")
     return join_boxes(
-        slim, tile_views(spark, sf_dir), Box(), Box("vx_min", "vy_min", "vx_max", "vy_max"), TILE_CELL
+        slim, tile_views(spark, sf_dir), Box(), Box("vx_min", "vy_min", "vx_max", "vy_max")
     )

@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from geomosaic.operators import aggregates, bounded, catalog, mosaic, pixels, quality, timewin
+from geomosaic.operators import aggregates, bounded, catalog, mosaic, pixels, quality, spatial, timewin
 from geomosaic.operators.spatial import Box, join_boxes
 from geomosaic.sources import readers, writers
 
@@ -38,7 +38,7 @@ def test_box_join_equals_brute_force(spark, seed, hot_rows):
         (a[0], b[0]) for a in left for b in right if a[1] < b[3] and b[1] < a[3] and a[2] < b[4] and b[2] < a[4]
     )
     (l_df, l_box), (r_df, r_box) = frame(spark, left, "l"), frame(spark, right, "r")
-    got = join_boxes(l_df, r_df, l_box, r_box, base=16.0, hot_rows=hot_rows).select("lid", "rid").collect()
+    got = join_boxes(l_df, r_df, l_box, r_box, hot_rows=hot_rows).select("lid", "rid").collect()
     assert sorted((r.lid, r.rid) for r in got) == want
 
 
@@ -50,7 +50,7 @@ def test_point_join_is_half_open(spark, hot_rows):
     l_df, l_box = frame(spark, left, "l")
     p_df = spark.createDataFrame(points, "pid string, px double, py double")
     got = join_boxes(
-        l_df, p_df, l_box, Box("px", "py", "px", "py"), base=16.0, half_open=True, hot_rows=hot_rows
+        l_df, p_df, l_box, Box("px", "py", "px", "py"), half_open=True, hot_rows=hot_rows
     ).collect()
     assert sorted((r.lid, r.pid) for r in got) == want
 
@@ -58,9 +58,30 @@ def test_point_join_is_half_open(spark, hot_rows):
 def test_box_join_without_rows_or_extents(spark):
     l_df, l_box = frame(spark, [("a", None, 0.0, 1.0, 1.0)], "l")
     r_df, r_box = frame(spark, [("b", 0.0, 0.0, 1.0, 1.0)], "r")
-    assert join_boxes(l_df, r_df, l_box, r_box, base=1.0).count() == 0
-    with pytest.raises(ValueError, match="positive"):
-        join_boxes(l_df, r_df, l_box, r_box, base=0.0)
+    assert join_boxes(l_df, r_df, l_box, r_box).count() == 0
+
+
+def test_a_crowd_of_small_boxes_is_parted(spark):
+    """All boxes and points lie in one place; far fewer pairs are looked at than there are."""
+    rng = random.Random(4)
+    rows = [(f"l{i}", x, y, x + 3.0, y + 3.0) for i in range(3000) for x, y in [(rng.random() * 900, rng.random() * 900)]]
+    l_df, box = frame(spark, rows, "l")
+    p_df = spark.createDataFrame([(rng.random() * 900, rng.random() * 900) for _ in range(3000)], "px double, py double")
+    point = Box("px", "py", "px", "py")
+    l_known = l_df.withColumn("own", spatial.native_level(box))
+    p_known = p_df.withColumn("own", spatial.native_level(point))
+    per_cell = {}
+    for side, placed in enumerate(
+        (
+            spatial._place(l_known, box, "own", [spatial.MIN_LEVEL]),
+            spatial._place(p_known, point, "own", [r.own for r in l_known.select("own").distinct().collect()]),
+        )
+    ):
+        for row in placed.groupBy("_level", "_cx", "_cy").count().collect():
+            per_cell.setdefault(tuple(row)[:3], [0, 0])[side] = row["count"]
+    looked_at = sum(a * b for a, b in per_cell.values())
+    assert looked_at < 3000 * 3000 / 500
+    assert join_boxes(l_df, p_df, box, point, half_open=True).count() <= looked_at
 
 
 def test_rank_of_a_hot_group(spark):
