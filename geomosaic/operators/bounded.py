@@ -13,8 +13,9 @@ BROADCAST_ROWS = 1_000_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Measure whether a side is small; reads no more than ``max_rows + 1`` rows of it."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Measure whether a side is small. Counts per task, so that no rows move; give it
+    a side that is checkpointed or stored."""
+    return df.count() <= max_rows
 
 
 def join_measured(

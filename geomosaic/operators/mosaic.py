@@ -26,17 +26,27 @@ def visible_at(cell: Column) -> Column:
     )
 
 
-def select_items(items: DataFrame, requests: DataFrame) -> DataFrame:
+def select_items(items: DataFrame, requests: DataFrame, by_time: bool = False) -> DataFrame:
     """Pairs of a request and an item that it shows: space, pixel size, and time.
 
     Requests carry ``rx_min … ry_max``, ``cell``, ``t_from`` and ``t_to``; a null time
     means that time is not asked for. Items without dates pass only such requests.
+
+    ``by_time`` parts the join by dates too. It pays where many requests meet many scenes
+    of one place, as each scene then meets the requests of its days only; elsewhere the
+    extra rows per scene cost more.
     """
     in_time = (
         (F.col("t_from").isNull() & F.col("t_to").isNull())
         | dates.overlaps(F.col("start_date"), F.col("end_date"), F.col("t_from"), F.col("t_to"))
     )
-    pairs = join_boxes(items, requests, Box(), Box("rx_min", "ry_min", "rx_max", "ry_max"))
+    item_times, request_times = (("start_date", "end_date"), ("t_from", "t_to")) if by_time else ((), ())
+    pairs = join_boxes(
+        items,
+        requests,
+        Box("x_min", "y_min", "x_max", "y_max", *item_times),
+        Box("rx_min", "ry_min", "rx_max", "ry_max", *request_times),
+    )
     return pairs.where(visible_at(F.col("cell")) & in_time)
 
 

@@ -7,6 +7,9 @@ corner of the common area. So the result needs no ``distinct``, a large overview
 four rows and not thousands, and a crowd of small boxes is parted by small cells: the
 pairs looked at stay within a constant factor of the pairs that overlap, as long as
 boxes are not much longer than they are wide.
+
+Boxes may have a time span too. It has levels of its own, so the many scenes that lie on
+one spot, one per overpass, are parted by their dates.
 """
 
 from __future__ import annotations
@@ -19,58 +22,103 @@ from pyspark.sql import functions as F
 HOT_ROWS = 200_000
 HOT_CELLS = 10_000
 MIN_LEVEL, MAX_LEVEL = -30, 60
+# time levels are powers of two of a microsecond; at the open level all times are one cell
+MIN_TIME_LEVEL, MAX_TIME_LEVEL, OPEN_TIME_LEVEL = 20, 61, 62
 
 
 @dataclass(frozen=True)
 class Box:
-    """Names of the four extent columns of a side."""
+    """Names of the extent columns of a side, and of its time columns if it has any."""
 
     x_min: str = "x_min"
     y_min: str = "y_min"
     x_max: str = "x_max"
     y_max: str = "y_max"
+    t_min: str | None = None
+    t_max: str | None = None
+
+    def columns(self) -> list[Column]:
+        return [F.col(c).cast("double") for c in (self.x_min, self.y_min, self.x_max, self.y_max)]
 
-    def columns(self, prefix: str = "") -> list[Column]:
-        return [F.col(prefix + c).cast("double") for c in (self.x_min, self.y_min, self.x_max, self.y_max)]
+    def times(self) -> list[Column]:
+        """Start and end in microseconds."""
+        return [F.unix_micros(F.col(c).cast("timestamp")) for c in (self.t_min, self.t_max)]
+
+    @property
+    def timed(self) -> bool:
+        return self.t_min is not None and self.t_max is not None
 
 
 def native_level(box: Box) -> Column:
     """Power of two of the cell size that suits a box; a point has the finest one."""
     x0, y0, x1, y1 = box.columns()
     size = F.greatest(x1 - x0, y1 - y0)
-    wanted = F.ceil(F.log2(size))
-    bounded = F.greatest(F.lit(MIN_LEVEL), F.least(wanted, F.lit(MAX_LEVEL)))
-    return F.when(size > 0, bounded).otherwise(F.lit(MIN_LEVEL)).cast("int")
+    fitting = F.greatest(F.lit(MIN_LEVEL), F.least(F.ceil(F.log2(size)), F.lit(MAX_LEVEL)))
+    return F.when(size > 0, fitting).otherwise(F.lit(MIN_LEVEL)).cast("int")
+
+
+def native_time_level(box: Box) -> Column:
+    """The same for the time span; a side without times is open."""
+    if not box.timed:
+        return F.lit(OPEN_TIME_LEVEL)
+    start, end = box.times()
+    size = end - start
+    fitting = F.greatest(F.lit(MIN_TIME_LEVEL), F.least(F.ceil(F.log2(size)), F.lit(MAX_TIME_LEVEL)))
+    return (
+        F.when(size.isNull(), F.lit(OPEN_TIME_LEVEL)).when(size > 0, fitting).otherwise(F.lit(MIN_TIME_LEVEL)).cast("int")
+    )
 
 
-def _levels(left: DataFrame, right: DataFrame) -> tuple[dict[int, int], dict[int, int]]:
-    """Row counts per native level of both sides: at most 91 small rows each."""
+_CELL = ["_level", "_cx", "_cy", "_time", "_ct"]
+
+
+def _levels(left: DataFrame, right: DataFrame) -> tuple[list, list]:
+    """Row counts per native level of both sides: a few hundred small rows at most."""
     found = (
-        left.select(F.lit("l").alias("side"), F.col("_l_own").alias("level"))
-        .unionByName(right.select(F.lit("r").alias("side"), F.col("_r_own").alias("level")))
-        .groupBy("side", "level")
+        left.select(F.lit("l").alias("side"), F.col("_l_own").alias("own"), F.col("_l_time").alias("time"))
+        .unionByName(
+            right.select(F.lit("r").alias("side"), F.col("_r_own").alias("own"), F.col("_r_time").alias("time"))
+        )
+        .groupBy("side", "own", "time")
         .count()
         .collect()
     )
-    return tuple({row["level"]: row["count"] for row in found if row["side"] == side} for side in "lr")
+    return tuple([row for row in found if row["side"] == side] for side in "lr")
 
 
-def _place(df: DataFrame, box: Box, own: str, partners: list[int]) -> DataFrame:
-    """One row per cell that a box touches, at each level where it can meet a partner.
+def _meeting_levels(own: Column, partners: set[int]) -> Column:
+    """Where a row can meet partners: at its own level, if some partner is as fine, and
+    at the partners' coarser levels."""
+    if not partners:
+        return F.array().cast("array<int>")
+    at_own = F.when(own >= min(partners), F.array(own)).otherwise(F.array().cast("array<int>"))
+    coarser = F.filter(F.array(*[F.lit(p) for p in sorted(partners)]), lambda p: p > own)
+    return F.concat(at_own, coarser)
 
-    Those are its own level, if some partner is as fine, and the partners' coarser levels.
-    """
+
+def _place(df: DataFrame, box: Box, side: str, partners: list) -> DataFrame:
+    """One row per cell that a box touches, at each level where it can meet a partner."""
     x0, y0, x1, y1 = box.columns()
-    mine, finest = F.col(own), partners[0] if partners else MAX_LEVEL + 1
-    at_own = F.when(mine >= finest, F.array(mine)).otherwise(F.array().cast("array<int>"))
-    coarser = F.filter(F.array(*[F.lit(p) for p in partners]).cast("array<int>"), lambda p: p > mine)
-    out = df.withColumn("_level", F.explode(F.concat(at_own, coarser)))
     cell = F.pow(F.lit(2.0), F.col("_level"))
-    out = out.withColumn("_cx", F.explode(F.sequence(F.floor(x0 / cell), F.floor(x1 / cell))))
-    return out.withColumn("_cy", F.explode(F.sequence(F.floor(y0 / cell), F.floor(y1 / cell))))
+    out = (
+        df.withColumn("_level", F.explode(_meeting_levels(F.col(f"_{side}_own"), {r["own"] for r in partners})))
+        .withColumn("_cx", F.explode(F.sequence(F.floor(x0 / cell), F.floor(x1 / cell))))
+        .withColumn("_cy", F.explode(F.sequence(F.floor(y0 / cell), F.floor(y1 / cell))))
+    )
+    times = {r["time"] for r in partners}
+    if not box.timed:
+        # an untimed side is open, and its partners come to the open level
+        return out.withColumn("_time", F.lit(OPEN_TIME_LEVEL)).withColumn("_ct", F.lit(0).cast("bigint"))
+    start, end = box.times()
+    span = _time_cell(start), _time_cell(end)
+    cells = F.when(F.col("_time") == OPEN_TIME_LEVEL, F.array(F.lit(0).cast("bigint"))).otherwise(F.sequence(*span))
+    return out.withColumn("_time", F.explode(_meeting_levels(F.col(f"_{side}_time"), times))).withColumn(
+        "_ct", F.explode(cells)
+    )
 
 
-_CELL = ["_level", "_cx", "_cy"]
+def _time_cell(when: Column) -> Column:
+    return F.call_function("shiftright", when, F.col("_time"))
 
 
 def hot_cells(left: DataFrame, right: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -124,37 +172,65 @@ def join_boxes(
     """All pairs of rows whose boxes overlap with a positive area.
 
     With ``half_open`` the right side holds points: a point belongs to a box when
-    ``min <= p < max``. Column names of the two sides must differ.
+    ``min <= p < max``. If both boxes name time columns, their closed spans must share a
+    moment; a row that lacks one of its times is open and fits every span. Column names
+    of the two sides must differ.
     """
-    left = _known(left, left_box).withColumn("_l_own", native_level(left_box))
-    right = _known(right, right_box).withColumn("_r_own", native_level(right_box))
+    if left_box.timed != right_box.timed:
+        raise ValueError("either both sides have times or none has")
+    left = _known(left, left_box).withColumns({"_l_own": native_level(left_box), "_l_time": native_time_level(left_box)})
+    right = _known(right, right_box).withColumns(
+        {"_r_own": native_level(right_box), "_r_time": native_time_level(right_box)}
+    )
     l_levels, r_levels = _levels(left, right)
-    l_cells = _place(left, left_box, "_l_own", sorted(r_levels))
-    r_cells = _place(right, right_box, "_r_own", sorted(l_levels))
+    l_cells = _place(left, left_box, "l", r_levels)
+    r_cells = _place(right, right_box, "r", l_levels)
     keys = list(_CELL)
     # a row is in a cell once, so a side with no more rows than this has no hot cell
-    if max(sum(l_levels.values()), sum(r_levels.values())) > hot_rows:
+    if max(sum(row["count"] for row in side) for side in (l_levels, r_levels)) > hot_rows:
         hot = hot_cells(l_cells, r_cells, hot_rows)
         l_cells = _slice(l_cells, left.columns, hot, "_nl", "_nr", "_sl", "_sr")
         r_cells = _slice(r_cells, right.columns, hot, "_nr", "_nl", "_sr", "_sl")
         keys += ["_sl", "_sr"]
-    lx0, ly0, lx1, ly1 = left_box.columns()
-    rx0, ry0, rx1, ry1 = right_box.columns()
-    cell = F.pow(F.lit(2.0), F.col("_level"))
-    if half_open:
-        overlap = (lx0 <= rx0) & (rx0 < lx1) & (ly0 <= ry0) & (ry0 < ly1)
-    else:
-        overlap = (lx0 < rx1) & (rx0 < lx1) & (ly0 < ry1) & (ry0 < ly1)
-    at_coarser = F.col("_level") == F.greatest("_l_own", "_r_own")
-    at_corner = (F.floor(F.greatest(lx0, rx0) / cell) == F.col("_cx")) & (
-        F.floor(F.greatest(ly0, ry0) / cell) == F.col("_cy")
-    )
     # cheap comparisons first: this is looked at once per candidate pair
     return (
         l_cells.join(r_cells, keys)
-        .where(overlap & at_coarser & at_corner)
-        .drop(*keys, "_l_own", "_r_own")
+        .where(_overlap(left_box, right_box, half_open) & _at_corner(left_box, right_box))
+        .drop(*keys, "_l_own", "_r_own", "_l_time", "_r_time")
+    )
+
+
+def _overlap(left: Box, right: Box, half_open: bool) -> Column:
+    lx0, ly0, lx1, ly1 = left.columns()
+    rx0, ry0, rx1, ry1 = right.columns()
+    if half_open:
+        shared = (lx0 <= rx0) & (rx0 < lx1) & (ly0 <= ry0) & (ry0 < ly1)
+    else:
+        shared = (lx0 < rx1) & (rx0 < lx1) & (ly0 < ry1) & (ry0 < ly1)
+    if left.timed:
+        (l0, l1), (r0, r1) = left.times(), right.times()
+        shared = shared & ((F.col("_time") == OPEN_TIME_LEVEL) | ((l0 <= r1) & (r0 <= l1)))
+    return shared
+
+
+def _at_corner(left: Box, right: Box) -> Column:
+    """Whether a candidate pair is in the one cell where it counts."""
+    lx0, ly0, *_ = left.columns()
+    rx0, ry0, *_ = right.columns()
+    cell = F.pow(F.lit(2.0), F.col("_level"))
+    here = (
+        (F.col("_level") == F.greatest("_l_own", "_r_own"))
+        & (F.floor(F.greatest(lx0, rx0) / cell) == F.col("_cx"))
+        & (F.floor(F.greatest(ly0, ry0) / cell) == F.col("_cy"))
     )
+    if left.timed:
+        later = F.greatest(left.times()[0], right.times()[0])
+        here = (
+            here
+            & (F.col("_time") == F.greatest("_l_time", "_r_time"))
+            & ((F.col("_time") == OPEN_TIME_LEVEL) | (_time_cell(later) == F.col("_ct")))
+        )
+    return here
 
 
 def _known(df: DataFrame, box: Box) -> DataFrame:

@@ -1,5 +1,6 @@
 """Operators on small frames: properties, edges, skew and brute force."""
 
+import datetime
 import random
 
 import pytest
@@ -61,6 +62,38 @@ def test_box_join_without_rows_or_extents(spark):
     assert join_boxes(l_df, r_df, l_box, r_box).count() == 0
 
 
+@pytest.mark.parametrize("hot_rows", [200_000, 20])
+def test_timed_join_equals_brute_force(spark, hot_rows):
+    rng = random.Random(8)
+    base = datetime.datetime(2024, 1, 1)
+
+    def spans(n, lengths):
+        out = []
+        for _ in range(n):
+            start = base + datetime.timedelta(hours=rng.randint(-200, 200))
+            span = (start, start + datetime.timedelta(hours=rng.choice(lengths)))
+            out.append(rng.choice([span, span, span, (None, None), (start, None)]))
+        return out
+
+    # all on one spot, parted by their dates only
+    left = [(f"l{i}", 0.0, 0.0, 8.0, 8.0, a, b) for i, (a, b) in enumerate(spans(150, (0, 0, 3, 5000)))]
+    right = [(f"r{i}", 1.0, 1.0, 3.0, 3.0, a, b) for i, (a, b) in enumerate(spans(60, (1, 24, 240)))]
+    want = sorted(
+        (p[0], q[0])
+        for p in left
+        for q in right
+        if None in p[5:] or None in q[5:] or (p[5] <= q[6] and q[5] <= p[6])
+    )
+    schema = "{0}id string, {0}x0 double, {0}y0 double, {0}x1 double, {0}y1 double, {0}t0 timestamp_ntz, {0}t1 timestamp_ntz"
+    names = [["x0", "y0", "x1", "y1", "t0", "t1"], ["x0", "y0", "x1", "y1", "t0", "t1"]]
+    l_df, r_df = (spark.createDataFrame(rows, schema.format(p)) for rows, p in ((left, "l"), (right, "r")))
+    l_box, r_box = (Box(*[p + n for n in ns]) for p, ns in zip("lr", names, strict=True))
+    got = join_boxes(l_df, r_df, l_box, r_box, hot_rows=hot_rows).collect()
+    assert sorted((r.lid, r.rid) for r in got) == want
+    with pytest.raises(ValueError, match="times"):
+        join_boxes(l_df, r_df, l_box, Box("rx0", "ry0", "rx1", "ry1"))
+
+
 def test_a_crowd_of_small_boxes_is_parted(spark):
     """All boxes and points lie in one place; far fewer pairs are looked at than there are."""
     rng = random.Random(4)
@@ -68,13 +101,14 @@ def test_a_crowd_of_small_boxes_is_parted(spark):
     l_df, box = frame(spark, rows, "l")
     p_df = spark.createDataFrame([(rng.random() * 900, rng.random() * 900) for _ in range(3000)], "px double, py double")
     point = Box("px", "py", "px", "py")
-    l_known = l_df.withColumn("own", spatial.native_level(box))
-    p_known = p_df.withColumn("own", spatial.native_level(point))
+    l_known = l_df.withColumns({"_l_own": spatial.native_level(box), "_l_time": spatial.native_time_level(box)})
+    p_known = p_df.withColumns({"_r_own": spatial.native_level(point), "_r_time": spatial.native_time_level(point)})
+    l_levels, p_levels = spatial._levels(l_known, p_known)
     per_cell = {}
     for side, placed in enumerate(
         (
-            spatial._place(l_known, box, "own", [spatial.MIN_LEVEL]),
-            spatial._place(p_known, point, "own", [r.own for r in l_known.select("own").distinct().collect()]),
+            spatial._place(l_known, box, "l", p_levels),
+            spatial._place(p_known, point, "r", l_levels),
         )
     ):
         for row in placed.groupBy("_level", "_cx", "_cy").count().collect():
