@@ -48,12 +48,8 @@ def src_url_list(spark, sf_dir):
          from search_granules) where u is not null""",
 )
 def src_granule_json(spark, sf_dir):
-    # a page holds 2000 results of one polarization, as the search serves them
-    pages = (
-        views.search_granules(spark, sf_dir)
-        .groupBy("pol", F.expr("event_id div 8000").alias("page"))
-        .agg(F.array_join(F.collect_list("doc"), ",").alias("docs"))
-        .selectExpr("concat('{\"pol\":\"',pol,'\",\"items\":[',docs,']}') as value")
+    pages = views.search_granules(spark, sf_dir).selectExpr(
+        "concat('{\"pol\":\"',pol,'\",\"items\":[',doc,']}') as value"
     )
     landed = work_path(spark, "src_granule_json")
     pages.write.text(landed)

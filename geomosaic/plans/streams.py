@@ -20,11 +20,8 @@ def st_ingest(spark, sf_dir):
     held, copies = work_path(spark, "st_ingest"), F.explode(F.array(F.lit(0), F.lit(1)))
     for run in range(2):
         listed = scene_stream(spark, sf_dir).withColumn("copy", copies)
-        seen = listed.select(
-            F.expr(f"concat('/vsis3/{views.BUCKET}/',opera_name,'.tif')").alias("path"),
-            F.col("start_date").cast("timestamp").alias("seen_at"),
-        )
-        ingest.ingest_catalog(seen, held, work_path(spark, f"st_ingest_checkpoint_{run}"))
+        paths = listed.select(F.expr(f"concat('/vsis3/{views.BUCKET}/',opera_name,'.tif')").alias("path"))
+        ingest.ingest_catalog(paths, held, work_path(spark, f"st_ingest_checkpoint_{run}"))
     return spark.read.parquet(held).groupBy("path").agg(F.count("*").alias("n"))
 
 

@@ -15,14 +15,20 @@ def landed_stream(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return spark.readStream.schema(schema).parquet(path)
 
 
-def ingest_catalog(stream: DataFrame, catalog: str, checkpoint: str, delay: str = "1 day", event_time: str = "seen_at") -> None:
+def ingest_catalog(stream: DataFrame, catalog: str, checkpoint: str, delay: str = "1 day") -> None:
     """Add each streamed path to the catalog once, then stop when the input is used up.
 
-    The watermarked de-duplication keeps repeats of the last ``delay`` out cheaply; the
-    anti-join with the catalog makes the result exact, also for later repeats, for a
+    The watermark runs on the time of arrival, so no row is ever late and none is lost,
+    however old its scene is. De-duplication inside it keeps recent repeats out cheaply;
+    the anti-join with the catalog makes the result exact, also for later repeats, for a
     batch that runs again, and for a new stream over old files. One writer per catalog.
     """
-    unique = stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["path"])
+    unique = (
+        stream.withColumn("_arrived", F.current_timestamp())
+        .withWatermark("_arrived", delay)
+        .dropDuplicatesWithinWatermark(["path"])
+        .drop("_arrived")
+    )
 
     def add(batch: DataFrame, _batch_id: int) -> None:
         append_catalog(batch, catalog)
@@ -66,7 +72,11 @@ def read_extent(spark: SparkSession, state: str, group: str = "dataset") -> Data
 
 
 def sliding_counts(stream: DataFrame, sink: str, checkpoint: str, delay: str = "1 day", event_time: str = "start_date", group: str = "dataset") -> None:
-    """Counts of three-week windows that step by a day; only closed windows are written."""
+    """Counts of three-week windows that step by a day; only closed windows are written.
+
+    A window closes ``delay`` after its end, so ``delay`` must cover how late scenes are
+    listed. Counts of windows that may still change come from ``timewin.sliding_extent``.
+    """
     counts = (
         stream.withWatermark(event_time, delay)
         .groupBy(group, F.window(event_time, f"{7 * dates.EXTENT_WEEKS} days", "1 day").alias("w"))

@@ -1,6 +1,7 @@
 """Operators on small frames: properties, edges, skew and brute force."""
 
 import datetime
+import json
 import random
 
 import pytest
@@ -376,3 +377,19 @@ def test_window_explodes_only_what_it_keeps(spark):
     got = pixels.explode_window(df, ["id"], (F.lit(-3), F.lit(1)), (F.lit(2), F.lit(9))).collect()
     assert sorted((r.row, r.col, r.v) for r in got) == [(0, 2, 2.0), (0, 3, 3.0), (1, 2, 6.0), (1, 3, 7.0)]
     assert pixels.explode_window(df, ["id"], (F.lit(4), F.lit(9)), (F.lit(0), F.lit(3))).count() == 0
+
+
+def test_first_fitting_url_of_each_granule(spark, tmp_path):
+    def granule(*urls):
+        return {"umm": {"RelatedUrls": [{"URL": u, "Type": "GET DATA"} for u in urls]}, "meta": {"x": 1}}
+
+    items = [
+        granule("https://h/a_VV.tif", "s3://b/a_VH.tif", "s3://b/a_VV.tif", "s3://b/second_VV.tif"),
+        granule("s3://b/c.h5"),
+        granule(),
+        granule("s3://b/d_VV.tif"),
+    ]
+    page = tmp_path / "page.json"
+    page.write_text(json.dumps({"pol": "VV", "items": items}) + "\n" + json.dumps({"pol": "VH", "items": []}))
+    got = readers.granule_paths(readers.read_search_pages(spark, str(page))).collect()
+    assert [(r.pol, r.path) for r in got] == [("VV", "/vsis3/b/a_VV.tif"), ("VV", "/vsis3/b/d_VV.tif")]

@@ -4,12 +4,12 @@ from pyspark.sql import functions as F
 
 from geomosaic.streaming import ingest
 
-ROWS = "path string, dataset string, start_date timestamp, seen_at timestamp"
+ROWS = "path string, dataset string, start_date timestamp"
 
 
 def land(spark, folder, rows):
     df = spark.createDataFrame(rows, "path string, dataset string, at string").select(
-        "path", "dataset", F.col("at").cast("timestamp").alias("start_date"), F.col("at").cast("timestamp").alias("seen_at")
+        "path", "dataset", F.col("at").cast("timestamp").alias("start_date")
     )
     df.coalesce(1).write.mode("append").parquet(folder)
 
@@ -23,8 +23,8 @@ def test_ingest_adds_each_path_once(spark, tmp_path):
     land(spark, landed, [("a", "d", "2024-01-01"), ("a", "d", "2024-01-01"), ("b", "d", "2024-01-02")])
     land(spark, landed, [("b", "d", "2024-01-02"), ("c", "d", "2024-01-03")])
     ingest.ingest_catalog(stream(spark, landed), held, str(tmp_path / "c1"))
-    # much later, an old path is listed again: the watermark has forgotten it
-    land(spark, landed, [("a", "d", "2024-03-01"), ("d", "d", "2024-03-01")])
+    # later, an old path is listed again, and a scene of long ago is listed for the first time
+    land(spark, landed, [("a", "d", "2024-03-01"), ("d", "d", "2014-03-01")])
     ingest.ingest_catalog(stream(spark, landed), held, str(tmp_path / "c1"))
     # and a new stream reads everything from the start
     ingest.ingest_catalog(stream(spark, landed), held, str(tmp_path / "c2"))
