@@ -8,7 +8,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from geomosaic.operators import aggregates, bounded, catalog, mosaic, pixels, quality, spatial, timewin
+from geomosaic.operators import aggregates, blocks, bounded, catalog, mosaic, pixels, quality, spatial, timewin
 from geomosaic.operators.spatial import Box, join_boxes
 from geomosaic.sources import readers, writers
 
@@ -393,3 +393,27 @@ def test_first_fitting_url_of_each_granule(spark, tmp_path):
     page.write_text(json.dumps({"pol": "VV", "items": items}) + "\n" + json.dumps({"pol": "VH", "items": []}))
     got = readers.granule_paths(readers.read_search_pages(spark, str(page))).collect()
     assert [(r.pol, r.path) for r in got] == [("VV", "/vsis3/b/a_VV.tif"), ("VV", "/vsis3/b/d_VV.tif")]
+
+
+@pytest.mark.parametrize("hot_parts", [4096, 3])
+def test_block_merge_equals_pixel_merge(spark, hot_parts):
+    rng = random.Random(6)
+    rows = []
+    for rank in range(1, 41):
+        # a third of the blocks lies on one spot
+        row_0, col_0 = (5, 5) if rank % 3 == 0 else (rng.randint(-9, 20), rng.randint(-9, 20))
+        n_rows, n_cols = rng.randint(1, 7), rng.randint(1, 7)
+        values = [rng.choice([None, -1.0, rng.random(), rng.random()]) for _ in range(n_rows * n_cols)]
+        rows.append(("d", rank, row_0, col_0, n_rows, n_cols, values))
+    want = {}
+    for _, rank, row_0, col_0, n_rows, n_cols, values in rows:
+        for k, v in enumerate(values):
+            if v is not None and v >= 0:
+                want.setdefault((row_0 + k // n_cols, col_0 + k % n_cols), v)
+    df = spark.createDataFrame(
+        rows,
+        "dataset string, mosaic_rank long, row_0 long, col_0 long, n_rows int, n_cols int, values array<double>",
+    ).repartition(5)
+    merged = blocks.first_merge_blocks(df, ["dataset"], 8, hot_parts=hot_parts)
+    got = {(r.grid_row, r.grid_col): r.v for r in blocks.block_cells(merged, ["dataset"], 8).collect()}
+    assert got == want
