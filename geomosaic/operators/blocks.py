@@ -75,39 +75,30 @@ def _hot_blocks(parts: DataFrame, group: list[str], hot_parts: int) -> DataFrame
     return reliable_checkpoint(fullest.withColumn("_n", F.ceil(F.col("_n") / F.lit(hot_parts)).cast("int")))
 
 
-class _Merge:
-    """Lays parts, or blocks merged before, over one output block."""
-
-    def __init__(self, keys: list[str], size: int, low: float, high: float) -> None:
-        self.keys, self.size, self.low, self.high = keys, size, low, high
+def _merged(parts: DataFrame, keys: list[str], size: int, low: float, high: float) -> DataFrame:
+    """Lay the parts of each output block, or blocks merged before, over one another."""
 
-    def __call__(self, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        out = np.full((self.size, self.size), np.nan)
-        best = np.full((self.size, self.size), np.iinfo(np.int64).max, dtype=np.int64)
-        head: list | None = None
+    # all that a task runs is inside, so that executors need no copy of this package
+    def lay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out = np.full((size, size), np.nan)
+        best = np.full((size, size), np.iinfo(np.int64).max, dtype=np.int64)
+        head: list = []
         for batch in batches:
-            if head is None and len(batch):
-                head = [batch[k].iloc[0] for k in self.keys]
+            if not head and len(batch):
+                head = [batch[k].iloc[0] for k in keys]
             for row in batch.itertuples(index=False):
                 values = np.asarray(row.values, dtype=np.float64).reshape(-1, row.width)
                 rank = row.mosaic_rank
                 if np.ndim(rank):
                     rank = np.asarray(rank, dtype=np.int64).reshape(values.shape)
                 at = np.s_[row.top : row.top + values.shape[0], row.left : row.left + row.width]
-                wins = (values >= self.low) & (values <= self.high) & (rank < best[at])
+                wins = (values >= low) & (values <= high) & (rank < best[at])
                 out[at] = np.where(wins, values, out[at])
                 best[at] = np.where(wins, rank, best[at])
-        if head is not None:
-            done = {k: [v] for k, v in zip(self.keys, head, strict=True)}
+        if head:
+            done = {k: [v] for k, v in zip(keys, head, strict=True)}
             yield pd.DataFrame(done | {"values": [out.ravel()], "mosaic_rank": [best.ravel()]})
 
-
-def _merged(parts: DataFrame, keys: list[str], size: int, low: float, high: float) -> DataFrame:
-    merge = _Merge(keys, size, low, high)
-
-    def lay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        return merge(batches)
-
     kinds = dict(parts.dtypes)
     schema = ", ".join([f"`{k}` {kinds[k]}" for k in keys] + ["`values` array<double>", "mosaic_rank array<bigint>"])
     return parts.groupBy(*keys).applyInPandas(lay, schema)
