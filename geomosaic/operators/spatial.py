@@ -189,8 +189,8 @@ def join_boxes(
     # a row is in a cell once, so a side with no more rows than this has no hot cell
     if max(sum(row["count"] for row in side) for side in (l_levels, r_levels)) > hot_rows:
         hot = hot_cells(l_cells, r_cells, hot_rows)
-        l_cells = _slice(l_cells, left.columns, hot, "_nl", "_nr", "_sl", "_sr")
-        r_cells = _slice(r_cells, right.columns, hot, "_nr", "_nl", "_sr", "_sl")
+        l_cells = _slice(l_cells, _hashable(left), hot, "_nl", "_nr", "_sl", "_sr")
+        r_cells = _slice(r_cells, _hashable(right), hot, "_nr", "_nl", "_sr", "_sl")
         keys += ["_sl", "_sr"]
     # cheap comparisons first: this is looked at once per candidate pair
     return (
@@ -233,6 +233,10 @@ def _at_corner(left: Box, right: Box) -> Column:
     return here
 
 
+def _hashable(df: DataFrame) -> list[str]:
+    return [name for name, kind in df.dtypes if "map<" not in kind]
+
+
 def _known(df: DataFrame, box: Box) -> DataFrame:
     known = F.lit(True)
     for column in box.columns():
