@@ -12,6 +12,7 @@ from geomosaic.functions import names
 from geomosaic.operators import aggregates, catalog
 from geomosaic.operators.bounded import fits_broadcast
 from geomosaic.session import reliable_checkpoint, staged
+from geomosaic.sources import readers
 
 ZOOM_TILE = "Zoom in further to see specific tile information"
 ZOOM_URL = "Zoom in further to access download link"
@@ -22,7 +23,8 @@ CORE = ("path", "name", "x_min", "y_min", "x_max", "y_max", "n_rows", "n_cols",
 def read_new(listing: DataFrame, headers: DataFrame, held: DataFrame, bucket_root: str) -> DataFrame:
     """Core catalog rows of the listed paths that ``held`` lacks, with a ``reject_reason``.
 
-    ``headers`` has ``path`` and ``header``. Headers of known paths are dropped before any
+    ``headers`` has ``path`` and the document, as a ``header`` struct or as text in ``doc``;
+    text is parsed for new paths only. Headers of known paths are dropped before any
     of them moves, when the new paths are few. A path has one header; if several landed,
     the smallest counts, so a path with many copies is combined where it lies.
     """
@@ -31,7 +33,10 @@ def read_new(listing: DataFrame, headers: DataFrame, held: DataFrame, bucket_roo
     flat = H.flatten(F.col("header"))
     flat.pop("raster")
     # cut down to the catalog columns before the shuffle: a document is far larger
-    slim = headers.join(wanted, "path", "left_semi").select(
+    kept = headers.join(wanted, "path", "left_semi")
+    if "header" not in kept.columns:
+        kept = readers.parse_headers(kept)
+    slim = kept.select(
         "path", F.struct(*[c.alias(n) for n, c in flat.items()]).alias("core")
     )
     of_new = slim.groupBy("path").agg(F.min("core").alias("core"))
@@ -40,7 +45,7 @@ def read_new(listing: DataFrame, headers: DataFrame, held: DataFrame, bucket_roo
     )
     reason = (
         F.when(~F.col("path").startswith(bucket_root), F.lit("bucket"))
-        .when(~F.col("has_header"), F.lit("header"))
+        .when(~F.col("has_header") | F.col("n_cols").isNull(), F.lit("header"))
         .when(F.col("pixel_type").isNull(), F.lit("pixel type"))
     )
     return rows.select(*CORE, reason.alias("reject_reason"))

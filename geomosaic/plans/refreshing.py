@@ -16,9 +16,8 @@ ROOT = f"/vsis3/{views.BUCKET}/"
 def new_core(spark, sf_dir, name):
     """Core rows that this run adds, for scenes named by ``name``."""
     docs = views.header_docs_of(views.granules(spark, sf_dir), name)
-    parsed = readers.parse_headers(docs).select("path", "header")
     held = held_paths(spark, sf_dir, name)
-    return ingest.accepted(ingest.read_new(docs.select("path"), parsed, held, ROOT))
+    return ingest.accepted(ingest.read_new(docs.select("path"), docs.select("path", "doc"), held, ROOT))
 
 
 def held_paths(spark, sf_dir, name):
@@ -118,8 +117,7 @@ def refresh_hand(spark, sf_dir):
     docs = views.header_docs_of(views.granules(spark, sf_dir), "hand_name")
     listed = readers.list_matching(docs.select("path"))
     none_held = listed.where(F.lit(False))
-    parsed = readers.parse_headers(docs).select("path", "header")
-    rows = ingest.read_new(listed, parsed, none_held, ROOT)
+    rows = ingest.read_new(listed, docs.select("path", "doc"), none_held, ROOT)
     core = ingest.accepted(rows)
     fields = names.hand_fields(F.col("name"), F.lit(views.SITE))
     dated = core.withColumn("start_date", F.lit(None).cast("timestamp_ntz"))
@@ -163,6 +161,5 @@ def refresh_rejects(spark, sf_dir):
             F.col("doc")
         ),
     )
-    parsed = readers.parse_headers(landed).select("path", "header")
-    rows = ingest.read_new(docs.select("path"), parsed, held, ROOT)
+    rows = ingest.read_new(docs.select("path"), landed.select("path", "doc"), held, ROOT)
     return ingest.rejected(rows).groupBy("reject_reason").agg(F.count("*").alias("n"))

@@ -54,6 +54,13 @@ def test_new_rows_and_rejects(spark):
     assert (row.x_min, row.y_max, row.pixel_type, row.srs) == (0.0, 200.0, 3, "32610")
 
 
+def test_documents_may_be_text(spark):
+    good = scene(1)
+    docs = spark.createDataFrame([(good, header(good)), (scene(2), "not json")], "path string, doc string")
+    rows = ingest.read_new(paths_of(spark, [good, scene(2)]), docs, paths_of(spark, []), ROOT)
+    assert {r.path: r.reject_reason for r in rows.collect()} == {good: None, scene(2): "header"}
+
+
 def test_bad_names_are_rejected(spark):
     rows = spark.createDataFrame([("S1A_IW_20240101T000000_DVP_RTC30_G_gpuned_00FF_VV",), ("short",)], "name string")
     checked = ingest.check_attributes(rows.withColumns(names.rtc_fields(F.col("name"), F.lit(""))), ("tag", "start_date"))
