@@ -4,17 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geomosaic.llm import minhash
+from geomosaic.llm import exact_dedup, minhash
 from geomosaic.llm.common import read
 
 
+def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group, size and verdict of every document."""
+    return exact_dedup.exact_duplicates(read(spark, sf_dir, "documents")).drop("n_chars")
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component and verdict of every document."""
     return minhash.near_duplicates(read(spark, sf_dir, "documents")).drop("mark")
 
 
 QUERIES = {
+    "op6_exact_dedup": op6_exact_dedup,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op6_exact_dedup": r"""
+        WITH d AS (
+            SELECT doc_id, length(coalesce(text, '')) AS n_chars,
+                   sha256(regexp_replace(coalesce(text, ''), '[ \t-\r]+', '', 'g')) AS text_sha256
+            FROM documents),
+        r AS (
+            SELECT *, first_value(doc_id) OVER w AS keep_id, row_number() OVER w AS place,
+                   count(*) OVER (PARTITION BY text_sha256) AS group_size
+            FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY n_chars DESC, doc_id))
+        SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM r""",
+}
