@@ -3,27 +3,93 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from geomosaic.llm import exact_dedup, minhash
+from geomosaic.llm import chat, exact_dedup, minhash, quality_classifier, quality_rules, sharding
 from geomosaic.llm.common import read
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score and prediction of every document."""
+    docs = read(spark, sf_dir, "documents")
+    return quality_classifier.scores(docs, quality_classifier.fit(docs, read(spark, sf_dir, "labels")))
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict of every document."""
+    return quality_rules.judge(read(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group, size and verdict of every document."""
     return exact_dedup.exact_duplicates(read(spark, sf_dir, "documents")).drop("n_chars")
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document, shards of equal row counts."""
+    assigned = sharding.interleave(read(spark, sf_dir, "documents"), shards=8)
+    return assigned.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+#: A conversation that says the markers of a chat template itself.
+_TRAP = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every formatted conversation, read back from its segments."""
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    turns = turns.unionByName(spark.createDataFrame(_TRAP, "conv_id long, turn long, role string, text string"))
+    return chat.read_back(chat.segments(turns))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component and verdict of every document."""
     return minhash.near_duplicates(read(spark, sf_dir, "documents")).drop("mark")
 
 
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
+    "op4_quality_rules": op4_quality_rules,
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_sharding": op8_sharding,
+    "op9_chat_format": op9_chat_format,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
 ORACLES = {
+    "op4_quality_rules": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^ \t-\r]+') AS w
+            FROM documents),
+        p AS (
+            SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, unnest(w[1:len(w) - 2]) AS x, unnest(w[2:len(w) - 1]) AS y,
+                   unnest(w[3:len(w)]) AS z
+            FROM d WHERE len(w) > 2),
+        f AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, x, y, z) AS n FROM p),
+        r AS (
+            SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words
+            FROM f, (VALUES (0), (1), (2)) AS o(k) WHERE n > 1 GROUP BY doc_id),
+        l AS (
+            SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ \t-\r]')) AS lines,
+                   length(regexp_replace(t, '[^!?]', '', 'g')) AS marks,
+                   length(regexp_replace(t, '[^A-Z]', '', 'g')) AS upper_,
+                   length(regexp_replace(t, '[^a-z]', '', 'g')) AS lower_
+            FROM d),
+        b AS (
+            SELECT doc_id, len(w) AS n_words, length(regexp_replace(t, '[ \t-\r]+', '', 'g')) AS word_chars,
+                   length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+                   len(lines) - len(list_distinct(lines)) AS n_dup_lines, len(lines) AS n_lines,
+                   coalesce(n_repeat_words, 0) AS n_repeat_words, marks, upper_, lower_
+            FROM d JOIN l USING (doc_id) LEFT JOIN r USING (doc_id))
+        SELECT doc_id, n_words, word_chars, n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines, n_repeat_words,
+               n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+               NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 100 * n_symbols > 10 * n_words
+                    OR 100 * marks > 20 * n_words OR 2 * upper_ > lower_ + upper_
+                    OR word_chars < 2 * n_words OR word_chars > 15 * n_words
+                    OR 100 * n_dup_lines > 50 * n_lines) AS kept
+        FROM b""",
     "op6_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, length(coalesce(text, '')) AS n_chars,
@@ -34,4 +100,24 @@ ORACLES = {
                    count(*) OVER (PARTITION BY text_sha256) AS group_size
             FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY n_chars DESC, doc_id))
         SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM r""",
+    "op9_chat_format": """
+        WITH t AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+        m AS (
+            SELECT list_sum(list_transform(
+                       ['␛', '<|turn|>', '<|says|>', '<|end|>', '<s>', '</s>', '[INST]', '[/INST]', '<<SYS>>',
+                        '<</SYS>>', '<|im_start|>', '<|im_end|>'],
+                       lambda c: (length(text) - length(replace(text, c, ''))) // length(c))) AS escapes,
+                   lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS before, *
+            FROM t)
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(24 + length(role) + length(text) + escapes) AS BIGINT) AS formatted_chars,
+               count(*) FILTER (NOT list_contains(
+                   CASE before WHEN 'system' THEN ['user'] WHEN 'user' THEN ['assistant'] WHEN 'assistant' THEN ['user', 'tool']
+                               WHEN 'tool' THEN ['assistant', 'tool'] ELSE ['system', 'user'] END, role)) AS n_bad_turns
+        FROM m GROUP BY conv_id""",
 }
