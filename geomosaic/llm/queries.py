@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geomosaic.llm import chat, exact_dedup, minhash, quality_classifier, quality_rules, sharding
+from geomosaic.llm import bpe_codec, chat, exact_dedup, minhash, packing, quality_classifier, quality_rules, sharding, token_counts
 from geomosaic.llm.common import read
 
 
@@ -15,16 +15,41 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.scores(docs, quality_classifier.fit(docs, read(spark, sf_dir, "labels")))
 
 
+def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of every document and of the text decoded from them."""
+    docs = read(spark, sf_dir, "documents")
+    decoded = bpe_codec.decode(bpe_codec.encode(docs, bpe_codec.frequent_lexicon(docs)))
+    return decoded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of every document."""
     return quality_rules.judge(read(spark, sf_dir, "documents"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The length histogram of all documents with its sums."""
+    return token_counts.histogram(token_counts.lengths(read(spark, sf_dir, "documents")))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group, size and verdict of every document."""
     return exact_dedup.exact_duplicates(read(spark, sf_dir, "documents")).drop("n_chars")
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents and their places in sequences."""
+    pieces = packing.pack(read(spark, sf_dir, "documents"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document, shards of equal row counts."""
     assigned = sharding.interleave(read(spark, sf_dir, "documents"), shards=8)
@@ -51,8 +76,11 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op3_bpe_codec": op3_bpe_codec,
     "op4_quality_rules": op4_quality_rules,
+    "op5_token_counts": op5_token_counts,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_packing": op7_packing,
     "op8_sharding": op8_sharding,
     "op9_chat_format": op9_chat_format,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
