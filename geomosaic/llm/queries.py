@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geomosaic.llm import bpe_codec, chat, exact_dedup, minhash, packing, quality_classifier, quality_rules, sharding, token_counts
+from geomosaic.llm import bpe_codec, chat, exact_dedup, minhash, packing, quality_classifier, quality_rules, sharding, suffix_tree, token_counts
 from geomosaic.llm.common import read
 
 
@@ -15,6 +15,11 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.scores(docs, quality_classifier.fit(docs, read(spark, sf_dir, "labels")))
 
 
+def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model score and base score of every document."""
+    return suffix_tree.scores(read(spark, sf_dir, "documents"))
+
+
 def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids of every document and of the text decoded from them."""
     docs = read(spark, sf_dir, "documents")
@@ -76,6 +81,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_lm_scores": op2_lm_scores,
     "op3_bpe_codec": op3_bpe_codec,
     "op4_quality_rules": op4_quality_rules,
     "op5_token_counts": op5_token_counts,
