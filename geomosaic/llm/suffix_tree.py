@@ -33,6 +33,8 @@ FOLDS, HELD_OUT = 7, 2
 DEPTH = 2
 #: Least share of a symbol or context, and of a context with its next symbol, among training tokens.
 MIN_SHARE, MIN_ENTRY = 1e-5, 1e-6
+#: Least count of a symbol or context, whatever its share.
+MIN_COUNT = 5
 #: Least share of a word whose count is sent to every task.
 HEAD_SHARE = 1e-6
 #: Weight of the shorter state's distribution, in counts.
@@ -179,7 +181,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
 def vocabulary(words: DataFrame) -> Vocabulary:
     """From (word, ending, n) rows. What comes to the driver is bounded by the least shares and by 65,536 endings."""
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    least = max(1, MIN_SHARE * total)
+    least = max(MIN_COUNT, MIN_SHARE * total)
     head = words.where(F.col("n") >= HEAD_SHARE * total).select("word", "n").toPandas().sort_values("word")
     head_words, head_counts = head["word"].to_numpy(np.int64), head["n"].to_numpy(float)
     often = head_counts >= least
@@ -230,7 +232,7 @@ def grow(docs: DataFrame, words: Vocabulary) -> Tree:
     """The tree of the texts of ``docs``, a depth at a time; a depth's contexts are the frequent runs of the depth before."""
     total = words.symbol_counts.sum()
     tree = Tree((words.symbol_counts + 0.5) / (total + 0.5 * len(words.symbol_counts)))
-    frequent = words.symbol_counts >= MIN_SHARE * total
+    frequent = words.symbol_counts >= max(MIN_COUNT, MIN_SHARE * total)
     frequent[START] = True
     tree.contexts.append(np.flatnonzero(frequent))
     for depth in range(1, DEPTH + 1):
@@ -271,7 +273,7 @@ def _add_states(tree: Tree, depth: int, rows, total: float) -> None:
 
 def _longer(tree: Tree, depth: int, rows, total: float) -> np.ndarray:
     """Keys of the contexts one symbol longer: frequent contexts with the symbol that followed as their last one."""
-    often = rows[rows["n"] >= MIN_SHARE * total]
+    often = rows[rows["n"] >= max(MIN_COUNT, MIN_SHARE * total)]
     keys = often["key"].to_numpy(np.int64)
     last, older = keys & ((1 << _BITS) - 1), _symbols_of(tree, keys >> _BITS, depth)
     before = [last, *older]
