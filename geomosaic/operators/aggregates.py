@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geomosaic.functions import dates, scales
+from geomosaic.operators.bounded import join_measured
 
 STATISTICS_SKIP = 5
 RANGE_FACTOR = 10
@@ -115,14 +116,20 @@ def statistics(pixels: DataFrame, group: Sequence[str], value: str = "v") -> Dat
     )
 
 
-def histogram(pixels: DataFrame, group: Sequence[str], low: float, high: float, bins: int, value: str = "v") -> DataFrame:
-    """Counts per bin of equal width; the upper edge belongs to the last bin."""
+def histogram(pixels: DataFrame, group: Sequence[str], bins: int, value: str = "v") -> DataFrame:
+    """Counts per bin of equal width between the least and the greatest value of each group.
+
+    The upper edge belongs to the last bin, a group of one value to the first. Nulls are left out; every
+    other pixel is counted. Values are counted first, so what is joined with the range of its group is
+    each distinct value once, and no pixel moves.
+    """
     v = F.col(value)
-    bin_number = F.least(F.width_bucket(v, F.lit(low), F.lit(high), F.lit(bins)), F.lit(bins).cast("bigint"))
-    return (
-        pixels.where(v.between(low, high))
-        .groupBy(*group, bin_number.alias("bin"))
-        .agg(F.count("*").alias("n_pixels"))
+    counted = pixels.where(v.isNotNull() & ~F.isnan(v)).groupBy(*group, v.alias("_v")).agg(F.count("*").alias("_n"))
+    ends = counted.groupBy(*group).agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+    placed = join_measured(counted, ends, group)
+    bin_number = F.least(F.width_bucket("_v", "_low", "_high", F.lit(bins)), F.lit(bins).cast("bigint"))
+    return placed.groupBy(*group, F.when(F.col("_low") < F.col("_high"), bin_number).otherwise(F.lit(1).cast("bigint")).alias("bin")).agg(
+        F.sum("_n").alias("n_pixels")
     )
 
 

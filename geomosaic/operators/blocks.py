@@ -19,7 +19,6 @@ from geomosaic.functions import scales
 from geomosaic.session import reliable_checkpoint, staged
 
 HOT_PARTS = 4096
-HOT_BLOCKS = 10_000
 _BLOCK = ["block_row", "block_col"]
 
 
@@ -66,13 +65,9 @@ def cut(blocks: DataFrame, keys: Sequence[str], size: int) -> DataFrame:
 
 
 def _hot_blocks(parts: DataFrame, group: list[str], hot_parts: int) -> DataFrame:
-    """Output blocks with many parts, and the number of slices they are cut into.
-
-    At most ``HOT_BLOCKS`` rows, the fullest first; one left out is merged by one task.
-    """
+    """All output blocks with many parts, and the number of slices they are cut into."""
     counted = parts.groupBy(*group, *_BLOCK).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_parts)
-    fullest = counted.orderBy(F.col("_n").desc(), *group, *_BLOCK).limit(HOT_BLOCKS)
-    return reliable_checkpoint(fullest.withColumn("_n", F.ceil(F.col("_n") / F.lit(hot_parts)).cast("int")))
+    return reliable_checkpoint(counted.withColumn("_n", F.ceil(F.col("_n") / F.lit(hot_parts)).cast("int")))
 
 
 def _merged(parts: DataFrame, keys: list[str], size: int, low: float, high: float) -> DataFrame:
@@ -123,7 +118,7 @@ def first_merge_blocks(
     if hot.isEmpty():
         return _merged(parts, [*group, *_BLOCK], size, low, high).drop("mosaic_rank")
     n = F.coalesce("_n", F.lit(1))
-    sliced = parts.join(F.broadcast(hot), [*group, *_BLOCK], "left").withColumn(
+    sliced = parts.join(hot, [*group, *_BLOCK], "left").withColumn(
         "_slice", F.pmod(F.xxhash64("mosaic_rank"), n).cast("int")
     )
     sliced = sliced.withColumn("_n", n)

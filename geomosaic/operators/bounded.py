@@ -3,29 +3,43 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from geomosaic.session import reliable_checkpoint
 
-BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 32 << 20
+_GROUP_LIMIT_KEY = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Measure whether a side is small. Counts per task, so that no rows move; give it
+def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Measure in bytes whether a side is small. Summed per task, so that no rows move; give it
     a side that is checkpointed or stored."""
-    return df.count() <= max_rows
+    fixed = 16 + 16 * len(df.columns)
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema.fields if f.dataType.simpleString() == "string"]
+    nested = [F.octet_length(F.to_json(f.name)) for f in df.schema.fields if f.dataType.simpleString().startswith(("array", "struct", "map"))]
+    width = sum([*texts, *(F.coalesce(n, F.lit(0)) for n in nested)], F.lit(fixed))
+    return (df.agg(F.sum(width.cast("long"))).first()[0] or 0) <= max_bytes
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which a null key meets a null key; the keys come from the left side."""
+    renamed = right.withColumnsRenamed({c: f"_of_{c}" for c in on})
+    same = reduce(and_, (left[c].eqNullSafe(renamed[f"_of_{c}"]) for c in on))
+    return left.join(renamed, same, how).drop(*(f"_of_{c}" for c in on))
 
 
 def join_measured(
-    big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner", max_rows: int = BROADCAST_ROWS
+    big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner", max_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Broadcast ``small`` when its measured size allows it; else a shuffled join,
-    whose hot partitions adaptive execution splits. ``small`` is computed once."""
+    whose hot partitions adaptive execution splits. ``small`` is computed once. Null keys meet null keys."""
     small = reliable_checkpoint(small)
-    side = F.broadcast(small) if fits_broadcast(small, max_rows) else small
-    return big.join(side, list(on), how)
+    side = F.broadcast(small) if fits_broadcast(small, max_bytes) else small
+    return join_null_safe(big, side, list(on), how)
 
 
 def ranked(
@@ -56,7 +70,7 @@ def ranked(
     )
     inside = Window.partitionBy(*group, "_range").orderBy(*order)
     return (
-        placed.join(offsets, [*group, "_range"])
+        join_null_safe(placed, offsets, [*group, "_range"])
         .withColumn(name, (F.row_number().over(inside) + F.col("_before")).cast("bigint"))
         .drop("_range", "_before")
     )
@@ -64,6 +78,8 @@ def ranked(
 
 def first_n(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int, name: str = "mosaic_rank") -> DataFrame:
     """The first ``n`` rows of each group. Every task keeps at most ``n`` rows per group
-    before the shuffle, so a hot group stays small."""
+    before the shuffle, so a hot group stays small; for an ``n`` beyond what Spark plans so, all rows are ranked."""
+    if n > int(df.sparkSession.conf.get(_GROUP_LIMIT_KEY)):
+        return ranked(df, group, order, name).where(F.col(name) <= n)
     window = Window.partitionBy(*group).orderBy(*order)
     return df.withColumn(name, F.row_number().over(window)).where(F.col(name) <= n).withColumn(name, F.col(name).cast("bigint"))

@@ -133,8 +133,8 @@ def is_overview() -> Column:
 
 
 def source_items(items: DataFrame, tag: str = "tag") -> DataFrame:
-    """Items without the freshly added overview, which is tagged ``Dataset``."""
-    return items.where(F.col(tag) != "Dataset")
+    """Items without the freshly added overview, which is tagged ``Dataset``; an item without a tag is a source."""
+    return items.where(~F.col(tag).eqNullSafe("Dataset"))
 
 
 def append_overview(items: DataFrame, overviews: DataFrame) -> DataFrame:
@@ -188,7 +188,7 @@ def repair_paths(items: DataFrame, roots: Mapping[str, str], path: str = "path")
     """Replace an old path root by its new one; the longest matching root wins."""
     fixed = F.col(path)
     for old in sorted(roots, key=len):
-        moved = F.concat(F.lit(roots[old]), F.substring(F.col(path), len(old) + 1, 1_000_000))
+        moved = F.concat(F.lit(roots[old]), F.col(path).substr(F.lit(len(old) + 1), F.length(path)))
         fixed = F.when(F.col(path).startswith(old), moved).otherwise(fixed)
     return items.withColumn(path, fixed)
 

@@ -30,7 +30,7 @@ def select_items(items: DataFrame, requests: DataFrame, by_time: bool = False) -
     """Pairs of a request and an item that it shows: space, pixel size, and time.
 
     Requests carry ``rx_min … ry_max``, ``cell``, ``t_from`` and ``t_to``; a null time
-    means that time is not asked for. Items without dates pass only such requests.
+    on both sides means that time is not asked for, on one side that it is open there. Items without dates pass only such requests.
 
     ``by_time`` parts the join by dates too. It pays where many requests meet many scenes
     of one place, as each scene then meets the requests of its days only; elsewhere the
@@ -38,7 +38,9 @@ def select_items(items: DataFrame, requests: DataFrame, by_time: bool = False) -
     """
     in_time = (
         (F.col("t_from").isNull() & F.col("t_to").isNull())
-        | dates.overlaps(F.col("start_date"), F.col("end_date"), F.col("t_from"), F.col("t_to"))
+        | dates.overlaps(
+            F.col("start_date"), F.col("end_date"), F.coalesce("t_from", "end_date"), F.coalesce("t_to", "start_date")
+        )
     )
     item_times, request_times = (("start_date", "end_date"), ("t_from", "t_to")) if by_time else ((), ())
     pairs = join_boxes(

@@ -19,8 +19,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 200_000
-HOT_CELLS = 10_000
+# rows of a side that one task takes of one cell at most
+HOT_ROWS = 20_000
 MIN_LEVEL, MAX_LEVEL = -30, 60
 # time levels are powers of two of a microsecond; at the open level all times are one cell
 MIN_TIME_LEVEL, MAX_TIME_LEVEL, OPEN_TIME_LEVEL = 20, 61, 62
@@ -122,11 +122,7 @@ def _time_cell(when: Column) -> Column:
 
 
 def hot_cells(left: DataFrame, right: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Crowded cells with the number of slices each side is cut into.
-
-    At most ``HOT_CELLS`` rows, the most crowded first. A cell left out is joined whole,
-    so the bound costs speed at worst and never a result.
-    """
+    """All crowded cells, with the number of slices each side is cut into."""
     counted = (
         left.select(*_CELL, F.lit(1).alias("l"), F.lit(0).alias("r"))
         .unionByName(right.select(*_CELL, F.lit(0).alias("l"), F.lit(1).alias("r")))
@@ -134,14 +130,10 @@ def hot_cells(left: DataFrame, right: DataFrame, hot_rows: int = HOT_ROWS) -> Da
         .agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
         .where((F.greatest("l", "r") > hot_rows) & (F.least("l", "r") > 0))
     )
-    return (
-        counted.orderBy(F.greatest("l", "r").desc(), *_CELL)
-        .limit(HOT_CELLS)
-        .select(
-            *_CELL,
-            F.ceil(F.col("l") / F.lit(hot_rows)).cast("int").alias("_nl"),
-            F.ceil(F.col("r") / F.lit(hot_rows)).cast("int").alias("_nr"),
-        )
+    return counted.select(
+        *_CELL,
+        F.ceil(F.col("l") / F.lit(hot_rows)).cast("int").alias("_nl"),
+        F.ceil(F.col("r") / F.lit(hot_rows)).cast("int").alias("_nr"),
     )
 
 
@@ -152,7 +144,7 @@ def _slice(
 
     The slice is a hash of the row, so a task that runs again gives the same slices.
     """
-    tagged = df.join(F.broadcast(hot), _CELL, "left")
+    tagged = df.join(hot, _CELL, "left")
     own_n, other_n = F.coalesce(own, F.lit(1)), F.coalesce(other, F.lit(1))
     return (
         tagged.withColumn(own_slice, F.pmod(F.xxhash64(*identity), own_n).cast("int"))

@@ -79,12 +79,13 @@ def agg_statistics(spark, sf_dir):
 
 @query(
     "agg_histogram",
-    """select label, cast(least(floor(32.0*(v+0.5)/(0.5+0.5))+1, 32) as bigint) as bin, count(*) as n_pixels from pixels
-       where v between -0.5 and 0.5 group by 1, 2""",
+    """with e as (select label, min(v) as low, max(v) as high from pixels group by label)
+       select label, cast(least(floor(32.0*(v-low)/(high-low))+1, 32) as bigint) as bin, cast(count(*) as bigint) as n_pixels
+       from pixels join e using (label) group by 1, 2""",
 )
 def agg_histogram(spark, sf_dir):
     cells = views.tiles(spark, sf_dir).select("label", F.explode("values").alias("v"))
-    return aggregates.histogram(cells, ["label"], -0.5, 0.5, 32)
+    return aggregates.histogram(cells, ["label"], 32)
 
 
 @query(

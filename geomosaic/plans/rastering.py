@@ -128,7 +128,7 @@ def px_overview(spark, sf_dir):
     Only output cells are exploded; the pixels between their centres never become rows.
     """
     placed = join_measured(
-        views.tiles(spark, sf_dir).drop("name", "start_date"), mosaicking.ranked_items(spark, sf_dir), ["vec_id"]
+        views.tiles(spark, sf_dir), mosaicking.ranked_items(spark, sf_dir), ["vec_id"]
     )
     gridded = placed.select("*", F.inline(catalog.family_rows()))
     coarse = pixels.resample_nearest(
@@ -222,7 +222,7 @@ def px_project_3857(spark, sf_dir):
        where gx between x0 and x1 and gy between y0 and y1""",
 )
 def px_clip(spark, sf_dir):
-    tiles = views.tiles(spark, sf_dir).drop("name", "start_date")
+    tiles = views.tiles(spark, sf_dir)
     # the footprint stays in the row of its block
     framed = aggregates.footprint(tiles, ["vec_id", "label", "values", "n_cols"])
     cells = views.with_grid(
@@ -275,7 +275,7 @@ def px_identify(spark, sf_dir):
         "c_custkey*15485863%25000+0.5D as x",
         f"{views.TOP}D-(c_custkey*32452843%25000+0.5D) as y",
     )
-    slim = views.tiles(spark, sf_dir).select("vec_id", "name", "start_date", "x_min", "y_min", "x_max", "y_max")
+    slim = views.dated_tiles(spark, sf_dir).select("vec_id", "name", "start_date", "x_min", "y_min", "x_max", "y_max")
     pairs = join_boxes(slim, points, Box(), Box("x", "y", "x", "y"), half_open=True)
     held = views.table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("values"))
     found = pairs.join(held, "vec_id").withColumns(
@@ -294,7 +294,7 @@ def px_identify(spark, sf_dir):
          min(x_min) as x_min, max(y_max) as y_max, 1::bigint as n_overviews from tiles""",
 )
 def px_overview_item(spark, sf_dir):
-    slim = views.tiles(spark, sf_dir).select(
+    slim = views.dated_tiles(spark, sf_dir).select(
         F.lit("TILES").alias("dataset"), "name", F.lit("t").alias("tag"), "start_date", "x_min", "y_min", "x_max", "y_max"
     )
     found = catalog.overview_records(slim, F.lit("FIXTURE_TILES_240131_0000_overview")).withColumn(

@@ -236,9 +236,8 @@ def chosen(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Block rows of 8 x 8 cells of 450 m, dated and named by the scene of the same number."""
-    dated = granules(spark, sf_dir).selectExpr("event_id as vec_id", "opera_name as name", "start_date")
-    blocks = table(spark, sf_dir, "embeddings").selectExpr(
+    """Block rows of 8 x 8 cells of 450 m."""
+    return table(spark, sf_dir, "embeddings").selectExpr(
         "vec_id",
         "label",
         "cast(embedding as array<double>) as values",
@@ -250,7 +249,12 @@ def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
         "(vec_id%10)*1800.0D+3600 as x_max",
         f"{TOP}D - label*1800.0D - 3600 as y_min",
     )
-    return blocks.join(dated, "vec_id", "left")
+
+
+def dated_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tiles without their pixels, dated and named by the scene of the same number."""
+    dated = granules(spark, sf_dir).selectExpr("event_id as vec_id", "opera_name as name", "start_date")
+    return tiles(spark, sf_dir).drop("values").join(dated, "vec_id", "left")
 
 
 def with_grid(cells: DataFrame) -> DataFrame:
@@ -274,7 +278,7 @@ def tile_views(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tile_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tiles that overlap a view, without their pixels."""
-    slim = tiles(spark, sf_dir).select("vec_id", "name", "start_date", "x_min", "y_min", "x_max", "y_max")
+    slim = dated_tiles(spark, sf_dir).select("vec_id", "name", "start_date", "x_min", "y_min", "x_max", "y_max")
     return join_boxes(
         slim, tile_views(spark, sf_dir), Box(), Box("vx_min", "vy_min", "vx_max", "vy_max")
     )

@@ -45,9 +45,20 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def run_dir(spark: SparkSession) -> str:
+    """The folder of this application below the shared one; ``close_work`` removes it."""
+    return f"{shared_dir(spark)}/geomosaic/{spark.sparkContext.applicationId}"
+
+
 def work_path(spark: SparkSession, name: str) -> str:
-    """A new path for one run below the shared folder; never reused."""
-    return f"{shared_dir(spark)}/geomosaic/{name}/{uuid.uuid4().hex}"
+    """A new path for one table of this run; never reused."""
+    return f"{run_dir(spark)}/{name}/{uuid.uuid4().hex}"
+
+
+def close_work(spark: SparkSession) -> None:
+    """Remove what this application has staged and checkpointed, once its results are read or stored."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
@@ -55,7 +66,7 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(f"{shared_dir(spark)}/geomosaic-checkpoints")
+        context.setCheckpointDir(f"{run_dir(spark)}/checkpoints")
     return df.checkpoint()
 
 

@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from geomosaic.session import local_session  # noqa: E402
+from geomosaic.session import close_work, local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -14,4 +14,6 @@ def spark(tmp_path_factory):
     session = local_session("4", "tests", **{"spark.checkpoint.dir": str(shared)})
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    close_work(session)
+    assert not list((shared / "geomosaic").glob("*"))
     session.stop()

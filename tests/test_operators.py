@@ -142,7 +142,7 @@ def test_join_measured_beyond_its_bound(spark):
     big = spark.range(100).withColumn("k", F.col("id") % 10)
     small = spark.range(10).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     for bound in (100, 3):
-        assert bounded.join_measured(big, small, ["k"], max_rows=bound).where("v = 2 * k").count() == 100
+        assert bounded.join_measured(big, small, ["k"], max_bytes=bound).where("v = 2 * k").count() == 100
 
 
 def test_cap_is_planned_before_the_shuffle(spark):
@@ -286,8 +286,23 @@ def test_statistics_skip(spark):
 
 def test_histogram_edges(spark):
     df = spark.createDataFrame([(v,) for v in (0.0, 0.5, 0.99, 1.0, 1.01, -0.1)], "v double")
-    got = {r.bin: r.n_pixels for r in aggregates.histogram(df, [], 0.0, 1.0, 2).collect()}
-    assert got == {1: 1, 2: 3}
+    df = df.unionByName(spark.createDataFrame([(None,), (float("nan"),)], "v double")).withColumn("g", F.lit(1))
+    got = {r.bin: r.n_pixels for r in aggregates.histogram(df, ["g"], 2).collect()}
+    assert got == {1: 2, 2: 4}
+    same = df.where("v = 0.5")
+    assert [(r.bin, r.n_pixels) for r in aggregates.histogram(same, ["g"], 2).collect()] == [(1, 1)]
+
+
+def test_long_paths_null_tags_and_null_groups_stay(spark):
+    path = "/old/" + "x" * 1_200_000
+    moved = catalog.repair_paths(spark.createDataFrame([(path,)], "path string"), {"/old/": "/n/"}).first().path
+    assert len(moved) == len(path) - 2
+    tags = spark.createDataFrame([("Dataset",), (None,), ("a",)], "tag string")
+    assert {r.tag for r in catalog.source_items(tags).collect()} == {None, "a"}
+    rows = spark.createDataFrame([(None, 1), (None, 2), ("g", 3)], "g string, k int")
+    assert sorted(r.mosaic_rank for r in bounded.ranked(rows, ["g"], [F.col("k")]).collect()) == [1, 1, 2]
+    many = bounded.first_n(rows, ["g"], [F.col("k")], 5000)
+    assert many.count() == 3
 
 
 def test_covered_cells_stop_at_the_edge(spark):
