@@ -54,7 +54,7 @@ class Encoder:
             found = tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
             return [array("I", e.ids).tobytes() for e in found]
 
-        self.known = Remembered(ids_of)
+        self.known = Remembered(ids_of, 400_000)
 
     def __call__(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each text, its ids with the end id, and the token counts at which a sentence ends, the last included."""
