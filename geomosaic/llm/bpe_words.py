@@ -19,14 +19,14 @@ from tokenizers import Tokenizer
 _COVERED = 0x500
 
 
-def _class(kind: str) -> str:
-    """The covered characters of a Unicode class, as ranges of a character class."""
-    codes = [c for c in range(_COVERED) if regex.match(kind, chr(c))]
+def covered(kind: str, end: int = _COVERED) -> str:
+    """The characters of a Unicode class below ``end``, as ranges of a character class."""
+    codes = [c for c in range(end) if regex.match(kind, chr(c))]
     runs = [[c for _, c in run] for _, run in itertools.groupby(enumerate(codes), lambda x: x[1] - x[0])]
     return "".join(f"\\u{run[0]:04x}-\\u{run[-1]:04x}" for run in runs)
 
 
-_L, _N, _S = (_class(kind) for kind in (r"\p{L}", r"\p{N}", r"\s"))
+_L, _N, _S = (covered(kind) for kind in (r"\p{L}", r"\p{N}", r"\s"))
 #: How the byte-level tokenizer cuts a text (fixed rule), for covered characters.
 _PIECES = re.compile(
     f" ?[{_L}]+| ?[^{_S}{_L}{_N}']+| ?[{_N}]+|'(?:s|t|re|ve|m|ll|d)| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+"
@@ -58,6 +58,9 @@ def _byte_signs() -> list[str]:
     return [chr(b) if b in own else chr(next(others)) for b in range(256)]
 
 
+BYTE_SIGNS = _byte_signs()
+
+
 class ByteTokenizer:
     """The byte-level tokenizer of a file: cutting, exact merging of one piece, bytes of an id."""
 
@@ -67,9 +70,8 @@ class ByteTokenizer:
         spec = json.loads(text)
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self._added = re.compile("|".join(map(re.escape, self.added))) if self.added else None
-        signs = _byte_signs()
-        self._signs = str.maketrans(dict(enumerate(signs)))
-        byte_of = {s: b for b, s in enumerate(signs)}
+        self._signs = str.maketrans(dict(enumerate(BYTE_SIGNS)))
+        byte_of = {s: b for b, s in enumerate(BYTE_SIGNS)}
         size = max([*spec["model"]["vocab"].values(), *self.added.values()]) + 1
         #: The bytes of each id.
         self.tokens = [b""] * size

@@ -14,6 +14,7 @@ need no padding, where that costs less than padding it.
 from __future__ import annotations
 
 import os
+import re
 from array import array
 from collections import deque
 
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from geomosaic.llm.bpe_words import Remembered
+from geomosaic.llm.bpe_words import BYTE_SIGNS, covered
 from geomosaic.llm.common import slices
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -36,39 +37,88 @@ BLOCK_TOKENS = 1 << 19
 SENTENCE_CUT, INNER_CUT = 24, 96
 #: Tokens of a sentence after which it may be cut inside.
 STRIDE = 256
+#: Distinct words that a task remembers before it starts anew.
+MOST_WORDS = 400_000
+
+#: Characters that normalizing only lower-cases, one by one: printable ASCII and composed Latin letters.
+_PLAIN = re.compile("[!-~\u00c0-\u012f\u0131-\u017e]+")
+_L = covered(r"\p{L}", 0x180)
+#: How the tokenizer cuts a plain word in lower case (fixed rule).
+_PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[0-9]|[^{_L}0-9]+")
+
+
+class _Pieces(dict):
+    """Ids of pieces of plain words, merged by the tokenizer's model and remembered."""
+
+    def __init__(self, tokenizer: Tokenizer):
+        super().__init__()
+        self.model = tokenizer.model
+
+    def __missing__(self, piece: str) -> bytes:
+        signs = piece if piece.isascii() else "".join(BYTE_SIGNS[b] for b in piece.encode())
+        ids = self[piece] = array("I", [t.id for t in self.model.tokenize(signs)]).tobytes()
+        return ids
+
+
+class _Places(dict):
+    """The place of each word met so far in flat tables of ids."""
+
+    def __init__(self, tokenizer: Tokenizer):
+        super().__init__()
+        self.tokenizer, self.pieces = tokenizer, _Pieces(tokenizer)
+        self.ids, self.ends, self.stops = array("I"), array("q", [0]), bytearray()
+
+    def __missing__(self, word: bytes) -> int:
+        text = word.decode()
+        if _PLAIN.fullmatch(text) and "<|" not in text:
+            text = text.lower()
+            for piece in (text,) if text.isascii() and text.isalpha() else _PIECES.findall(text):
+                self.ids.frombytes(self.pieces[piece])
+        else:
+            self.ids.extend(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        self.ends.append(len(self.ids))
+        self.stops.append(word[-1] in b".!?")
+        place = self[word] = len(self.stops) - 1
+        return place
 
 
 class Encoder:
     """Ids of a text and the places where its sentences end.
 
-    This tokenizer drops white space and merges nothing across it, so it is run once on each distinct word.
+    This tokenizer drops white space and merges nothing across it, so a word is encoded once and then looked up.
+    Words of plain letters and signs are cut by the same rule as the tokenizer's and merged by its model;
+    the tokenizer itself takes all others.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
-
-        def ids_of(words):
-            found = tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-            return [array("I", e.ids).tobytes() for e in found]
-
-        self.known = Remembered(ids_of, 400_000)
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.places = _Places(self.tokenizer)
 
     def __call__(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each text, its ids with the end id, and the token counts at which a sentence ends, the last included."""
-        cuts = [t.split() for t in texts]
-        self.known.learn(cuts)
-        return [self._one(c) for c in cuts]
-
-    def _one(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        parts = list(map(self.known.__getitem__, words))
-        ids = np.frombuffer(b"".join(parts) + array("I", [END_ID]).tobytes(), np.uint32)
-        ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts))) // 4
-        last = np.fromiter((w[-1] for w in words), np.uint8, len(words))
-        stops = ends[(last == 46) | (last == 33) | (last == 63)]
-        return ids, np.append(stops[stops < len(ids) - 1], len(ids))
+        if len(self.places) > MOST_WORDS:
+            self.places = _Places(self.tokenizer)
+        found = []
+        for text in texts:
+            words = text.split()
+            found.append(np.fromiter(map(self.places.__getitem__, words), np.int64, len(words)))
+        known = self.places
+        tables = np.array(known.ids, np.uint32), np.array(known.ends, np.int64), np.array(known.stops, bool)
+        return [self._one(places, *tables) for places in found]
+
+    @staticmethod
+    def _one(places: np.ndarray, ids: np.ndarray, bounds: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        first = bounds[places]
+        sizes = bounds[places + 1] - first
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        out = np.full(total + 1, END_ID, np.uint32)
+        out[:-1] = ids[np.arange(total) + np.repeat(first - ends + sizes, sizes)]
+        at = np.unique(ends[stops[places]])
+        return out, np.append(at[(at > 0) & (at < total)], total + 1)
 
 
 def with_strides(stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
