@@ -7,8 +7,11 @@ all bins too. Bands of bins are bucket keys. Equal sets share a node and so neve
 
 In a bucket every node is linked to the smallest node only: as many candidates as nodes. Candidates are
 confirmed on the full sets. While buckets hold more pairs across components than members, further stars
-follow around the members with most links, as long as each halves those pairs. In the end all nodes of one bucket that are in different components are
-compared with each other, so a star whose centre is not similar loses nothing.
+follow around the members with most links, as long as each halves those pairs. In the end all nodes of one
+bucket that are in different components are compared by size and by a bitmap of their sets, so a star whose
+centre is not similar loses nothing. A bit tells if an odd number of shingles falls on it; two bitmaps never differ
+in more bits than their sets in shingles, so what the bitmaps rule out is not similar for certain. The
+others are confirmed on the full sets.
 Two documents of similarity 0.75 share no bucket with probability (1 - 0.75^6)^50 = 6e-5, those
 of 0.8 with 3e-7.
 """
@@ -29,6 +32,8 @@ WORDS = 5
 BANDS, ROWS = 50, 6
 BINS = BANDS * ROWS
 PERCENT = 75
+#: Bits of a set's bitmap, in words of 64.
+BITMAP_WORDS = 16
 
 _rng = np.random.default_rng(20)
 _FACTORS = _rng.integers(0, 2**63, size=(WORDS + 1, WORDS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -69,6 +74,12 @@ def band_keys(shingles: np.ndarray) -> np.ndarray:
     return _mix((values.reshape(BANDS, ROWS) * _BAND_FACTORS).sum(axis=1, dtype=np.uint64) ^ _BAND_SALT)
 
 
+def bitmap(shingles: np.ndarray) -> np.ndarray:
+    """For each bit, if an odd number of shingles falls on it, as signed 64-bit words."""
+    odd = np.bincount(shingles.astype(np.int64) & (64 * BITMAP_WORDS - 1), minlength=64 * BITMAP_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def node_of(shingles: np.ndarray) -> int:
     """A signed 64-bit name of a set; equal sets have equal names."""
     return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
@@ -99,20 +110,26 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, shingles) of the wanted nodes (node, rep), read again from the text of one document each."""
+    """(node, shingles, size, bits) of the wanted nodes (node, rep), read again from the text of one document each."""
 
     def make(batches):
         cache = WordHash()
         for part, texts in slices(batches, "text"):
             sets = [shingle_set(t, cache) for t in texts]
-            rows = [(n, s.tobytes()) for n, s in zip(part.column(0).to_pylist(), sets, strict=True) if len(s) and n == node_of(s)]
+            rows = [(n, s) for n, s in zip(part.column(0).to_pylist(), sets, strict=True) if len(s) and n == node_of(s)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["node", "shingles"]
+                [
+                    pa.array([n for n, _ in rows], pa.int64()),
+                    pa.array([s.tobytes() for _, s in rows], pa.binary()),
+                    pa.array([len(s) for _, s in rows], pa.int64()),
+                    pa.array([bitmap(s) for _, s in rows], pa.list_(pa.int64())),
+                ],
+                ["node", "shingles", "size", "bits"],
             )
 
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
     joined = texts.join(wanted, texts["rep"].eqNullSafe(wanted["rep"])).select("node", "text")
-    return joined.mapInArrow(make, "node long, shingles binary")
+    return joined.mapInArrow(make, "node long, shingles binary, size long, bits array<long>")
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -166,7 +183,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         before = left
         links = staged(links.unionByName(_confirm(_hub_stars(mixed, links, turn), sets)), "links")
         turn += 1
-    links = links.unionByName(_confirm(_cross_pairs(mixed), sets))
+    links = links.unionByName(_confirm(_cross_pairs(mixed, sets), sets))
 
     found = components(links)
     of_row = signed.select("doc_id", "mark", "n_shingles", "node").join(found, "node", "left")
@@ -224,9 +241,17 @@ def _hub_stars(mixed: DataFrame, links: DataFrame, turn: int) -> DataFrame:
     return pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
 
-def _cross_pairs(mixed: DataFrame) -> DataFrame:
-    """All pairs of one bucket that are not in one component, without those that the first star has tested."""
-    left = mixed.where("node > centre").select("key", "node", "c")
-    right = left.select("key", F.col("node").alias("b"), F.col("c").alias("cb"))
-    pairs = left.join(right, "key").where((F.col("node") < F.col("b")) & (F.col("c") != F.col("cb")))
-    return pairs.select(F.col("node").alias("a"), "b").distinct()
+def _cross_pairs(mixed: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs of one bucket, not in one component and not tested by the first star, that size and bitmap do not rule out."""
+    bits = [f"bits_{k}" for k in range(BITMAP_WORDS)]
+    known = sets.select("node", "size", *[F.col("bits")[k].alias(b) for k, b in enumerate(bits)])
+    left = mixed.where("node > centre").select("key", "node", "c").join(known, "node")
+    right = left.select("key", *[F.col(n).alias(f"{n}_") for n in ("node", "c", "size", *bits)])
+    differ = sum((F.bit_count(F.col(b).bitwiseXOR(F.col(f"{b}_"))) for b in bits), F.lit(0))
+    total = F.col("size") + F.col("size_")
+    # the sets share at most (total - differ) / 2 shingles
+    similar = ((100 + PERCENT) * (total - differ) >= 2 * PERCENT * total) & (
+        100 * F.least("size", "size_") >= PERCENT * F.greatest("size", "size_")
+    )
+    pairs = left.join(right, "key").where((F.col("node") < F.col("node_")) & (F.col("c") != F.col("c_")) & similar)
+    return pairs.select(F.col("node").alias("a"), F.col("node_").alias("b")).distinct()

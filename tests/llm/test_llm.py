@@ -135,6 +135,16 @@ def test_near_duplicates_equal_all_pairs(spark):
     assert all(r.kept == (r.doc_id == r.component_id) for r in found)
 
 
+def test_bitmaps_never_differ_in_more_bits_than_their_sets_in_shingles():
+    rng = np.random.default_rng(5)
+    for size in (0, 1, 4, 150, 5_000):
+        common = rng.integers(0, 2**64, size, dtype=np.uint64)
+        for own in (0, 1, 30):
+            x, y = (np.unique(np.append(common, rng.integers(0, 2**64, own, dtype=np.uint64))) for _ in range(2))
+            differ = sum(bin(int(a)).count("1") for a in (minhash.bitmap(x) ^ minhash.bitmap(y)).view(np.uint64))
+            assert differ <= len(np.setxor1d(x, y))
+
+
 def test_fuse_filter_knows_its_keys_and_few_others():
     rng = np.random.default_rng(2)
     for n in (0, 1, 5, 1000, 30_000):
