@@ -31,11 +31,12 @@ def trailing_range(items: DataFrame, as_of: Column) -> DataFrame:
 def sliding_extent(items: DataFrame, as_of: Column, group: Sequence[str] = (), days: int = 7 * dates.EXTENT_WEEKS) -> DataFrame:
     """Windows of three weeks that step by a day across the trailing range.
 
-    Rows are counted per day first; only those counts are put into windows.
+    Rows of the range are counted per day first; only those counts are put into windows.
     """
     low, high = F.to_date(dates.range_start(as_of)), F.to_date(dates.range_end(as_of))
     steps = F.explode(F.sequence(F.lit(0), F.lit(days - 1)))
-    placed = daily_counts(items, group).withColumn("_back", steps)
+    inside = items.where((F.col("start_date") >= low) & (F.col("start_date") < high))
+    placed = daily_counts(inside, group).withColumn("_back", steps)
     placed = placed.withColumn("window_start", F.expr("day - _back")).withColumn(
         "window_end", F.date_add("window_start", days)
     )
