@@ -27,9 +27,10 @@ def covered(kind: str, end: int = _COVERED) -> str:
 
 
 _L, _N, _S = (covered(kind) for kind in (r"\p{L}", r"\p{N}", r"\s"))
-#: How the byte-level tokenizer cuts a text (fixed rule), for covered characters.
+#: How the byte-level tokenizer cuts a text (fixed rule), for covered characters. Contractions come before the
+#: punctuation that they could also be; other branches never start at the same place.
 _PIECES = re.compile(
-    f" ?[{_L}]+| ?[^{_S}{_L}{_N}']+| ?[{_N}]+|'(?:s|t|re|ve|m|ll|d)| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+"
+    f" ?[{_L}]+|'(?:s|t|re|ve|m|ll|d)| ?[^{_S}{_L}{_N}]+| ?[{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+"
 )
 _BEYOND = re.compile(f"[^\\u0000-\\u{_COVERED - 1:04x}]")
 

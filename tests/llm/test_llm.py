@@ -182,6 +182,21 @@ def test_codec_equals_the_library(docs):
     assert sorted(r.decoded for r in found) == sorted(tokenizer.decode(e, skip_special_tokens=False) for e in expected)
 
 
+QUOTED = ["He said 'Hello.' and left", "'Hello,' she", "x.'s", "f(\"a')'s", "''ll !'re (it's) 'tis", "?!'d 1'2 \t'\n.'"]
+
+
+def test_punctuation_before_apostrophes_is_cut_as_by_the_library(spark):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = random.Random(6)
+    texts = QUOTED + ["".join(rng.choices("\"''''.,!?)( strevmlldx1\n", k=12)) for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    expected = {k: tokenizer.encode(t, add_special_tokens=False).ids for k, t in enumerate(texts)}
+    encoded = bpe_codec.encode(docs, bpe_codec.frequent_lexicon(docs, words=50)).collect()
+    assert {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in encoded} == expected
+    lengths = {r.doc_id: r.length for r in token_counts.lengths(docs).collect()}
+    assert lengths == {k: len(ids) for k, ids in expected.items()}
+
+
 def test_histogram_answers_every_limit(spark):
     lengths = [0, 0, 3, 3, 7, 1024, 5000, 5001, 2048]
     made = token_counts.histogram(spark.createDataFrame([(n,) for n in lengths] + [(None,)], "length long"))
