@@ -1,22 +1,25 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
-The tree's alphabet: every word of at least ``MIN_SHARE`` of the training tokens (the end of a text is such a word),
-and for the rarer ones a class per last two bytes. A context is what the last one to ``DEPTH`` tokens
-are in that alphabet. A context of at least ``MIN_SHARE`` becomes a state if its next-symbol distribution
+The tree's alphabet: every word that training has ``MIN_COUNT`` times (the end of a text is such a word),
+and for the rarer ones a class per last two bytes. A context is what the last tokens, however many, are
+in that alphabet. A context seen ``MIN_COUNT`` times becomes a state if its next-symbol distribution
 diverges from that of the next shorter state by more than its parameters are worth (the likelihood
 gain over a description-length price). A state's distribution is its counts, smoothed with the next
 shorter state's; the longest state that a context ends with gives the probability of the next symbol.
+Depths are added until one has no state.
 A rare word is a draw from its class: by its discounted count, and what the discount takes goes to
 words that training has not seen, thought as many as those seen once. Nothing of a text's own
 words beyond the training rows enters its score.
 
-All counts are over all training documents, added up in the tasks and then by a shuffle. Symbols, states and
-entries are fewer than one over their least share, whatever the size of the input, so the tree can be
-sent to every task. The counts of rare words are not sent; rare words meet them by a join.
+All counts are over all training documents, added up in the tasks and then by a shuffle, and the divergence
+test is made where the counts are. Least counts are absolute: what is learnt of a phrase does not depend on
+how much else there is. Words of ``MIN_COUNT``, and the states that pass the test with their entries, are sent to every
+task, so memory grows with them. The counts of rare words are not sent; rare words meet them by a join.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -30,18 +33,13 @@ from pyspark.sql import functions as F
 from geomosaic.llm.common import crc_bucket, slices, staged
 
 FOLDS, HELD_OUT = 7, 2
-DEPTH = 2
-#: Least share of a symbol or context, and of a context with its next symbol, among training tokens.
-MIN_SHARE, MIN_ENTRY = 1e-5, 1e-6
-#: Least count of a symbol or context, whatever its share.
-MIN_COUNT = 5
-#: Least share of a word whose count is sent to every task.
-HEAD_SHARE = 1e-6
+#: Least count of a symbol or context, and of a context with its next symbol.
+MIN_COUNT, MIN_ENTRY = 5, 2
 #: Weight of the shorter state's distribution, in counts.
 PRIOR = 20.0
 END = b"\n"
-#: Symbols are below 2^18: at most 100,000 words and 65,536 classes, and the two marks.
-_BITS = np.int64(18)
+#: Bits of the map of frequent contexts that tasks look at before they count longer ones.
+_MAP_BITS = 1 << 26
 START, OTHER = 0, 1
 _CACHED = 200_000
 
@@ -60,6 +58,14 @@ def find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return place, table[place] == keys
 
 
+def mixed(keys: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """64-bit hash of each key with one more symbol."""
+    x = keys.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + more.astype(np.int64).view(np.uint64)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return (x ^ (x >> np.uint64(31))).view(np.int64)
+
+
 def hashes_of(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)).view(np.int64)
 
@@ -118,34 +124,33 @@ class Described(dict):
 
 @dataclass
 class Tree:
-    """Root distribution over symbols; per depth the contexts, which of them are states, and their entries.
+    """Root distribution over symbols; per depth the states and their entries, sorted by key.
 
-    A context is named by its place among those of its depth; its key is the place of the context without its
-    oldest symbol, and that symbol.
+    The key of a context of one token is its symbol; a longer one's is the hash of the next shorter one's key with its
+    oldest symbol. An entry's key is the hash of its context's key with the next symbol.
     """
 
     root: np.ndarray
     contexts: list[np.ndarray] = field(default_factory=list)
-    weights: list[np.ndarray] = field(default_factory=list)  # 1 where the context is no state
+    weights: list[np.ndarray] = field(default_factory=list)  # of the next shorter state
     entries: list[np.ndarray] = field(default_factory=list)
     shares: list[np.ndarray] = field(default_factory=list)
 
     def probability(self, symbol: np.ndarray, before: list[np.ndarray]) -> np.ndarray:
         """Of each symbol after the symbols ``before`` it, the last one first."""
         p = self.root[symbol]
-        for at, place, depth in self.walk(before[: len(self.weights)]):
-            spot, seen = find(self.entries[depth], place << _BITS | symbol[at])
-            own = np.where(seen, self.shares[depth][spot], 0.0) if len(self.entries[depth]) else 0.0
-            p[at] = own + self.weights[depth][place] * p[at]
+        for depth, key in enumerate(context_keys(before[: len(self.contexts)])):
+            spot, known = find(self.contexts[depth], key)
+            at = np.flatnonzero(known)
+            entry, seen = find(self.entries[depth], mixed(key[at], symbol[at]))
+            own = np.where(seen, self.shares[depth][entry], 0.0) if len(self.entries[depth]) else 0.0
+            p[at] = own + self.weights[depth][spot[at]] * p[at]
         return p
 
-    def walk(self, before: list[np.ndarray]):
-        """Per depth, the tokens whose context is known so far and the context's place."""
-        at, place = np.arange(len(before[0])) if before else np.empty(0, np.int64), np.zeros(1, np.int64)
-        for depth, older in enumerate(before):
-            spot, known = find(self.contexts[depth], place << _BITS | older[at])
-            at, place = at[known], spot[known]
-            yield at, place, depth
+
+def context_keys(before: list[np.ndarray]) -> list[np.ndarray]:
+    """Keys of the contexts of one, two, ... symbols, from the symbols one, two, ... tokens back."""
+    return list(itertools.accumulate(before, mixed))
 
 
 def histories(symbol: np.ndarray, sizes: np.ndarray, depth: int) -> list[np.ndarray]:
@@ -179,107 +184,114 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def vocabulary(words: DataFrame) -> Vocabulary:
-    """From (word, ending, n) rows. What comes to the driver is bounded by the least shares and by 65,536 endings."""
+    """From (word, ending, n) rows. Words of the least count and at most 65,536 endings come to the driver."""
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    least = max(MIN_COUNT, MIN_SHARE * total)
-    head = words.where(F.col("n") >= HEAD_SHARE * total).select("word", "n").toPandas().sort_values("word")
+    head = words.where(F.col("n") >= MIN_COUNT).select("word", "n").toPandas().sort_values("word")
     head_words, head_counts = head["word"].to_numpy(np.int64), head["n"].to_numpy(float)
-    often = head_counts >= least
-    rare = words.where(F.col("n") < least)
+    rare = words.where(F.col("n") < MIN_COUNT)
     once, twice = F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice")
     found = rare.groupBy("ending").agg(F.sum("n").alias("n"), F.count("*").alias("types"), once, twice).toPandas()
     first, second = found["once"].sum(), found["twice"].sum()
     discount = float(min(0.9, max(0.1, first / max(1, first + 2 * second))))
-    named = found[found["n"] >= least]
-    others = found[found["n"] < least]
-    counts = np.concatenate([[0, others["n"].sum()], head_counts[often], named["n"]]).astype(float)
-    kept_back = discount * np.concatenate([[0, others["types"].sum()], np.zeros(often.sum()), named["types"]])
-    singles = np.concatenate([[0, others["once"].sum()], np.zeros(often.sum()), named["once"]])
+    named = found[found["n"] >= MIN_COUNT]
+    others = found[found["n"] < MIN_COUNT]
+    own = np.zeros(len(head_words))
+    counts = np.concatenate([[0, others["n"].sum()], head_counts, named["n"]]).astype(float)
+    kept_back = discount * np.concatenate([[0, others["types"].sum()], own, named["types"]])
+    singles = np.concatenate([[0, others["once"].sum()], own, named["once"]])
     unseen = np.maximum(kept_back, 0.1) / np.maximum(singles, 1)
-    numbers = {bytes(e): 2 + int(often.sum()) + k for k, e in enumerate(named["ending"])}
+    numbers = {bytes(e): 2 + len(head_words) + k for k, e in enumerate(named["ending"])}
     return Vocabulary(
-        head_words[often], numbers, counts, unseen.astype(float), discount, head_words, head_counts, float(total + distinct + 1)
+        head_words, numbers, counts, unseen.astype(float), discount, head_words, head_counts, float(total + distinct + 1)
     )
 
 
-def _followers(docs: DataFrame, words: Vocabulary, tree: Tree, depth: int) -> DataFrame:
-    """(key, n): known contexts of a depth (by place) with the next symbol, over all texts."""
+def _followers(docs: DataFrame, words: Vocabulary, tree: Tree, depth: int, frequent: np.ndarray | None) -> DataFrame:
+    """(key, context, n, shorter): contexts of a depth with the next symbol, over all texts, and the probability of that
+    symbol by the shorter states. ``frequent`` maps contexts of the depth; those it lacks are not of the least count.
+    """
 
     def run(batches):
         described, held = Described(words), []
 
         def counted():
-            keys, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], ["key", "n"])
+            key, context, shorter = map(np.concatenate, zip(*held, strict=True))
+            keys, first, n = np.unique(key, return_index=True, return_counts=True)
+            columns = [keys, context[first], n, shorter[first]]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "context", "n", "shorter"])
 
         for _, texts in slices(batches, "text"):
             found = [tokens(t) for t in texts]
             place = described.places([w for f in found for w in f])
             symbol = described.columns["symbol"][place]
-            before = histories(symbol, np.fromiter(map(len, found), np.int64, len(found)), depth)
-            at, context, _ = list(tree.walk(before))[-1]
-            held.append(context << _BITS | symbol[at])
-            if sum(map(len, held)) > 4_000_000:
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            before = histories(symbol, sizes, depth)
+            keys = context_keys(before)
+            at = np.arange(len(symbol))
+            if frequent is not None:
+                # a context with its last token is an entry of the depth before, of the token before
+                entry = mixed(keys[depth - 2], symbol)
+                starts = np.cumsum(sizes) - sizes
+                often = np.append(False, is_mapped(frequent, entry)[:-1])
+                often[starts] = False
+                at = np.flatnonzero(often)
+            if len(at):
+                shorter = tree.probability(symbol[at], [b[at] for b in before[: depth - 1]])
+                held.append((mixed(keys[-1][at], symbol[at]), keys[-1][at], shorter))
+            if sum(len(h[0]) for h in held) > 2_000_000:
                 yield counted()
                 held.clear()
         if held:
             yield counted()
 
-    return docs.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    rows = docs.select("text").mapInArrow(run, "key long, context long, n long, shorter double").groupBy("key")
+    return rows.agg(F.min("context").alias("context"), F.sum("n").alias("n"), F.max("shorter").alias("shorter"))
 
 
 def grow(docs: DataFrame, words: Vocabulary) -> Tree:
-    """The tree of the texts of ``docs``, a depth at a time; a depth's contexts are the frequent runs of the depth before."""
+    """The tree of the texts of ``docs``, a depth at a time until no context of a depth is a state."""
     total = words.symbol_counts.sum()
     tree = Tree((words.symbol_counts + 0.5) / (total + 0.5 * len(words.symbol_counts)))
-    frequent = words.symbol_counts >= max(MIN_COUNT, MIN_SHARE * total)
-    frequent[START] = True
-    tree.contexts.append(np.flatnonzero(frequent))
-    for depth in range(1, DEPTH + 1):
-        rows = staged(_followers(docs, words, tree, depth), "followers").withColumn("context", F.shiftright("key", int(_BITS)))
-        totals = rows.groupBy("context").agg(F.sum("n").alias("total"))
-        kept = rows.where(F.col("n") >= max(2, MIN_ENTRY * total)).join(totals, "context").toPandas().sort_values("key")
-        _add_states(tree, depth, kept, total)
-        if depth < DEPTH:
-            tree.contexts.append(_longer(tree, depth, kept, total))
-    return tree
-
-
-def _symbols_of(tree: Tree, place: np.ndarray, depth: int) -> list[np.ndarray]:
-    """The symbols of contexts of a depth, the last one first."""
-    found = []
-    for k in reversed(range(depth)):
-        key = tree.contexts[k][place]
-        found.append(key & ((1 << _BITS) - 1))
-        place = key >> _BITS
-    return found[::-1]
-
-
-def _add_states(tree: Tree, depth: int, rows, total: float) -> None:
-    """Make states of the contexts whose counts diverge enough from what the shorter states say."""
-    size = len(tree.contexts[depth - 1])
-    keys, n, whole = rows["key"].to_numpy(np.int64), rows["n"].to_numpy(float), rows["total"].to_numpy(float)
-    context, symbol = keys >> _BITS, keys & ((1 << _BITS) - 1)
-    shorter = tree.probability(symbol, _symbols_of(tree, context, depth))
-    gain = np.bincount(context, n * np.log(n / whole / shorter), minlength=size)
-    parts, sums = np.bincount(context, minlength=size), np.bincount(context, n, minlength=size)
-    wholes = np.zeros(size)
-    wholes[context] = whole
-    keep = gain > 0.5 * parts * np.log(max(total, 2))
-    tree.weights.append(np.where(keep, (wholes - sums + PRIOR) / (wholes + PRIOR), 1.0))
-    tree.entries.append(keys[keep[context]])
-    tree.shares.append((n / (whole + PRIOR))[keep[context]])
-
-
-def _longer(tree: Tree, depth: int, rows, total: float) -> np.ndarray:
-    """Keys of the contexts one symbol longer: frequent contexts with the symbol that followed as their last one."""
-    often = rows[rows["n"] >= max(MIN_COUNT, MIN_SHARE * total)]
-    keys = often["key"].to_numpy(np.int64)
-    last, older = keys & ((1 << _BITS) - 1), _symbols_of(tree, keys >> _BITS, depth)
-    before = [last, *older]
-    steps = list(tree.walk(before[:depth]))
-    at, place, _ = steps[-1]
-    return np.unique(place << _BITS | older[-1][at])
+    frequent, n = None, F.col("n")
+    for depth in itertools.count(1):
+        rows = staged(_followers(docs, words, tree, depth, frequent), "followers")
+        entry = n >= MIN_ENTRY
+        contexts = rows.groupBy("context").agg(
+            F.sum("n").alias("total"),
+            F.coalesce(F.sum(F.when(entry, n)), F.lit(0)).alias("held"),
+            F.count_if(entry).alias("parts"),
+            F.sum(F.when(entry, n * F.log(n / F.col("shorter")))).alias("cross"),
+        )
+        # the gain: of each entry, n ln(n / total / shorter)
+        gain = F.col("cross") - F.col("held") * F.log(F.col("total"))
+        passing = contexts.where((F.col("total") >= MIN_COUNT) & (gain > F.col("parts") * float(0.5 * np.log(max(total, 2)))))
+        states = staged(passing.select("context", "total", "held"), "states")
+        found = states.toPandas().sort_values("context")
+        if found.empty:
+            return tree
+        kept = rows.where(entry).join(states, "context")
+        kept = kept.select("key", (n / (F.col("total") + PRIOR)).alias("share")).toPandas().sort_values("key")
+        whole = found["total"].to_numpy(float)
+        tree.contexts.append(found["context"].to_numpy(np.int64))
+        tree.weights.append((whole - found["held"].to_numpy(float) + PRIOR) / (whole + PRIOR))
+        tree.entries.append(kept["key"].to_numpy(np.int64))
+        tree.shares.append(kept["share"].to_numpy(float))
+        frequent = key_map(rows.where(n >= MIN_COUNT))
+
+
+def key_map(rows: DataFrame) -> np.ndarray:
+    """A bit per remainder of the keys of ``rows``: no key is missed, and the map's size is fixed."""
+    bit = F.pmod("key", F.lit(_MAP_BITS)) + 1  # Spark's buckets are 1 to 32,768 and so on
+    parts = rows.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
+    made = np.zeros((_MAP_BITS >> 15, 4096), np.uint8)
+    for bucket, bits in parts.agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit"))).collect():
+        made[bucket - 1] = np.frombuffer(bits, np.uint8)
+    return made.ravel()
+
+
+def is_mapped(made: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    bit = keys % _MAP_BITS
+    return made[bit >> 3] >> (bit & 7).astype(np.uint8) & 1 == 1
 
 
 def scores(docs: DataFrame) -> DataFrame:
@@ -302,7 +314,7 @@ def scores(docs: DataFrame) -> DataFrame:
             place = described.places([w for f in found for w in f])
             of = np.repeat(np.arange(len(found)), sizes)
             hashed, symbol, base, within = (described.columns[c][place] for c in ("hash", "symbol", "base", "within"))
-            score = np.log10(tree.probability(symbol, histories(symbol, sizes, DEPTH)))
+            score = np.log10(tree.probability(symbol, histories(symbol, sizes, len(tree.contexts))))
             rare = np.isnan(base)
             score = score + np.where(rare, -np.log10(np.maximum(words.symbol_counts[symbol], 1)), within)
             ends = np.append(0, np.cumsum(np.bincount(of[rare], minlength=len(found)))).astype(np.int32)

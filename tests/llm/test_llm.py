@@ -315,6 +315,64 @@ def test_next_symbol_probabilities_add_up(spark):
         assert tree.probability(symbols, history).sum() == pytest.approx(1.0)
 
 
+def test_tree_learns_longer_contexts_and_rare_words_of_a_large_corpus(spark):
+    rng = random.Random(8)
+    phrases = ["a0 b c e0", "a1 b c e1", "q c z"]  # the word after c depends on the last one, two and three
+    texts = [" ".join(rng.choices(phrases, k=40)) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    words = suffix_tree.vocabulary(suffix_tree.word_counts(docs))
+    tree = suffix_tree.grow(docs, words)
+    at = lambda word: np.flatnonzero(words.symbols == suffix_tree.hashes_of([word])[0]) + 2
+    a0, a1, b, c, e0, e1 = map(at, [b"a0", b"a1", b"b", b"c", b"e0", b"e1"])
+    for first, mine, other in ((a0, e0, e1), (a1, e1, e0)):
+        assert tree.probability(mine, [c, b, first]) > 0.9 > 0.1 > tree.probability(other, [c, b, first])
+    # the same counts mean the same among a thousand times as many other tokens
+    counts = spark.createDataFrame([(1, b"aa", 9_000_000), (2, b"bb", 50), (3, b"cc", 3)], "word long, ending binary, n long")
+    assert suffix_tree.vocabulary(counts).symbols.tolist() == [1, 2]
+
+
+def test_states_are_those_of_a_plain_count(spark):
+    rng = random.Random(9)
+    texts = [" ".join(rng.choices("abcd", [8, 4, 2, 1], k=rng.randrange(30))) + " a b b c" * (k % 3) for k in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    words = suffix_tree.vocabulary(suffix_tree.word_counts(docs))
+    tree = suffix_tree.grow(docs, words)
+    lines = [[0] * 9 + (np.searchsorted(words.symbols, suffix_tree.hashes_of(suffix_tree.tokens(t.encode()))) + 2).tolist() for t in texts]
+    total, states = sum(len(x) - 9 for x in lines), {}
+
+    def plain(symbol, history):
+        p = tree.root[symbol]
+        for size in range(1, len(history) + 1):
+            if history[:size] in states:
+                own, whole = states[history[:size]]
+                kept = {s: n for s, n in own.items() if n > 1}
+                p = (kept.get(symbol, 0) + (whole - sum(kept.values()) + 20) * p) / (whole + 20)
+        return p
+
+    for size in range(1, 9):
+        counts = {}
+        for x in lines:
+            for k in range(9, len(x)):
+                if size <= k - 8:  # what is longer than the text adds nothing
+                    own = counts.setdefault(tuple(x[k - size : k][::-1]), {})
+                    own[x[k]] = own.get(x[k], 0) + 1
+        new = {}
+        for history, own in counts.items():
+            whole, kept = sum(own.values()), {s: n for s, n in own.items() if n > 1}
+            gain = sum(n * math.log(n / whole / plain(s, history[:-1])) for s, n in kept.items())
+            if whole >= 5 and gain > 0.5 * len(kept) * math.log(total):
+                new[history] = own, whole
+        states |= new
+        assert len(new) == (len(tree.contexts[size - 1]) if size <= len(tree.contexts) else 0)
+        if not new:
+            break
+    assert size > 2
+    for x in lines:
+        for k in range(9, len(x)):
+            history = tuple(x[k - 8 : k][::-1])
+            assert tree.probability(np.array([x[k]]), [np.array([h]) for h in history]) == pytest.approx(plain(x[k], history))
+
+
 def test_pipeline_equals_its_plain_version(spark):
     found = corpus_pipeline.run(spark, SF_DIR).collect()
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()
