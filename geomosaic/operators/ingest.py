@@ -143,10 +143,16 @@ def add_overviews(sources: DataFrame, family: str, name: Column) -> DataFrame:
 
 
 def season_attributes(core: DataFrame) -> DataFrame:
-    """Season columns of coherence rows; the season lookup is a four-row broadcast."""
+    """Season columns of coherence rows, with a ``reject_reason``; the season lookup is a four-row broadcast."""
     parsed = core.withColumns(names.coh_fields(F.col("name")))
-    known = catalog.with_season(parsed)
+    known = catalog.with_every_season(parsed, strict=False)
+    reason = F.when(F.col("tile").isNull(), F.lit("name")).when(F.col("season_code").isNull(), F.lit("season"))
     return known.withColumns(
-        {"start_date": F.col("season_start"), "end_date": F.col("season_end"), "url_display": F.col("name")}
+        {
+            "start_date": F.col("season_start"),
+            "end_date": F.col("season_end"),
+            "url_display": F.col("name"),
+            "reject_reason": reason,
+        }
     ).drop("season_start", "season_end", "season_short", "season_ordinal", "season_name")
 

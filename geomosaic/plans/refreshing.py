@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geomosaic.functions import names
@@ -15,9 +18,23 @@ ROOT = f"/vsis3/{views.BUCKET}/"
 
 def new_core(spark, sf_dir, name):
     """Core rows that this run adds, for scenes named by ``name``."""
+    return ingest.accepted(new_rows(spark, sf_dir, name))
+
+
+def new_rows(spark, sf_dir, name):
     docs = views.header_docs_of(views.granules(spark, sf_dir), name)
     held = held_paths(spark, sf_dir, name)
-    return ingest.accepted(ingest.read_new(docs.select("path"), docs.select("path", "doc"), held, ROOT))
+    return ingest.read_new(docs.select("path"), docs.select("path", "doc"), held, ROOT)
+
+
+def hand_rows(spark, sf_dir):
+    docs = views.header_docs_of(views.granules(spark, sf_dir), "hand_name")
+    listed = readers.list_matching(docs.select("path"))
+    return ingest.read_new(listed, docs.select("path", "doc"), listed.where(F.lit(False)), ROOT)
+
+
+def hand_attributes(core):
+    return core.withColumns(names.hand_fields(F.col("name"), F.lit(views.SITE)))
 
 
 def held_paths(spark, sf_dir, name):
@@ -92,7 +109,7 @@ def refresh_opera(spark, sf_dir):
 )
 def refresh_coh(spark, sf_dir):
     core = new_core(spark, sf_dir, "coh_name")
-    seasonal = ingest.season_attributes(core)
+    seasonal = ingest.accepted(ingest.season_attributes(core))
     tag = names.coh_tag(F.col("product_type"), F.col("polarization"), F.col("season_code"))
     sources = ingest.source_rows(seasonal, "COH", tag, {"tag": tag, "group_name": tag})
     items = ingest.add_overviews(sources, "COH", overview_name())
@@ -114,15 +131,12 @@ def refresh_coh(spark, sf_dir):
          'Global_30m_HAND_Overview', 'GLO30_HAND_Overview', 600.0, null""",
 )
 def refresh_hand(spark, sf_dir):
-    docs = views.header_docs_of(views.granules(spark, sf_dir), "hand_name")
-    listed = readers.list_matching(docs.select("path"))
-    none_held = listed.where(F.lit(False))
-    rows = ingest.read_new(listed, docs.select("path", "doc"), none_held, ROOT)
-    core = ingest.accepted(rows)
+    core = ingest.accepted(hand_rows(spark, sf_dir))
     fields = names.hand_fields(F.col("name"), F.lit(views.SITE))
     dated = core.withColumn("start_date", F.lit(None).cast("timestamp_ntz"))
     sources = ingest.source_rows(dated, "HAND", F.lit(names.HAND_TAG), fields)
-    items = ingest.add_overviews(sources, "HAND", F.concat("dataset", F.lit("_Overview")))
+    named = ingest.accepted(ingest.check_attributes(sources, ("tile",)))
+    items = ingest.add_overviews(named, "HAND", F.concat("dataset", F.lit("_Overview")))
     return items.select(
         "dataset", "name", "category", "tile", "tag", "dataset_id", "product_name", "min_ps", "max_ps"
     )
@@ -162,4 +176,8 @@ def refresh_rejects(spark, sf_dir):
         ),
     )
     rows = ingest.read_new(docs.select("path"), landed.select("path", "doc"), held, ROOT)
-    return ingest.rejected(rows).groupBy("reject_reason").agg(F.count("*").alias("n"))
+    coh, hand = new_rows(spark, sf_dir, "coh_name"), hand_rows(spark, sf_dir)
+    tiles = ingest.check_attributes(hand_attributes(ingest.accepted(hand)), ("tile",))
+    found = [rows, coh, ingest.season_attributes(ingest.accepted(coh)), hand, tiles]
+    reasons = [ingest.rejected(f).select("reject_reason") for f in found]
+    return functools.reduce(DataFrame.unionAll, reasons).groupBy("reject_reason").agg(F.count("*").alias("n"))

@@ -148,7 +148,7 @@ def coherence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seasonal coherence rows with their season and dataset."""
     named = granules(spark, sf_dir).select("event_id", "coh_name")
     parsed = named.withColumns(names.coh_fields(F.col("coh_name")))
-    return catalog.with_season(parsed).withColumn(
+    return catalog.with_every_season(parsed).withColumn(
         "dataset", names.coh_tag(F.col("product_type"), F.col("polarization"), F.col("season_code"))
     )
 

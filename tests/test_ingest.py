@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 
 from geomosaic.functions import names
 from geomosaic.operators import catalog, ingest
+from geomosaic.plans import refreshing
 from geomosaic.session import shared_dir
 from geomosaic.sources import readers, writers
 
 ROOT = "/vsis3/b/"
+SF_DIR = "/root/testdata/sf0.001"
 CODE = 'PROJCS["f",GEOGCS["g",AUTHORITY["EPSG","4326"]],AUTHORITY["EPSG","32610"]]'
 
 
@@ -137,3 +139,34 @@ def test_family_constants(spark):
 
 def test_shared_folder_is_the_session_setting(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def test_coherence_rows_without_a_known_season_are_rejected(spark):
+    core = spark.createDataFrame(
+        [("N01E046_summer_vv_COH06",), ("N01E046_summer_vv",), ("N01E046_monsoon_vv_COH06",), (None,)], "name string"
+    )
+    found = {r.name: r for r in ingest.season_attributes(core).collect()}
+    assert {n: r.reject_reason for n, r in found.items()} == {
+        "N01E046_summer_vv_COH06": None, "N01E046_summer_vv": "name", "N01E046_monsoon_vv_COH06": "season", None: "name",
+    }
+    assert found["N01E046_summer_vv_COH06"].season_code == "JJA"
+    with pytest.raises(Exception, match="Season not recognized: monsoon"):
+        parsed = core.where("name like '%monsoon%'").withColumns(names.coh_fields(F.col("name")))
+        catalog.with_every_season(parsed).select("season_code").collect()
+
+
+def test_refreshes_leave_out_rejected_rows_and_rejects_count_them(spark, monkeypatch):
+    read_new = ingest.read_new
+
+    def spoiled(listing, headers, held, root):
+        rows = read_new(listing, headers, held, root)
+        bad = [rows.limit(1).withColumn("name", F.lit(n)) for n in ("a_b", "N01E046_monsoon_vv_COH06")]
+        return rows.unionByName(bad[0]).unionByName(bad[1])
+
+    before = {r.reject_reason: r.n for r in refreshing.refresh_rejects(spark, SF_DIR).collect()}
+    coh, hand = refreshing.refresh_coh(spark, SF_DIR).count(), refreshing.refresh_hand(spark, SF_DIR).count()
+    monkeypatch.setattr(ingest, "read_new", spoiled)
+    after = {r.reject_reason: r.n for r in refreshing.refresh_rejects(spark, SF_DIR).collect()}
+    assert after["name"] == 3 and after["season"] == 1 and "name" not in before and "season" not in before
+    assert refreshing.refresh_coh(spark, SF_DIR).count() == coh
+    assert refreshing.refresh_hand(spark, SF_DIR).count() == hand
