@@ -186,8 +186,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
 def vocabulary(words: DataFrame) -> Vocabulary:
     """From (word, ending, n) rows. Words of the least count and at most 65,536 endings come to the driver."""
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    head = words.where(F.col("n") >= MIN_COUNT).select("word", "n").toPandas().sort_values("word")
-    head_words, head_counts = head["word"].to_numpy(np.int64), head["n"].to_numpy(float)
+    head_words, head_counts = _arrays(words.where(F.col("n") >= MIN_COUNT).select("word", F.col("n").cast("double")))
     rare = words.where(F.col("n") < MIN_COUNT)
     once, twice = F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice")
     found = rare.groupBy("ending").agg(F.sum("n").alias("n"), F.count("*").alias("types"), once, twice).toPandas()
@@ -266,19 +265,25 @@ def grow(docs: DataFrame, words: Vocabulary) -> Tree:
         gain = F.col("cross") - F.col("held") * F.log(F.col("total"))
         passing = contexts.where((F.col("total") >= MIN_COUNT) & (gain > F.col("parts") * float(0.5 * np.log(max(total, 2)))))
         states = staged(passing.select("context", "total", "held"), "states")
-        found = states.toPandas().sort_values("context")
-        if found.empty:
+        context, whole, held = _arrays(states)
+        if not len(context):
             return tree
         kept = rows.where(entry).join(states, "context")
-        kept = kept.select("key", (n / (F.col("total") + PRIOR)).alias("share")).toPandas().sort_values("key")
-        whole = found["total"].to_numpy(float)
-        tree.contexts.append(found["context"].to_numpy(np.int64))
-        tree.weights.append((whole - found["held"].to_numpy(float) + PRIOR) / (whole + PRIOR))
-        tree.entries.append(kept["key"].to_numpy(np.int64))
-        tree.shares.append(kept["share"].to_numpy(float))
+        kept = kept.select("key", (n / (F.col("total") + PRIOR)).alias("share"))
+        tree.contexts.append(context)
+        tree.weights.append((whole - held + PRIOR) / (whole + PRIOR))
+        for part, column in zip((tree.entries, tree.shares), _arrays(kept), strict=True):
+            part.append(column)
         frequent = key_map(rows.where(n >= MIN_COUNT))
 
 
+def _arrays(rows: DataFrame) -> list[np.ndarray]:
+    """The columns of ``rows``, sorted by the first; as Arrow batches, so that no row becomes a Python object."""
+    columns = [c.to_numpy() for c in rows.toArrow().columns]
+    order = np.argsort(columns[0])
+    return [c[order] for c in columns]
+
+
 def key_map(rows: DataFrame) -> np.ndarray:
     """A bit per remainder of the keys of ``rows``: no key is missed, and the map's size is fixed."""
     bit = F.pmod("key", F.lit(_MAP_BITS)) + 1  # Spark's buckets are 1 to 32,768 and so on
