@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geomosaic.llm import bpe_codec, chat, exact_dedup, minhash, packing, quality_classifier, quality_rules, sharding, suffix_tree, token_counts
+from geomosaic.llm import bpe_codec, chat, exact_dedup, minhash, packing, quality_classifier, quality_rules, sharding, simhash, suffix_tree, token_counts
 from geomosaic.llm.common import read
 
 
@@ -79,6 +79,11 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents")).drop("mark")
 
 
+def op11_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_lm_scores": op2_lm_scores,
@@ -90,6 +95,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_chat_format": op9_chat_format,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op11_simhash_near_dedup": op11_simhash_near_dedup,
 }
 
 ORACLES = {
