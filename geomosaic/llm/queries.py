@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geomosaic.llm import bpe_codec, chat, exact_dedup, minhash, packing, quality_classifier, quality_rules, sharding, simhash, suffix_tree, token_counts
+from geomosaic.llm import bpe_codec, chat, exact_dedup, minhash, packing, periodic_runs, quality_classifier, quality_rules, sharding, simhash, suffix_tree, token_counts
 from geomosaic.llm.common import read
 
 
@@ -84,6 +84,37 @@ def op11_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text); every tenth document by crc32 of its id repeats from some word on, as the query's contract lays down."""
+    word = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g, n = F.floor(h / 10), F.size("words")
+    at = docs.select("doc_id", "text", h.alias("h"), F.when((h % 10 == 0) & F.col("text").isNotNull(), word).alias("words"))
+    at = at.withColumn("a", F.when(n > 0, g % n)).withColumn("p", 1 + F.floor((n - F.col("a")) / (3 + g % 8)))
+    place = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    made = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get("words", place(i).cast("int")))
+    return at.select("doc_id", F.when(n > 0, F.array_join(made, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document with planted runs: the longest, and digests of all and of the text without repeats."""
+    found = periodic_runs.periodic_runs(with_planted_runs(read(spark, sf_dir, "documents")))
+    by_length = F.transform("runs", lambda r: F.struct(r.length, (-r.start).alias("start"), (-r.period).alias("period")))
+    found = found.withColumn("best", F.array_max(by_length))
+    lines = F.transform("runs", lambda r: F.concat_ws("", F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    length, period = F.col("best.length"), -F.col("best.period")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_lm_scores": op2_lm_scores,
@@ -96,6 +127,7 @@ QUERIES = {
     "op9_chat_format": op9_chat_format,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op11_simhash_near_dedup": op11_simhash_near_dedup,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLES = {
