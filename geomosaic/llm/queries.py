@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geomosaic.llm import bpe_codec, chat, exact_dedup, minhash, packing, periodic_runs, quality_classifier, quality_rules, sharding, simhash, suffix_tree, token_counts
+from geomosaic.llm import bpe_codec, chat, collocations, exact_dedup, minhash, packing, periodic_runs, quality_classifier, quality_rules, sharding, simhash, suffix_tree, token_counts
 from geomosaic.llm.common import read
 
 
@@ -84,6 +84,11 @@ def op11_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first phrases of every language."""
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
 def with_planted_runs(docs: DataFrame) -> DataFrame:
     """(doc_id, text); every tenth document by crc32 of its id repeats from some word on, as the query's contract lays down."""
     word = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
@@ -127,6 +132,7 @@ QUERIES = {
     "op9_chat_format": op9_chat_format,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op11_simhash_near_dedup": op11_simhash_near_dedup,
+    "op12_phrase_mining": op12_phrase_mining,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
@@ -192,4 +198,40 @@ ORACLES = {
                    CASE before WHEN 'system' THEN ['user'] WHEN 'user' THEN ['assistant'] WHEN 'assistant' THEN ['user', 'tool']
                                WHEN 'tool' THEN ['assistant', 'tool'] ELSE ['system', 'user'] END, role)) AS n_bad_turns
         FROM m GROUP BY conv_id""",
+    "op12_phrase_mining": r"""
+        WITH d AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[.,;:!?\n-\r]')) AS piece
+            FROM documents),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS w FROM d),
+        one AS (SELECT lang, x, count(*) AS f FROM (SELECT lang, unnest(w) AS x FROM w) GROUP BY lang, x),
+        two AS (
+            SELECT lang, x, y, count(*) AS f
+            FROM (SELECT lang, unnest(w[1:len(w) - 1]) AS x, unnest(w[2:len(w)]) AS y FROM w WHERE len(w) > 1)
+            GROUP BY lang, x, y),
+        three AS (
+            SELECT lang, x, y, z, count(*) AS f
+            FROM (SELECT lang, unnest(w[1:len(w) - 2]) AS x, unnest(w[2:len(w) - 1]) AS y, unnest(w[3:len(w)]) AS z
+                  FROM w WHERE len(w) > 2)
+            GROUP BY lang, x, y, z HAVING count(*) >= 10),
+        cuts AS (
+            SELECT t.lang, t.x || ' ' || t.y AS phrase, t.f AS a, 1 AS k, p.f AS l, q.f AS r
+            FROM two t JOIN one p ON p.lang = t.lang AND p.x = t.x JOIN one q ON q.lang = t.lang AND q.x = t.y
+            WHERE t.f >= 10 AND NOT EXISTS (
+                SELECT 1 FROM three h WHERE h.lang = t.lang AND 100 * h.f >= 50 * t.f
+                                        AND (h.x = t.x AND h.y = t.y OR h.y = t.x AND h.z = t.y))
+            UNION ALL
+            SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z, t.f, 1, p.f, q.f
+            FROM three t JOIN one p ON p.lang = t.lang AND p.x = t.x JOIN two q ON q.lang = t.lang AND q.x = t.y AND q.y = t.z
+            UNION ALL
+            SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z, t.f, 2, p.f, q.f
+            FROM three t JOIN two p ON p.lang = t.lang AND p.x = t.x AND p.y = t.y JOIN one q ON q.lang = t.lang AND q.x = t.z),
+        scored AS (SELECT *, CAST(1000000::HUGEINT * a * a // (l::HUGEINT * r) AS BIGINT) AS score FROM cuts),
+        least AS (
+            SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM least),
+        sizes AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM one GROUP BY lang)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000""",
 }
