@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from geomosaic.llm.common import staged
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, rows_per_task: int | None = None) -> DataFrame:
     """One row (node, component) per node of ``links`` (a, b); component is its smallest node.
 
-    Repeated, reversed and self links do no harm; links with a null end are left out.
+    Repeated, reversed and self links do no harm; links with a null end are left out. With ``rows_per_task``
+    a step is written by one task per so many edges, so a small table is not cut into many files.
     """
     a, b = F.col("a"), F.col("b")
     edges = staged(
@@ -25,7 +26,8 @@ def components(links: DataFrame) -> DataFrame:
     seen = None
     while (state := edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()) != seen:
         seen = state
-        edges = staged(_small_star(_large_star(edges)), "links")
+        step = _small_star(_large_star(edges))
+        edges = staged(step.coalesce(1 + state[0] // rows_per_task) if rows_per_task else step, "links")
     roots = edges.select(F.col("v").alias("node")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         roots.select("node", F.col("node").alias("component"))

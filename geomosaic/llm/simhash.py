@@ -32,6 +32,8 @@ RADIUS = 3
 MEMBERS = 1 << 10
 #: Parts into which the rows of one fingerprint or one component are dealt.
 SALTS = 256
+#: Links that one task writes in a step of the components.
+EDGES = 200_000
 #: Shingles whose bits are counted at once.
 STEP = 1 << 16
 
@@ -90,7 +92,7 @@ def links(prints: DataFrame, members: int = MEMBERS) -> DataFrame:
 
     Keys of up to ``members`` entries give all their pairs, the others their stars.
     """
-    entries = staged(_halves(prints), "entries")
+    entries = _halves(prints)
     lookups = _lookups(entries)
     hot = staged(entries.groupBy("part", "key").count().where(F.col("count") > members).select("part", "key"), "hot-keys")
     crowded = None
@@ -152,7 +154,7 @@ def near_duplicates(docs: DataFrame, members: int = MEMBERS) -> DataFrame:
     """
     signed = staged(fingerprints(docs), "fingerprints")
     nodes = staged(signed.groupBy("print").agg(F.min("doc_id").alias("first")), "prints")
-    found = components(links(nodes.select("print"), members))
+    found = components(links(nodes.select("print"), members), EDGES)
     placed = nodes.join(found.withColumnRenamed("node", "print"), "print", "left")
     placed = placed.select("print", "first", F.coalesce("component", "print").alias("class"))
     of_print = _with_least(placed.select("class", "print", "first"), "class", "first", "component_id")
