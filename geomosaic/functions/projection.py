@@ -5,6 +5,7 @@ UTM uses the published Krueger series in the third flattening, to its fourth ord
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -16,6 +17,8 @@ FLATTENING = 1 / 298.257223563
 SCALE = 0.9996
 FALSE_EASTING = 500000.0
 FALSE_NORTHING_SOUTH = 10000000.0
+#: Half the width of the web mercator square.
+WORLD = math.pi * SEMI_MAJOR
 
 _N = FLATTENING / (2 - FLATTENING)
 _RECTIFYING = SEMI_MAJOR / (1 + _N) * (1 + _N**2 / 4 + _N**4 / 64)
@@ -45,8 +48,20 @@ def mercator_y(latitude: Column) -> Column:
     return F.asinh(F.tan(latitude)) * F.lit(SEMI_MAJOR)
 
 
-def to_mercator(df: DataFrame, epsg: str, xs: Mapping[str, Column], ys: Mapping[str, Column]) -> DataFrame:
-    """Web mercator positions ``mx_{a}{b}`` and ``my_{a}{b}`` of every x ``a`` with every y ``b``.
+def is_utm(code: Column) -> Column:
+    """Whether a code is a UTM zone on WGS84."""
+    return F.coalesce(F.floor(code / F.lit(100)).isin(326, 327) & (code % F.lit(100)).between(1, 60), F.lit(False))
+
+
+def equator(code: Column) -> Column:
+    """Northing of the equator in a zone; 0 for other codes."""
+    return F.when(F.floor(code / F.lit(100)) == 327, F.lit(FALSE_NORTHING_SOUTH)).otherwise(F.lit(0.0))
+
+
+def to_mercator(
+    df: DataFrame, epsg: str, xs: Mapping[str, Column], ys: Mapping[str, Column], pairs: Sequence[tuple[str, str]] | None = None
+) -> DataFrame:
+    """Web mercator positions ``mx_{a}{b}`` and ``my_{a}{b}`` of x ``a`` with y ``b`` for all pairs, or those named.
 
     Geographic, web mercator and UTM codes are known; any other code gives nulls. Each
     step is a column of its own and never null inside (NaN stands for it), and what
@@ -54,17 +69,15 @@ def to_mercator(df: DataFrame, epsg: str, xs: Mapping[str, Column], ys: Mapping[
     enough for the JVM to compile.
     """
     code, nan, two = F.col(epsg), F.lit(float("nan")), F.lit(2.0)
-    grid = F.floor(code / F.lit(100))
-    is_utm = F.coalesce(grid.isin(326, 327) & (code % F.lit(100)).between(1, 60), F.lit(False))
     to_rectified = F.lit(1.0 / (SCALE * _RECTIFYING))
-    pairs = [(a, b) for a in xs for b in ys]
+    pairs = list(pairs or ((a, b) for a in xs for b in ys))
 
     steps: list[dict[str, Column]] = [
         {f"_x_{a}": F.coalesce(x.cast("double"), nan) for a, x in xs.items()}
         | {f"_y_{b}": F.coalesce(y.cast("double"), nan) for b, y in ys.items()}
         | {
-            "_utm": is_utm,
-            "_south": F.when(grid == 327, F.lit(FALSE_NORTHING_SOUTH)).otherwise(F.lit(0.0)),
+            "_utm": is_utm(code),
+            "_south": equator(code),
             "_meridian": F.coalesce(
                 F.radians((code % F.lit(100)).cast("double") * F.lit(6.0) - F.lit(183.0)), nan
             ),

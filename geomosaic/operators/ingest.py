@@ -11,9 +11,11 @@ from geomosaic.functions import headers as H
 from geomosaic.functions import names
 from geomosaic.operators import aggregates, catalog
 from geomosaic.operators.bounded import fits_broadcast
+from geomosaic.operators.pixels import project_extent
 from geomosaic.session import reliable_checkpoint, staged
 from geomosaic.sources import readers
 
+# What overview records say in place of a tile and a link.
 ZOOM_TILE = "Zoom in further to see specific tile information"
 ZOOM_URL = "Zoom in further to access download link"
 
@@ -51,6 +53,19 @@ def read_new(listing: DataFrame, headers: DataFrame, held: DataFrame, bucket_roo
     return rows.select(*CORE, reason.alias("reject_reason"))
 
 
+def in_web_mercator(rows: DataFrame) -> DataFrame:
+    """Core rows with their extents in web mercator, by the code of their reference system.
+
+    A row of another code gets the ``reject_reason`` ``epsg``, one without a proper box ``extent``, unless it had a reason
+    before. The code of the source stays in ``srs``.
+    """
+    coded = rows.withColumnRenamed("reject_reason", "_before").withColumn("_epsg", F.expr("try_cast(srs as int)"))
+    placed = project_extent(coded, "_epsg")
+    moved = {side: F.col(f"m{side}") for side in ("x_min", "y_min", "x_max", "y_max")}
+    placed = placed.withColumns(moved | {"reject_reason": F.coalesce("_before", "reject_reason")})
+    return placed.select(*rows.columns)
+
+
 def accepted(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("reject_reason").isNull()).drop("reject_reason")
 

@@ -8,8 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geomosaic.functions import dates
+from geomosaic.functions.projection import WORLD
 from geomosaic.operators.bounded import first_n, ranked
+from geomosaic.operators.pixels import world_parts
 from geomosaic.operators.spatial import Box, join_boxes
+from geomosaic.session import staged
 
 # Base date of the attribute order, and the request limits.
 ORDER_BASE = "2050-01-01 00:00:00"
@@ -17,6 +20,8 @@ MAX_RECORDS = 2000
 MAX_DOWNLOADS = 50
 MAX_IMAGE_ROWS = 5000
 MAX_IMAGE_COLS = 5000
+#: Classes of pixel-size ranges that a request is compared with.
+CLASSES = 64
 
 
 def visible_at(cell: Column) -> Column:
@@ -26,49 +31,110 @@ def visible_at(cell: Column) -> Column:
     )
 
 
+def in_time() -> Column:
+    """Whether an item's dates fit a request: a request without times fits every item, one with a single time is
+    open at the other side. Items without dates fit only requests that do not ask for time."""
+    return (F.col("t_from").isNull() & F.col("t_to").isNull()) | dates.overlaps(
+        F.col("start_date"), F.col("end_date"), F.coalesce("t_from", "end_date"), F.coalesce("t_to", "start_date")
+    )
+
+
+def _step(size: Column, steps: int, without: int) -> Column:
+    """Place of a pixel size on a logarithmic scale of ``steps`` per octave."""
+    return F.when(size > 0, F.floor(F.log2(size) * steps)).otherwise(F.lit(without)).cast("int")
+
+
+_ALL = 1_000_000
+
+
+def with_resolution_class(items: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Items with the ``_class`` of their pixel-size range, and a row of a request for each class that may admit its cell.
+
+    Ranges are told apart on a logarithmic scale, as finely as it gives at most ``CLASSES`` classes; with more of them, all are one class.
+    """
+    for steps in (16, 4, 1):
+        low = _step(F.coalesce("min_ps", F.lit(0.0)), steps, -_ALL)
+        high = F.when(F.col("max_ps").isNull(), F.lit(_ALL)).otherwise(_step(F.col("max_ps"), steps, -_ALL))
+        ranges = items.select(low.alias("low"), high.alias("high")).distinct().limit(CLASSES + 1).collect()
+        if len(ranges) <= CLASSES:
+            break
+    else:
+        return items.withColumn("_class", F.lit(0)), requests.withColumn("_class", F.lit(0))
+    ranges = sorted(map(tuple, ranges))
+    own = F.lit(None).cast("int")
+    for k, (a, b) in enumerate(ranges):
+        own = F.when((low == a) & (high == b), F.lit(k)).otherwise(own)
+    at = F.when(F.col("cell").isNotNull(), _step(F.col("cell"), steps, -_ALL))
+    admitted = F.array_compact(F.array(*[F.when((at >= a) & (at <= b), F.lit(k)) for k, (a, b) in enumerate(ranges)]))
+    return items.withColumn("_class", own), requests.withColumn("_class", F.explode(admitted.cast("array<int>")))
+
+
+def _first_meeting() -> Column:
+    """Whether the parts of the world in which a pair met are the first in which its boxes overlap."""
+    world = F.lit(WORLD)
+
+    def interval(low: str, high: str, part: int) -> tuple[Column, Column]:
+        if part == 0:
+            return F.col(low), F.least(F.col(high), world)
+        return F.when(F.col(high) > world, -world), F.col(high) - 2 * world
+
+    def meet(item_part: int, request_part: int) -> Column:
+        (a, b), (c, d) = interval("x_min", "x_max", item_part), interval("rx_min", "rx_max", request_part)
+        return F.coalesce((a < d) & (c < b), F.lit(False))
+
+    turn = F.col("_part") * 2 + F.col("_rpart")
+    return (turn == 0) | ~(meet(0, 0) | ((turn > 1) & meet(0, 1)) | ((turn > 2) & meet(1, 0)))
+
+
 def select_items(items: DataFrame, requests: DataFrame, by_time: bool = False) -> DataFrame:
     """Pairs of a request and an item that it shows: space, pixel size, and time.
 
     Requests carry ``rx_min … ry_max``, ``cell``, ``t_from`` and ``t_to``; a null time
     on both sides means that time is not asked for, on one side that it is open there. Items without dates pass only such requests.
+    Boxes are in web mercator; one whose ``x_max`` exceeds the world's edge goes on at the other.
+
+    A request meets only items whose pixel-size range may admit its cell, so a zoomed-out one meets the overviews
+    and none of the scenes under them.
 
     ``by_time`` parts the join by dates too. It pays where many requests meet many scenes
     of one place, as each scene then meets the requests of its days only; elsewhere the
     extra rows per scene cost more.
+
+    Requests are read more than once; give it stored ones.
     """
-    in_time = (
-        (F.col("t_from").isNull() & F.col("t_to").isNull())
-        | dates.overlaps(
-            F.col("start_date"), F.col("end_date"), F.coalesce("t_from", "end_date"), F.coalesce("t_to", "start_date")
-        )
-    )
     item_times, request_times = (("start_date", "end_date"), ("t_from", "t_to")) if by_time else ((), ())
+    items = staged(world_parts(items), "items")
+    items, asked = with_resolution_class(items, world_parts(requests, "rx_min", "rx_max", "_rpart"))
     pairs = join_boxes(
         items,
-        requests,
-        Box("x_min", "y_min", "x_max", "y_max", *item_times),
-        Box("rx_min", "ry_min", "rx_max", "ry_max", *request_times),
+        asked,
+        Box("_part_min", "y_min", "_part_max", "y_max", *item_times),
+        Box("_rpart_min", "ry_min", "_rpart_max", "ry_max", *request_times),
+        on="_class",
+        stored=(True, True),
     )
-    return pairs.where(visible_at(F.col("cell")) & in_time)
+    pairs = pairs.where(visible_at(F.col("cell")) & in_time() & _first_meeting())
+    return pairs.drop("_class", *(f"{p}{end}" for p in ("_part", "_rpart") for end in ("", "_min", "_max")))
 
 
-# -- orders: sort keys that end in the name, so that they are total -----------------
+# -- orders: values that rise from the leading item on, nulls last; the name makes them total --
 
 
 def by_attribute(field: str = "start_date", base: str = ORDER_BASE) -> list[Column]:
     """Distance of a date to the base, nearest first: the newest item leads. Nulls last."""
     gap = F.abs(F.unix_micros(F.col(field).cast("timestamp")) - F.unix_micros(F.lit(base).cast("timestamp_ntz").cast("timestamp")))
-    return [gap.asc_nulls_last(), F.col("name").asc()]
+    return [gap.isNull(), gap, F.col("name")]
 
 
 def by_name() -> list[Column]:
-    return [F.col("name").asc()]
+    return [F.col("name")]
 
 
 def by_center(x: Column, y: Column) -> list[Column]:
     """Squared distance of the item centre to the view centre."""
     dx, dy = F.col("center_x") - x, F.col("center_y") - y
-    return [(dx * dx + dy * dy).asc_nulls_last(), F.col("name").asc()]
+    distance = dx * dx + dy * dy
+    return [distance.isNull(), distance, F.col("name")]
 
 
 def by_northwest(x_min: Column, y_max: Column) -> list[Column]:
@@ -78,7 +144,7 @@ def by_northwest(x_min: Column, y_max: Column) -> list[Column]:
 
 def by_item_id(item: str = "item_id") -> list[Column]:
     """Catalog order."""
-    return [F.col(item).asc_nulls_last(), F.col("name").asc()]
+    return [F.col(item).isNull(), F.col(item), F.col("name")]
 
 
 def lock_raster(items: DataFrame, locks: DataFrame) -> DataFrame:

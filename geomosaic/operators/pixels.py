@@ -100,15 +100,64 @@ def stretch_deviation(pixels: DataFrame, view: Sequence[str], deviations: float
 
 
 def project_extent(items: DataFrame, epsg: str = "epsg") -> DataFrame:
-    """Source extents to web mercator, as the box of the four projected corners.
+    """Source extents to web mercator, as the smallest box around the whole projected box.
 
-    Rows of an unsupported code keep null extents and say so in ``reject_reason``.
+    The edges of a projected UTM box are bent. On an edge of constant northing the latitude turns at the
+    central meridian, on one of constant easting the longitude turns at the equator, and neither has an extreme inside.
+    So each side of the envelope is found at one point that the position to meridian and equator gives.
+    Latitudes beyond the square end at its edge. ``mx_min`` lies in the world's width from its
+    western edge on; ``mx_max`` exceeds the eastern edge where the box crosses the antimeridian (see ``world_parts``).
+
+    Rows keep null extents and say so in ``reject_reason``: ``epsg`` for an unsupported code, ``extent`` for a box that is
+    null, infinite or inverted.
     """
-    placed = projection.to_mercator(
-        items, epsg, {"0": F.col("x_min"), "1": F.col("x_max")}, {"0": F.col("y_min"), "1": F.col("y_max")}
-    )
-    xs, ys = ([f"{m}_{corner}" for corner in ("00", "01", "10", "11")] for m in ("mx", "my"))
-    out = placed.withColumns(
-        {"mx_min": F.least(*xs), "my_min": F.least(*ys), "mx_max": F.greatest(*xs), "my_max": F.greatest(*ys)}
-    ).drop(*xs, *ys)
-    return out.withColumn("reject_reason", F.when(F.col("mx_min").isNull(), F.lit("epsg")))
+    names = ("x_min", "y_min", "x_max", "y_max")
+    code, world = F.col(epsg), F.lit(projection.WORLD)
+    x0, y0, x1, y1 = (F.col(c).cast("double") for c in names)
+    known = F.coalesce((x0 <= x1) & (y0 <= y1) & ~F.isnan(x1) & ~F.isnan(y1), F.lit(False))
+    known = known & (F.greatest(*(F.abs(c) for c in (x0, y0, x1, y1))) < float("inf"))
+    named = code.isin(3857, 4326) | projection.is_utm(code)
+    y0, y1 = (F.when(code == 4326, F.greatest(F.lit(-90.0), F.least(F.lit(90.0), c))).otherwise(c) for c in (y0, y1))
+    middle, level = F.lit(projection.FALSE_EASTING), projection.equator(code)
+
+    def nearest(low: Column, high: Column, to: Column) -> Column:
+        return F.greatest(low, F.least(to, high))
+
+    def farthest(low: Column, high: Column, to: Column) -> Column:
+        return F.when(to - low >= high - to, low).otherwise(high)
+
+    def turning(low: Column, high: Column, to: Column, near: Column) -> Column:
+        return F.when(near, nearest(low, high, to)).otherwise(farthest(low, high, to))
+
+    xs = {"w": x0, "e": x1, "s": turning(x0, x1, middle, y0 < level), "n": turning(x0, x1, middle, y1 >= level)}
+    ys = {"w": turning(y0, y1, level, x0 >= middle), "e": turning(y0, y1, level, x1 < middle), "s": y0, "n": y1}
+    placed = projection.to_mercator(items, epsg, xs, ys, [(side, side) for side in "wesn"])
+    west, east = F.col("mx_ww"), F.col("mx_ee")
+    turns = F.floor((west + world) / (2 * world)) * (2 * world)
+    whole, fine = east - west >= 2 * world, known & named
+    sides = {
+        "mx_min": F.when(whole, -world).otherwise(west - turns),
+        "my_min": F.greatest(-world, F.least(world, F.col("my_ss"))),
+        "mx_max": F.when(whole, world).otherwise(east - turns),
+        "my_max": F.greatest(-world, F.least(world, F.col("my_nn"))),
+    }
+    reason = F.when(~F.coalesce(named, F.lit(False)), F.lit("epsg")).when(~known, F.lit("extent"))
+    out = placed.withColumns({name: F.when(fine, side) for name, side in sides.items()} | {"reject_reason": reason})
+    return out.drop(*[f"{m}_{side}{side}" for m in ("mx", "my") for side in "wesn"])
+
+
+def world_parts(df: DataFrame, x_min: str = "x_min", x_max: str = "x_max", prefix: str = "_part") -> DataFrame:
+    """A row for each part of a box that lies in the world: two where it crosses the antimeridian.
+
+    Adds the number of the part, and its sides as ``{prefix}_min`` and ``{prefix}_max``.
+    """
+    world = F.lit(projection.WORLD)
+    low, high = F.col(x_min).cast("double"), F.col(x_max).cast("double")
+
+    def part(number: int, start: Column, end: Column) -> Column:
+        return F.struct(F.lit(number).alias(prefix), start.alias(f"{prefix}_min"), end.alias(f"{prefix}_max"))
+
+    first, second = part(0, low, F.least(high, world)), part(1, -world, high - 2 * world)
+    crossing = F.coalesce(high > world, F.lit(False))
+    uncut = part(0, low, high)
+    return df.select("*", F.inline(F.when(crossing, F.array(first, second)).otherwise(F.array(uncut))))

@@ -10,6 +10,9 @@ boxes are not much longer than they are wide.
 
 Boxes may have a time span too. It has levels of its own, so the many scenes that lie on
 one spot, one per overpass, are parted by their dates.
+
+A cell whose two sides would meet too often is cut into rectangles of rows, each of which meets at
+most a set number of times, however long either side is.
 """
 
 from __future__ import annotations
@@ -19,8 +22,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# rows of a side that one task takes of one cell at most
-HOT_ROWS = 20_000
+from geomosaic.session import staged
+
+#: Meetings of the two sides of one cell that one task takes at most.
+MEETINGS = 16_000_000
 MIN_LEVEL, MAX_LEVEL = -30, 60
 # time levels are powers of two of a microsecond; at the open level all times are one cell
 MIN_TIME_LEVEL, MAX_TIME_LEVEL, OPEN_TIME_LEVEL = 20, 61, 62
@@ -72,82 +77,108 @@ def native_time_level(box: Box) -> Column:
 _CELL = ["_level", "_cx", "_cy", "_time", "_ct"]
 
 
-def _levels(left: DataFrame, right: DataFrame) -> tuple[list, list]:
-    """Row counts per native level of both sides: a few hundred small rows at most."""
-    found = (
-        left.select(F.lit("l").alias("side"), F.col("_l_own").alias("own"), F.col("_l_time").alias("time"))
-        .unionByName(
-            right.select(F.lit("r").alias("side"), F.col("_r_own").alias("own"), F.col("_r_time").alias("time"))
-        )
-        .groupBy("side", "own", "time")
-        .count()
-        .collect()
-    )
-    return tuple([row for row in found if row["side"] == side] for side in "lr")
+def box_fault(box: Box) -> Column:
+    """What keeps a box from any overlap: ``null``, ``infinite`` (or not a number) or ``inverted``; null for a proper box."""
+    x0, y0, x1, y1 = sides = box.columns()
+    lacking, endless = F.lit(False), F.lit(False)
+    for side in sides:
+        lacking = lacking | side.isNull()
+        endless = endless | F.isnan(side) | (F.abs(side) == float("inf"))
+    inverted = (x0 > x1) | (y0 > y1)
+    return F.when(lacking, F.lit("null")).when(endless, F.lit("infinite")).when(inverted, F.lit("inverted"))
+
+
+def rejected_boxes(df: DataFrame, box: Box) -> DataFrame:
+    """The rows that no extent join can place, with the ``reject_reason``."""
+    return df.withColumn("reject_reason", box_fault(box)).where(F.col("reject_reason").isNotNull())
+
 
+def _levels(left: DataFrame, right: DataFrame, on: list[str]) -> list:
+    """Row counts per key and native level of both sides: a few hundred small rows at most."""
+    sides = [
+        df.select(F.lit(side).alias("side"), *on, F.col(f"_{side}_own").alias("own"), F.col(f"_{side}_time").alias("time"))
+        for side, df in (("l", left), ("r", right))
+    ]
+    return sides[0].unionByName(sides[1]).groupBy("side", *on, "own", "time").count().collect()
 
-def _meeting_levels(own: Column, partners: set[int]) -> Column:
+
+def _with_partners(df: DataFrame, partners: list, on: list[str]) -> DataFrame:
+    """``df`` with the levels of the rows it can meet, as sorted arrays; no row stays whose key has no partner."""
+
+    def arrays(rows: list) -> tuple[list[int], list[int]]:
+        return sorted({r["own"] for r in rows}), sorted({r["time"] for r in rows})
+
+    if not on:
+        own, time = (F.array(*map(F.lit, levels)).cast("array<int>") for levels in arrays(partners))
+        return df.withColumns({"_partners": own, "_partner_times": time})
+    keys = sorted({r[on[0]] for r in partners})
+    rows = [(key, *arrays([r for r in partners if r[on[0]] == key])) for key in keys]
+    known = df.sparkSession.createDataFrame(rows, f"{on[0]} int, _partners array<int>, _partner_times array<int>")
+    return df.join(F.broadcast(known), on)
+
+
+def _meeting_levels(own: Column, partners: Column) -> Column:
     """Where a row can meet partners: at its own level, if some partner is as fine, and
     at the partners' coarser levels."""
-    if not partners:
-        return F.array().cast("array<int>")
-    at_own = F.when(own >= min(partners), F.array(own)).otherwise(F.array().cast("array<int>"))
-    coarser = F.filter(F.array(*[F.lit(p) for p in sorted(partners)]), lambda p: p > own)
-    return F.concat(at_own, coarser)
+    at_own = F.when(own >= F.array_min(partners), F.array(own)).otherwise(F.array().cast("array<int>"))
+    return F.concat(at_own, F.filter(partners, lambda p: p > own))
 
 
-def _place(df: DataFrame, box: Box, side: str, partners: list) -> DataFrame:
+def _place(df: DataFrame, box: Box, side: str, partners: list, on: list[str]) -> DataFrame:
     """One row per cell that a box touches, at each level where it can meet a partner."""
     x0, y0, x1, y1 = box.columns()
     cell = F.pow(F.lit(2.0), F.col("_level"))
     out = (
-        df.withColumn("_level", F.explode(_meeting_levels(F.col(f"_{side}_own"), {r["own"] for r in partners})))
+        _with_partners(df, partners, on)
+        .withColumn("_level", F.explode(_meeting_levels(F.col(f"_{side}_own"), F.col("_partners"))))
         .withColumn("_cx", F.explode(F.sequence(F.floor(x0 / cell), F.floor(x1 / cell))))
         .withColumn("_cy", F.explode(F.sequence(F.floor(y0 / cell), F.floor(y1 / cell))))
     )
-    times = {r["time"] for r in partners}
     if not box.timed:
         # an untimed side is open, and its partners come to the open level
-        return out.withColumn("_time", F.lit(OPEN_TIME_LEVEL)).withColumn("_ct", F.lit(0).cast("bigint"))
+        out = out.withColumn("_time", F.lit(OPEN_TIME_LEVEL)).withColumn("_ct", F.lit(0).cast("bigint"))
+        return out.drop("_partners", "_partner_times")
     start, end = box.times()
     span = _time_cell(start), _time_cell(end)
     cells = F.when(F.col("_time") == OPEN_TIME_LEVEL, F.array(F.lit(0).cast("bigint"))).otherwise(F.sequence(*span))
-    return out.withColumn("_time", F.explode(_meeting_levels(F.col(f"_{side}_time"), times))).withColumn(
-        "_ct", F.explode(cells)
-    )
+    out = out.withColumn("_time", F.explode(_meeting_levels(F.col(f"_{side}_time"), F.col("_partner_times"))))
+    return out.withColumn("_ct", F.explode(cells)).drop("_partners", "_partner_times")
 
 
 def _time_cell(when: Column) -> Column:
     return F.call_function("shiftright", when, F.col("_time"))
 
 
-def hot_cells(left: DataFrame, right: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """All crowded cells, with the number of slices each side is cut into."""
+def hot_cells(left: DataFrame, right: DataFrame, keys: list[str], meetings: int = MEETINGS) -> DataFrame:
+    """The cells with more than ``meetings`` pairs, with the number of slices each side is cut into.
+
+    Slices are as long on both sides, so that few rows are repeated; a side shorter than that stays whole.
+    """
     counted = (
-        left.select(*_CELL, F.lit(1).alias("l"), F.lit(0).alias("r"))
-        .unionByName(right.select(*_CELL, F.lit(0).alias("l"), F.lit(1).alias("r")))
-        .groupBy(*_CELL)
+        left.select(*keys, F.lit(1).alias("l"), F.lit(0).alias("r"))
+        .unionByName(right.select(*keys, F.lit(0).alias("l"), F.lit(1).alias("r")))
+        .groupBy(*keys)
         .agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
-        .where((F.greatest("l", "r") > hot_rows) & (F.least("l", "r") > 0))
-    )
-    return counted.select(
-        *_CELL,
-        F.ceil(F.col("l") / F.lit(hot_rows)).cast("int").alias("_nl"),
-        F.ceil(F.col("r") / F.lit(hot_rows)).cast("int").alias("_nr"),
+        .where(F.col("l").cast("double") * F.col("r") > meetings)
     )
+    longest = F.lit(float(max(1, int(meetings**0.5))))
 
+    def slices(own: str, other: str) -> Column:
+        return F.ceil(F.col(own) * F.least(F.col(other).cast("double"), longest) / F.lit(float(meetings))).cast("int")
 
-def _slice(
-    df: DataFrame, identity: list[str], hot: DataFrame, own: str, other: str, own_slice: str, other_slice: str
-) -> DataFrame:
+    return counted.select(*keys, slices("l", "r").alias("_nl"), slices("r", "l").alias("_nr"))
+
+
+def _slice(df: DataFrame, hot: DataFrame, keys: list[str], own: str, other: str, own_slice: str, other_slice: str) -> DataFrame:
     """Give each row of a hot cell one slice of its own side and all of the other's.
 
-    The slice is a hash of the row, so a task that runs again gives the same slices.
+    The slice follows from the place of the row in its stored table, so a task that runs again gives the
+    same slices, and equal rows are dealt out too.
     """
-    tagged = df.join(hot, _CELL, "left")
+    tagged = df.join(hot, keys, "left")
     own_n, other_n = F.coalesce(own, F.lit(1)), F.coalesce(other, F.lit(1))
     return (
-        tagged.withColumn(own_slice, F.pmod(F.xxhash64(*identity), own_n).cast("int"))
+        tagged.withColumn(own_slice, F.pmod(F.xxhash64("_row"), own_n).cast("int"))
         .withColumn(other_slice, F.explode(F.sequence(F.lit(0), other_n - F.lit(1))))
         .drop("_nl", "_nr")
     )
@@ -159,39 +190,56 @@ def join_boxes(
     left_box: Box,
     right_box: Box,
     half_open: bool = False,
-    hot_rows: int = HOT_ROWS,
+    meetings: int = MEETINGS,
+    on: str | None = None,
+    stored: tuple[bool, bool] = (False, False),
 ) -> DataFrame:
     """All pairs of rows whose boxes overlap with a positive area.
 
     With ``half_open`` the right side holds points: a point belongs to a box when
     ``min <= p < max``. If both boxes name time columns, their closed spans must share a
     moment; a row that lacks one of its times is open and fits every span. Column names
-    of the two sides must differ.
+    of the two sides must differ, but for ``on``: an integer column of both sides with few values, in which the rows of a pair agree.
+
+    Rows without a proper box meet nothing; ``rejected_boxes`` tells them with a reason. Each side is evaluated once
+    and written; ``stored`` says of a side that it is a stored table, at most filtered and projected, which is read again instead.
     """
     if left_box.timed != right_box.timed:
         raise ValueError("either both sides have times or none has")
-    left = _known(left, left_box).withColumns({"_l_own": native_level(left_box), "_l_time": native_time_level(left_box)})
-    right = _known(right, right_box).withColumns(
-        {"_r_own": native_level(right_box), "_r_time": native_time_level(right_box)}
+    keyed = [on] if on else []
+    left, right = (
+        _fixed(df.where(box_fault(box).isNull()), box, side, is_stored)
+        for df, box, side, is_stored in ((left, left_box, "l", stored[0]), (right, right_box, "r", stored[1]))
     )
-    l_levels, r_levels = _levels(left, right)
-    l_cells = _place(left, left_box, "l", r_levels)
-    r_cells = _place(right, right_box, "r", l_levels)
-    keys = list(_CELL)
-    # a row is in a cell once, so a side with no more rows than this has no hot cell
-    if max(sum(row["count"] for row in side) for side in (l_levels, r_levels)) > hot_rows:
-        hot = hot_cells(l_cells, r_cells, hot_rows)
-        l_cells = _slice(l_cells, _hashable(left), hot, "_nl", "_nr", "_sl", "_sr")
-        r_cells = _slice(r_cells, _hashable(right), hot, "_nr", "_nl", "_sr", "_sl")
-        keys += ["_sl", "_sr"]
+    found = _levels(left, right, keyed)
+    l_levels, r_levels = ([row for row in found if row["side"] == side] for side in "lr")
+    l_cells = _place(left, left_box, "l", r_levels, keyed)
+    r_cells = _place(right, right_box, "r", l_levels, keyed)
+    keys = [*keyed, *_CELL]
+    cut = []
+    # a row is in a cell once, so fewer rows than this have no hot cell
+    l_rows, r_rows = (sum(row["count"] for row in side) for side in (l_levels, r_levels))
+    if l_rows * r_rows > meetings:
+        hot = staged(hot_cells(l_cells, r_cells, keys, meetings), "hot-cells")
+        if not hot.isEmpty():
+            l_cells = _slice(l_cells, hot, keys, "_nl", "_nr", "_sl", "_sr")
+            r_cells = _slice(r_cells, hot, keys, "_nr", "_nl", "_sr", "_sl")
+            cut = ["_sl", "_sr"]
     # cheap comparisons first: this is looked at once per candidate pair
     return (
-        l_cells.join(r_cells, keys)
+        l_cells.drop("_row").join(r_cells.drop("_row"), [*keys, *cut])
         .where(_overlap(left_box, right_box, half_open) & _at_corner(left_box, right_box))
-        .drop(*keys, "_l_own", "_r_own", "_l_time", "_r_time")
+        .drop(*_CELL, *cut, "_l_own", "_r_own", "_l_time", "_r_time")
     )
 
 
+def _fixed(df: DataFrame, box: Box, side: str, is_stored: bool) -> DataFrame:
+    """The side with its native levels, written unless it is stored already, and a number per row that stays."""
+    placed = df.withColumns({f"_{side}_own": native_level(box), f"_{side}_time": native_time_level(box)})
+    placed = placed if is_stored else staged(placed, "boxes")
+    return placed.withColumn("_row", F.monotonically_increasing_id())
+
+
 def _overlap(left: Box, right: Box, half_open: bool) -> Column:
     lx0, ly0, lx1, ly1 = left.columns()
     rx0, ry0, rx1, ry1 = right.columns()
@@ -223,14 +271,3 @@ def _at_corner(left: Box, right: Box) -> Column:
             & ((F.col("_time") == OPEN_TIME_LEVEL) | (_time_cell(later) == F.col("_ct")))
         )
     return here
-
-
-def _hashable(df: DataFrame) -> list[str]:
-    return [name for name, kind in df.dtypes if "map<" not in kind]
-
-
-def _known(df: DataFrame, box: Box) -> DataFrame:
-    known = F.lit(True)
-    for column in box.columns():
-        known = known & column.isNotNull()
-    return df.where(known)

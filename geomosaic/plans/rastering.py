@@ -138,78 +138,13 @@ def px_overview(spark, sf_dir):
     return mosaic.first_merge(kept, ["family", "out_col", "out_row"]).select("family", "out_col", "out_row", "v")
 
 
-PROJECT_SQL = """
-select event_id, epsg,
-  round(min(mx),3) as mx_min, round(min(my),3) as my_min, round(max(mx),3) as mx_max, round(max(my),3) as my_max,
-  case when min(mx) is null then 'epsg' end as reject_reason
-from (
- select event_id, epsg,
-  case when epsg = 3857 then x when epsg = 4326 then radians(x)*6378137.0::double
-    when epsg < 32800 and epsg > 32600 then (radians((epsg%100)*6.0::double-183)+atan2(sinh(e1),cos(x1)))*6378137.0::double end as mx,
-  case when epsg = 3857 then y when epsg = 4326 then asinh(tan(radians(y)))*6378137.0::double
-    when epsg < 32800 and epsg > 32600 then asinh(tan(lat))*6378137.0::double end as my
- from (
-  select *, chi + d1*sin(2*chi) + d2*sin(4*chi) + d3*sin(6*chi) + d4*sin(8*chi) as lat from (
-   select *, asin(sin(x1)/cosh(e1)) as chi from (
-    select *,
-     xi - b1*sin(2*xi)*cosh(2*eta) - b2*sin(4*xi)*cosh(4*eta) - b3*sin(6*xi)*cosh(6*eta) - b4*sin(8*xi)*cosh(8*eta) as x1,
-     eta - b1*cos(2*xi)*sinh(2*eta) - b2*cos(4*xi)*sinh(4*eta) - b3*cos(6*xi)*sinh(6*eta) - b4*cos(8*xi)*sinh(8*eta) as e1
-    from (
-     select *, (case when epsg between 32601 and 32760 then y else 0 end - case when epsg > 32700 then 10000000 else 0 end)/(0.9996::double*ra) as xi,
-       (case when epsg between 32601 and 32760 then x else 500000 end - 500000)/(0.9996::double*ra) as eta
-     from corners, (
-      select 6378137.0::double/(1+n)*(1+n**2/4+n**4/64) as ra,
-       n/2-2*n**2/3+37*n**3/96-n**4/360 as b1, n**2/48+n**3/15-437*n**4/1440 as b2,
-       17*n**3/480-37*n**4/840 as b3, 4397*n**4/161280 as b4,
-       2*n-2*n**2/3-2*n**3+116*n**4/45 as d1, 7*n**2/3-8*n**3/5-227*n**4/45 as d2,
-       56*n**3/15-136*n**4/35 as d3, 4279*n**4/630 as d4
-      from (select (1/298.257223563::double)/(2-1/298.257223563::double) as n)))))))
-group by event_id, epsg
-"""
-
-NATIVE_SQL = """
-select event_id, case when user_id%17=0 then 3413 when user_id%19=0 then 3857 when epsg=4326 then 4326
-    when event_id%2=0 then epsg else epsg+100 end as epsg, x_min, y_min, x_max, y_max
-from headers join granules using (event_id)
-"""
-
-# native units: degrees for geographic rows, else metres inside the zone
-CORNERS_SQL = f"""
-select event_id, epsg,
-  case when epsg=4326 then px/2100000*340-170 when epsg=3857 then px else 170000+px/2100000*660000 end as x,
-  case when epsg=4326 then py/2100000*160-80 when epsg=3857 then py else 100000+py/2100000*9000000 end as y
-from (select event_id, epsg, unnest([x_min,x_min,x_max,x_max]) as px, unnest([y_min,y_max,y_min,y_max]) as py from ({NATIVE_SQL}))
-"""
-
-
-def native_extents(spark, sf_dir):
-    """Extents in the units of their own reference system."""
-    scenes = views.headers_of(views.granules(spark, sf_dir), "user_id")
-    coded = scenes.withColumn(
-        "epsg",
-        F.expr(
-            "case when user_id%17=0 then 3413 when user_id%19=0 then 3857 when epsg=4326 then 4326 "
-            "when event_id%2=0 then epsg else epsg+100 end"
-        ),
-    )
-
-    def native(column, degrees, offset, metres):
-        p = F.col(column)
-        return (
-            F.when(F.col("epsg") == 4326, p / 2100000 * (2 * degrees) - degrees)
-            .when(F.col("epsg") == 3857, p)
-            .otherwise(offset + p / 2100000 * metres)
-        )
-
-    return coded.withColumns(
-        {c: native(c, 170, 170000, 660000) for c in ("x_min", "x_max")}
-        | {c: native(c, 80, 100000, 9000000) for c in ("y_min", "y_max")}
-    ).select("event_id", "epsg", "x_min", "y_min", "x_max", "y_max")
-
-
-@query("px_project_3857", PROJECT_SQL.replace("corners", f"({CORNERS_SQL})"))
+@query(
+    "px_project_3857",
+    """select event_id, epsg, round(mx_min,3) as mx_min, round(my_min,3) as my_min, round(mx_max,3) as mx_max,
+         round(my_max,3) as my_max, reject_reason from mercator""",
+)
 def px_project_3857(spark, sf_dir):
-    done = pixels.project_extent(native_extents(spark, sf_dir))
+    done = pixels.project_extent(views.native_headers_of(views.granules(spark, sf_dir)))
     sides = ("mx_min", "my_min", "mx_max", "my_max")
     return done.select("event_id", "epsg", *[F.round(c, 3).alias(c) for c in sides], "reject_reason")
 

@@ -86,9 +86,44 @@ def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return headers_of(granules(spark, sf_dir))
 
 
-def header_docs_of(scenes: DataFrame, name: str) -> DataFrame:
-    """Header documents as JSON text, for scenes whose rasters are named by ``name``."""
-    kept = headers_of(scenes.withColumn("raster_name", F.col(name)), "event_type", "raster_name")
+def native_headers_of(scenes: DataFrame, *keep: str) -> DataFrame:
+    """Flattened headers in the units of their own reference system, awkward ones among them.
+
+    Some boxes cross the antimeridian or the equator, touch a pole, are 400 km wide, inverted, or of a code that is not known.
+    """
+    code = (
+        "case when event_id%17=0 then 3413 when event_id%19=0 then 3857 when event_id%5=0 then 4326 "
+        "else cast(user_id%60+1 as int) + if(event_id%2=0, 32600, 32700) end"
+    )
+    degrees = {"x_min": "k*9/50-180", "y_min": "m*9/100-90", "width": "0.3D", "height": "0.3D"}
+    metres = {"x_min": "k*20000-20000000", "y_min": "m*20000-20000000", "width": "28800D", "height": "28800D"}
+    zone = {
+        "x_min": "160000+k*330",
+        "y_min": "if(epsg < 32700, m*4600-14400, 800000+m*4600)",
+        "width": "if(event_id%7=0, 400000D, 28800D)",
+        "height": "28800D",
+    }
+    native = {
+        name: F.expr(f"case epsg when 4326 then {degrees[name]} when 3857 then {metres[name]} else {zone[name]} end")
+        for name in zone
+    }
+    placed = headers_of(scenes, *keep, "user_id").withColumns(
+        {
+            "k": F.expr("cast(event_id*7919%2000 as double)"),
+            "m": F.expr("cast(user_id*104729%2000 as double)"),
+            "epsg": F.expr(code),
+        }
+    )
+    placed = placed.withColumns(native).withColumns(
+        {"x_max": F.expr("if(event_id%29=0, x_min-1, x_min+width)"), "y_max": F.expr("y_min+height")}
+    )
+    return placed.drop("k", "m", "width", "height", "user_id")
+
+
+def header_docs_of(scenes: DataFrame, name: str, native: bool = False) -> DataFrame:
+    """Header documents as JSON text, for scenes whose rasters are named by ``name``; ``native`` ones in many units."""
+    flat = native_headers_of if native else headers_of
+    kept = flat(scenes.withColumn("raster_name", F.col(name)), "event_type", "raster_name")
     path = F.concat(F.lit(f"/vsis3/{BUCKET}/"), "raster_name", F.lit(".tif"))
     wkt = F.concat(
         F.lit('PROJCS["f",GEOGCS["g",AUTHORITY["EPSG","4326"]],AUTHORITY["EPSG","'),

@@ -33,6 +33,66 @@ select event_id, concat('/vsis3/fixture-bucket/', opera_name, '.tif') as path,
 from granules
 """
 
+VIEWS["native_headers"] = """
+select event_id, epsg, x_min, y_min, case when event_id%29=0 then x_min-1 else x_min+width end as x_max, y_min+height as y_max
+from (
+  select event_id, epsg,
+    case epsg when 4326 then k*9/50-180 when 3857 then k*20000-20000000 else 160000+k*330 end as x_min,
+    case when epsg = 4326 then m*9/100-90 when epsg = 3857 then m*20000-20000000
+      when epsg < 32700 then m*4600-14400 else 800000+m*4600 end as y_min,
+    case when epsg = 4326 then 0.3::double when epsg = 3857 then 28800 when event_id%7=0 then 400000 else 28800 end as width,
+    case when epsg = 4326 then 0.3::double else 28800 end as height
+  from (
+    select event_id, cast(event_id*7919%2000 as double) as k, cast(user_id*104729%2000 as double) as m,
+      case when event_id%17=0 then 3413 when event_id%19=0 then 3857 when event_id%5=0 then 4326
+        else cast(user_id%60+1 as int) + case when event_id%2=0 then 32600 else 32700 end end as epsg
+    from granules))
+"""
+
+# the envelope is the least box around nine points: corners, and where the edges may turn
+VIEWS["mercator"] = """
+select event_id, epsg,
+  case when reject_reason is null then west - turns end as mx_min,
+  case when reject_reason is null then greatest(-world, least(world, south)) end as my_min,
+  case when reject_reason is null then east - turns end as mx_max,
+  case when reject_reason is null then greatest(-world, least(world, north)) end as my_max, reject_reason
+from (
+ select *, floor((west+world)/(2*world))*(2*world) as turns from (
+ select event_id, epsg, min(mx) as west, min(my) as south, max(mx) as east, max(my) as north,
+  pi()*6378137.0::double as world,
+  case when epsg not in (3857, 4326) and not (epsg%100 between 1 and 60 and epsg//100 in (326, 327)) then 'epsg'
+    when bool_or(bad) then 'extent' end as reject_reason
+ from (
+ select event_id, epsg, bad,
+  case when epsg = 3857 then x when epsg = 4326 then radians(x)*6378137.0::double
+    when epsg > 32600 then (radians((epsg%100)*6.0::double-183)+atan2(sinh(e1),cos(x1)))*6378137.0::double end as mx,
+  case when epsg = 3857 then y when epsg = 4326 then asinh(tan(radians(y)))*6378137.0::double
+    when epsg > 32600 then asinh(tan(lat))*6378137.0::double end as my
+ from (
+  select *, chi + d1*sin(2*chi) + d2*sin(4*chi) + d3*sin(6*chi) + d4*sin(8*chi) as lat from (
+   select *, asin(sin(x1)/cosh(e1)) as chi from (
+    select *,
+     xi - b1*sin(2*xi)*cosh(2*eta) - b2*sin(4*xi)*cosh(4*eta) - b3*sin(6*xi)*cosh(6*eta) - b4*sin(8*xi)*cosh(8*eta) as x1,
+     eta - b1*cos(2*xi)*sinh(2*eta) - b2*cos(4*xi)*sinh(4*eta) - b3*cos(6*xi)*sinh(6*eta) - b4*cos(8*xi)*sinh(8*eta) as e1
+    from (
+     select *, (case when epsg > 32600 then y else 0 end - case when epsg > 32700 then 10000000 else 0 end)/(0.9996::double*ra) as xi,
+       (case when epsg > 32600 then x else 500000 end - 500000)/(0.9996::double*ra) as eta
+     from (
+      select event_id, epsg, x, y_min > y_max or x_min > x_max as bad,
+        case when epsg = 4326 then greatest(-90, least(90, y)) else y end as y
+      from (
+       select *, unnest([y_min, y_max, greatest(y_min, least(y_max, case when epsg > 32700 then 10000000 else 0 end))]) as y
+       from (select *, unnest([x_min, x_max, greatest(x_min, least(x_max, 500000))]) as x from native_headers))),
+     (
+      select 6378137.0::double/(1+n)*(1+n**2/4+n**4/64) as ra,
+       n/2-2*n**2/3+37*n**3/96-n**4/360 as b1, n**2/48+n**3/15-437*n**4/1440 as b2,
+       17*n**3/480-37*n**4/840 as b3, 4397*n**4/161280 as b4,
+       2*n-2*n**2/3-2*n**3+116*n**4/45 as d1, 7*n**2/3-8*n**3/5-227*n**4/45 as d2,
+       56*n**3/15-136*n**4/35 as d3, 4279*n**4/630 as d4
+      from (select (1/298.257223563::double)/(2-1/298.257223563::double) as n)))))))
+ group by event_id, epsg))
+"""
+
 VIEWS["catalog_old"] = "select path from headers where event_id%3=0"
 
 VIEWS["listing"] = """

@@ -29,9 +29,9 @@ def frame(spark, rows, prefix):
     return spark.createDataFrame(rows, schema), Box(*names[1:])
 
 
-@pytest.mark.parametrize("hot_rows", [200_000, 5])
+@pytest.mark.parametrize("meetings", [16_000_000, 25])
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_box_join_equals_brute_force(spark, seed, hot_rows):
+def test_box_join_equals_brute_force(spark, seed, meetings):
     left, right = boxes(seed, 120, "l", (1, 10, 64, 700)), boxes(seed + 10, 80, "r", (2, 16, 33, 250))
     # a third of each side lies on one spot
     left += [(f"h{i}", 10.0, 10.0, 20.0, 20.0) for i in range(60)]
@@ -40,19 +40,19 @@ def test_box_join_equals_brute_force(spark, seed, hot_rows):
         (a[0], b[0]) for a in left for b in right if a[1] < b[3] and b[1] < a[3] and a[2] < b[4] and b[2] < a[4]
     )
     (l_df, l_box), (r_df, r_box) = frame(spark, left, "l"), frame(spark, right, "r")
-    got = join_boxes(l_df, r_df, l_box, r_box, hot_rows=hot_rows).select("lid", "rid").collect()
+    got = join_boxes(l_df, r_df, l_box, r_box, meetings=meetings).select("lid", "rid").collect()
     assert sorted((r.lid, r.rid) for r in got) == want
 
 
-@pytest.mark.parametrize("hot_rows", [200_000, 5])
-def test_point_join_is_half_open(spark, hot_rows):
+@pytest.mark.parametrize("meetings", [16_000_000, 25])
+def test_point_join_is_half_open(spark, meetings):
     left = boxes(5, 100, "l", (8, 16, 32)) + [("edge", 0.0, 0.0, 16.0, 16.0)]
     points = [(f"p{i}", float(i % 40 * 4), float(i // 40 * 4)) for i in range(400)]
     want = sorted((a[0], p[0]) for a in left for p in points if a[1] <= p[1] < a[3] and a[2] <= p[2] < a[4])
     l_df, l_box = frame(spark, left, "l")
     p_df = spark.createDataFrame(points, "pid string, px double, py double")
     got = join_boxes(
-        l_df, p_df, l_box, Box("px", "py", "px", "py"), half_open=True, hot_rows=hot_rows
+        l_df, p_df, l_box, Box("px", "py", "px", "py"), half_open=True, meetings=meetings
     ).collect()
     assert sorted((r.lid, r.pid) for r in got) == want
 
@@ -63,8 +63,8 @@ def test_box_join_without_rows_or_extents(spark):
     assert join_boxes(l_df, r_df, l_box, r_box).count() == 0
 
 
-@pytest.mark.parametrize("hot_rows", [200_000, 20])
-def test_timed_join_equals_brute_force(spark, hot_rows):
+@pytest.mark.parametrize("meetings", [16_000_000, 400])
+def test_timed_join_equals_brute_force(spark, meetings):
     rng = random.Random(8)
     base = datetime.datetime(2024, 1, 1)
 
@@ -89,7 +89,7 @@ def test_timed_join_equals_brute_force(spark, hot_rows):
     names = [["x0", "y0", "x1", "y1", "t0", "t1"], ["x0", "y0", "x1", "y1", "t0", "t1"]]
     l_df, r_df = (spark.createDataFrame(rows, schema.format(p)) for rows, p in ((left, "l"), (right, "r")))
     l_box, r_box = (Box(*[p + n for n in ns]) for p, ns in zip("lr", names, strict=True))
-    got = join_boxes(l_df, r_df, l_box, r_box, hot_rows=hot_rows).collect()
+    got = join_boxes(l_df, r_df, l_box, r_box, meetings=meetings).collect()
     assert sorted((r.lid, r.rid) for r in got) == want
     with pytest.raises(ValueError, match="times"):
         join_boxes(l_df, r_df, l_box, Box("rx0", "ry0", "rx1", "ry1"))
@@ -104,12 +104,13 @@ def test_a_crowd_of_small_boxes_is_parted(spark):
     point = Box("px", "py", "px", "py")
     l_known = l_df.withColumns({"_l_own": spatial.native_level(box), "_l_time": spatial.native_time_level(box)})
     p_known = p_df.withColumns({"_r_own": spatial.native_level(point), "_r_time": spatial.native_time_level(point)})
-    l_levels, p_levels = spatial._levels(l_known, p_known)
+    found = spatial._levels(l_known, p_known, [])
+    l_levels, p_levels = ([r for r in found if r["side"] == side] for side in "lr")
     per_cell = {}
     for side, placed in enumerate(
         (
-            spatial._place(l_known, box, "l", p_levels),
-            spatial._place(p_known, point, "r", l_levels),
+            spatial._place(l_known, box, "l", p_levels, []),
+            spatial._place(p_known, point, "r", l_levels, []),
         )
     ):
         for row in placed.groupBy("_level", "_cx", "_cy").count().collect():
@@ -119,11 +120,77 @@ def test_a_crowd_of_small_boxes_is_parted(spark):
     assert join_boxes(l_df, p_df, box, point, half_open=True).count() <= looked_at
 
 
-def test_rank_of_a_hot_group(spark):
+def test_a_hot_cell_is_cut_by_its_product(spark):
+    """Equal rows on one cell: no task takes more than the set number of meetings, and slices are about square."""
+    same = spark.range(2000).select(F.lit(1.01).alias("x0"), F.lit(1.01).alias("y0"), F.lit(1.49).alias("x1"), F.lit(1.49).alias("y1"))
+    other = same.limit(900).selectExpr("x0 as u0", "y0 as v0", "x1 as u1", "y1 as v1")
+    left, right, meetings = Box("x0", "y0", "x1", "y1"), Box("u0", "v0", "u1", "v1"), 40_000
+    assert join_boxes(same, other, left, right, meetings=meetings).count() == 2000 * 900
+    l_fixed, r_fixed = spatial._fixed(same, left, "l", False), spatial._fixed(other, right, "r", False)
+    levels = spatial._levels(l_fixed, r_fixed, [])
+    l_cells = spatial._place(l_fixed, left, "l", [r for r in levels if r["side"] == "r"], [])
+    r_cells = spatial._place(r_fixed, right, "r", [r for r in levels if r["side"] == "l"], [])
+    (hot,) = spatial.hot_cells(l_cells, r_cells, spatial._CELL, meetings).collect()
+    assert (hot["_nl"], hot["_nr"]) == (10, 5)
+    table = spatial.hot_cells(l_cells, r_cells, spatial._CELL, meetings)
+    keys = [*spatial._CELL, "_sl", "_sr"]
+    l_cut = spatial._slice(l_cells, table, spatial._CELL, "_nl", "_nr", "_sl", "_sr").groupBy(keys).agg(F.count("*").alias("l"))
+    r_cut = spatial._slice(r_cells, table, spatial._CELL, "_nr", "_nl", "_sr", "_sl").groupBy(keys).agg(F.count("*").alias("r"))
+    met = [r.l * r.r for r in l_cut.join(r_cut, keys).collect()]
+    assert len(met) == 50 and sum(met) == 2000 * 900 and max(met) < 2 * meetings
+
+
+def test_a_side_that_is_short_stays_whole(spark):
+    cells = spark.range(100_000).select(F.lit(0).alias("k"))
+    (hot,) = spatial.hot_cells(cells, cells.limit(3), ["k"], 10_000).collect()
+    assert (hot["_nl"], hot["_nr"]) == (30, 1)
+
+
+def test_boxes_that_are_none_are_told_with_a_reason(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [("ok", 0.0, 0.0, 1.0, 1.0), ("inf", 0.0, 0.0, inf, 1.0), ("low", -inf, 0.0, 1.0, 1.0), ("nan", 0.0, nan, 1.0, 1.0),
+            ("inv", 1.0, 0.0, 0.0, 1.0), ("null", 0.0, 0.0, 1.0, None)]
+    l_df, l_box = frame(spark, rows, "l")
+    r_df, r_box = frame(spark, [(f"r{n}", *b) for n, *b in rows], "r")
+    found = {r.lid: r.reject_reason for r in spatial.rejected_boxes(l_df, l_box).collect()}
+    assert found == {"inf": "infinite", "low": "infinite", "nan": "infinite", "inv": "inverted", "null": "null"}
+    assert [(r.lid, r.rid) for r in join_boxes(l_df, r_df, l_box, r_box).collect()] == [("ok", "rok")]
+
+
+def test_a_zoomed_out_request_meets_no_scene_under_the_overviews(spark):
+    """Of the pairs that meet in a cell, none is of a scene whose range does not admit the request."""
+    rng = random.Random(6)
+    ranges = [(None, 460.0), (450.0, None), (None, None), (100.0, 200.0), (0.0, 1.0), (-3.0, 5.0)]
+    items = [(f"i{k}", 0.0, 0.0, 9.0, 9.0, *rng.choice(ranges), None, None) for k in range(300)]
+    cells = [30.0, 455.0, 2000.0, 150.0, 0.0, 460.0, 450.0, 1e300, None]
+    asked = [(k, 1.0, 1.0, 2.0, 2.0, c, None, None) for k, c in enumerate(cells)]
+    i = spark.createDataFrame(items, "name string, x_min double, y_min double, x_max double, y_max double, min_ps double, max_ps double, start_date timestamp_ntz, end_date timestamp_ntz")
+    r = spark.createDataFrame(asked, "request_id int, rx_min double, ry_min double, rx_max double, ry_max double, cell double, t_from timestamp_ntz, t_to timestamp_ntz")
+    want = sorted(
+        (q[0], p[0]) for p in items for q in asked if q[5] is not None and (p[5] or 0.0) <= q[5] and (p[6] is None or q[5] <= p[6])
+    )
+    assert sorted((x.request_id, x.name) for x in mosaic.select_items(i, r).collect()) == want
+    classed, of_class = mosaic.with_resolution_class(i, r)
+    met = classed.join(of_class.where("cell = 2000"), "_class")
+    assert met.where("max_ps < 2000").count() == 0 and met.count() > 0
+    many = spark.range(20_000).select(F.expr("pow(2D, id/200D - 50)").alias("min_ps"), F.lit(None).cast("double").alias("max_ps"))
+    assert mosaic.with_resolution_class(many, r)[0].select("_class").distinct().count() <= mosaic.CLASSES
+
+
+def test_undated_items_fit_only_requests_without_times(spark):
+    day = datetime.datetime(2024, 1, 1)
+    i = spark.createDataFrame([("dated", day, day), ("open", None, None), ("half", day, None)], "name string, start_date timestamp_ntz, end_date timestamp_ntz")
+    r = spark.createDataFrame([(1, None, None), (2, day, day), (3, day, None), (4, None, day)], "request_id int, t_from timestamp_ntz, t_to timestamp_ntz")
+    found = {(x.request_id, x.name) for x in i.join(r).where(mosaic.in_time()).collect()}
+    assert found == {(1, "dated"), (1, "open"), (1, "half"), (2, "dated"), (3, "dated"), (4, "dated")}
+
+
+@pytest.mark.parametrize("rows_per_task", [200_000, 150, 40, 1])
+def test_rank_of_a_hot_group(spark, rows_per_task):
     rng = random.Random(3)
     rows = [("hot" if i % 3 else f"g{i % 7}", rng.randint(0, 20), f"n{i:04d}") for i in range(900)]
     df = spark.createDataFrame(rows, "g string, k int, name string")
-    got = bounded.ranked(df, ["g"], [F.col("k").asc(), F.col("name").asc()], partitions=7).collect()
+    got = bounded.ranked(df, ["g"], [F.col("k"), F.col("name")], rows_per_task=rows_per_task).collect()
     assert len(got) == len(rows)
     for group in {r[0] for r in rows}:
         want = [r[2] for r in sorted((r for r in rows if r[0] == group), key=lambda r: (r[1], r[2]))]
@@ -133,9 +200,24 @@ def test_rank_of_a_hot_group(spark):
 
 
 def test_rank_spreads_a_hot_group(spark):
-    df = spark.range(2000).select(F.lit(1).alias("g"), F.col("id"))
-    placed = bounded.ranked(df, ["g"], [F.col("id").asc()], partitions=8)
-    assert placed.where("mosaic_rank <> id + 1").count() == 0
+    """A group of one day and of no day at all is cut by the later keys; null groups are groups."""
+    df = spark.range(4000).select(
+        F.when(F.col("id") < 3600, F.lit(None).cast("int")).otherwise(F.lit(1)).alias("g"),
+        F.when(F.col("id") % 2 == 0, F.lit(None).cast("int")).otherwise(F.lit(7)).alias("k"),
+        F.lpad(F.col("id").cast("string"), 5, "0").alias("name"),
+    )
+    order = [F.col("k").isNull(), F.col("k"), F.col("name")]
+    ranked = bounded.ranked(df, ["g"], order, rows_per_task=320)
+    want = sorted(range(3600), key=lambda i: (i % 2 == 0, i))
+    found = {int(r["name"]): r.mosaic_rank for r in ranked.where("g is null").collect()}
+    assert [found[i] for i in want] == list(range(1, 3601))
+    sizes = df.groupBy("g").agg(F.count("*").alias("_rows"))
+    cuts = {r.g: r._splitters for r in bounded.splitters(df, sizes, ["g"], order, 320).collect()}
+    assert 8 <= len(cuts[None]) <= 16 and len(cuts.get(1, [])) <= 2
+    assert cuts == {r.g: r._splitters for r in bounded.splitters(df.repartition(7), sizes, ["g"], order, 320).collect()}
+    places = sorted(want.index(int(s.o2)) for s in cuts[None])
+    assert max(b - a for a, b in zip([0, *places], [*places, 3600], strict=True)) < 3 * 320
+    assert bounded.ranked(df.limit(0), ["g"], order).count() == 0
 
 
 def test_join_measured_beyond_its_bound(spark):
