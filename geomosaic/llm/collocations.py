@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from geomosaic.llm import quotient_filter as qf
-from geomosaic.llm.common import CACHE_WORDS, slices, staged
+from geomosaic.llm.common import slices, staged
 from geomosaic.llm.suffix_tree import _MAP_BITS, is_mapped, key_map, mixed
 
 LEAST = 10
@@ -34,12 +34,12 @@ PERCENT = 50
 TOP = 2000
 NO_LANG = "und"
 #: Distinct words that a task counts before it sends the counts off.
-COUNTED_WORDS = 400_000
+COUNTED_WORDS = 150_000
 #: N-grams that are sorted at once, entries that a task's filter takes, and entries meant for one range.
-BATCH, ENTRIES, RANGE = 1 << 20, 1 << 21, 1 << 20
+BATCH, ENTRIES, RANGE = 1 << 18, 1 << 20, 1 << 20
 WIDTHS = (32, 40, 48, 56, 64)
-#: Languages whose words a task remembers at a time.
-LANGUAGES = 8
+#: Languages whose words a task remembers at a time, and words of each.
+LANGUAGES, CACHE_WORDS = 8, 50_000
 
 _BREAK = np.zeros(1, dtype=np.uint64)
 _SENT = ["range", "lengths", "remainders", "small", "large"]
@@ -64,11 +64,14 @@ def word_counts(docs: DataFrame) -> DataFrame:
         counts: dict[str, Counter] = defaultdict(Counter)
 
         def counted():
-            rows = [(lang, word, n) for lang, held in counts.items() for word, n in held.items()]
-            columns = zip(*rows, strict=True) if rows else ((), (), ())
-            kinds = (pa.string(), pa.binary(), pa.int64())
+            langs = [lang for lang, held in counts.items() for _ in held]
+            columns = [
+                pa.array(langs, pa.string()),
+                pa.array([word for held in counts.values() for word in held], pa.binary()),
+                pa.array([n for held in counts.values() for n in held.values()], pa.int64()),
+            ]
             counts.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["lang", "word", "n"])
+            return pa.RecordBatch.from_arrays(columns, ["lang", "word", "n"])
 
         for part, texts in slices(batches, "text"):
             for lang, text in zip(_languages(part), texts, strict=True):
