@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from geomosaic.functions import scales
-from geomosaic.operators import aggregates, catalog, mosaic, pixels
-from geomosaic.operators.bounded import join_measured
+from geomosaic.functions import names, scales
+from geomosaic.operators import aggregates, catalog, overviews, pixels
 from geomosaic.operators.spatial import Box, join_boxes
 from geomosaic.plans import mosaicking, views
 from geomosaic.plans.registry import query
+from geomosaic.session import work_path
 
 
 def blocks(spark, sf_dir, value=lambda v: v):
@@ -112,30 +112,58 @@ def px_resample_nearest(spark, sf_dir):
     return pixels.resample_nearest(views.tiles(spark, sf_dir), ["vec_id"], F.lit(800.0), views.TOP)
 
 
+#: Newest first; the tile number as text settles ties and stands for undated tiles' names.
+OVERVIEW_ORDER = "struct_pack(a := abs(epoch_us(start_date) - epoch_us(timestamp '2050-01-01')), b := vec_id::varchar)"
+
+
 @query(
     "px_overview",
     " union all ".join(
-        f"""select '{family}' as family, out_col, out_row, arg_min(v,
-              struct_pack(a := abs(epoch_us(start_date) - epoch_us(timestamp '2050-01-01')), b := name)) as v
-            from ({RESAMPLE_SQL.format(cell=f"{cell}.0::double")}) r join (select vec_id, name, start_date from tiles) t
+        f"""select '{family}' as family, out_col, out_row, arg_min(v, {OVERVIEW_ORDER}) as v
+            from ({RESAMPLE_SQL.format(cell=f"{cell}.0::double")}) r join (select vec_id, start_date from tiles) t
             using (vec_id) where v between 0 and 4294967295 group by out_col, out_row"""
         for family, cell in (("RTC", 1200), ("OPERA", 450), ("COH", 900), ("SAMPLE", 800), ("HAND", 600))
     ),
 )
 def px_overview(spark, sf_dir):
-    """The whole mosaic at the overview cell of each family, in one pass over the blocks.
+    """The whole mosaic at the overview cell of each family, written to a store and read from it."""
+    store = overview_store(spark, sf_dir, [F.lit(True)])
+    return store.select(F.col("dataset").alias("family"), "out_col", "out_row", "v")
 
-    Only output cells are exploded; the pixels between their centres never become rows.
-    """
-    placed = join_measured(
-        views.tiles(spark, sf_dir), mosaicking.ranked_items(spark, sf_dir), ["vec_id"]
-    )
-    gridded = placed.select("*", F.inline(catalog.family_rows()))
-    coarse = pixels.resample_nearest(
-        gridded, ["family", "mosaic_rank"], F.col("overview_cell"), views.TOP
-    )
-    kept = coarse.withColumn("v", scales.valid(F.col("v")))
-    return mosaic.first_merge(kept, ["family", "out_col", "out_row"]).select("family", "out_col", "out_row", "v")
+
+def overview_cell():
+    """The overview cell of a row's family."""
+    sizes = {row[0]: row[3] for row in catalog.FAMILIES}
+    return F.element_at(F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair]), F.col("dataset"))
+
+
+def overview_store(spark, sf_dir, runs, size=64):
+    """The store after a run over the tiles that each condition picks."""
+    store = work_path(spark, "overview-store")
+    every = F.explode(F.array(*[F.lit(row[0]) for row in catalog.FAMILIES])).alias("dataset")
+    for run in runs:
+        dated = views.dated_tiles(spark, sf_dir).where(run)
+        items = dated.select(every, F.col("vec_id").cast("string").alias("name"), "start_date")
+        tiles = views.tiles(spark, sf_dir).where(run)
+        blocks = tiles.select("*", every).withColumn("name", F.col("vec_id").cast("string"))
+        overviews.update(store, blocks, items, overview_cell(), views.TOP, size)
+    return overviews.read_store(spark, store)
+
+
+@query(
+    "px_overview_update",
+    " union all ".join(
+        f"""select '{family}' as family, out_col, out_row, arg_min(v, {OVERVIEW_ORDER}) as v, arg_min(vec_id, {OVERVIEW_ORDER}) as vec_id
+            from ({RESAMPLE_SQL.format(cell=f"{cell}.0::double")}) r join (select vec_id, start_date from tiles) t
+            using (vec_id) where v between 0 and 4294967295 group by out_col, out_row"""
+        for family, cell in (("RTC", 1200), ("OPERA", 450), ("COH", 900), ("SAMPLE", 800), ("HAND", 600))
+    ),
+)
+def px_overview_update(spark, sf_dir):
+    """The same store after three runs, of which the later ones rewrite only what their tiles touch."""
+    runs = [F.expr("label < 5"), F.expr("label >= 5 and vec_id % 3 = 0"), F.expr("label >= 5 and vec_id % 3 <> 0")]
+    store = overview_store(spark, sf_dir, runs, size=16)
+    return store.select(F.col("dataset").alias("family"), "out_col", "out_row", "v", F.col("name").cast("bigint").alias("vec_id"))
 
 
 @query(
@@ -224,18 +252,28 @@ def px_identify(spark, sf_dir):
 
 @query(
     "px_overview_item",
-    """select 'TILES' as dataset, 'FIXTURE_TILES_240131_0000_overview' as name, 2 as category, 1600.0::double as min_ps,
-         min(start_date) - interval 8 hours as start_date, max(start_date) + interval 8 hours as end_date,
-         min(x_min) as x_min, max(y_max) as y_max, 1::bigint as n_overviews from tiles""",
+    " union all ".join(
+        f"""select '{family}' as dataset, 'FIXTURE_{family}_240131_0000_overview' as name, 2 as category, {smallest}::double as min_ps,
+              {cell}::double as low_ps, min(start_date) - interval 8 hours as start_date, max(start_date) + interval 8 hours as end_date,
+              any_value(w.x_min) as x_min, any_value(w.y_min) as y_min, any_value(w.x_max) as x_max, any_value(w.y_max) as y_max,
+              1::bigint as n_overviews
+            from tiles, (select min(out_col)*{cell}::double as x_min, 100000-(max(out_row)+1)*{cell}::double as y_min,
+              (max(out_col)+1)*{cell}::double as x_max, 100000-min(out_row)*{cell}::double as y_max
+              from ({RESAMPLE_SQL.format(cell=f"{cell}::double")}) where v between 0 and 4294967295) w"""
+        for family, _, smallest, cell, _ in catalog.FAMILIES
+    ),
 )
 def px_overview_item(spark, sf_dir):
-    slim = views.dated_tiles(spark, sf_dir).select(
-        F.lit("TILES").alias("dataset"), "name", F.lit("t").alias("tag"), "start_date", "x_min", "y_min", "x_max", "y_max"
-    )
-    found = catalog.overview_records(slim, F.lit("FIXTURE_TILES_240131_0000_overview")).withColumn(
-        "min_ps", F.lit(1600.0)
-    )
-    merged = catalog.append_overview(slim, found).where(catalog.is_overview())
-    return merged.groupBy("dataset", "name", "category", "min_ps", "start_date", "end_date", "x_min", "y_max").agg(
-        F.count("*").alias("n_overviews")
+    """The overview of each family, added to the items with the extent and cell of what was written."""
+    every = F.explode(F.array(*[F.lit(row[0]) for row in catalog.FAMILIES])).alias("dataset")
+    sources = views.dated_tiles(spark, sf_dir).select(
+        every, "name", F.lit("t").alias("tag"), "start_date", "x_min", "y_min", "x_max", "y_max", F.lit(1).alias("category")
     )
+    store = overview_store(spark, sf_dir, [F.lit(True)])
+    name = F.concat(names.run_name(F.lit("FIXTURE"), F.col("dataset"), views.as_of()), F.lit("_overview"))
+    smallest = F.create_map(*[F.lit(x) for row in catalog.FAMILIES for x in (row[0], row[2])])
+    found = overviews.records(store, sources, overview_cell(), views.TOP, name)
+    found = found.withColumn("min_ps", F.element_at(smallest, F.col("dataset")))
+    merged = catalog.append_overview(sources, found).where(catalog.is_overview())
+    held = ["dataset", "name", "category", "min_ps", "low_ps", "start_date", "end_date", "x_min", "y_min", "x_max", "y_max"]
+    return merged.groupBy(*held).agg(F.count("*").alias("n_overviews"))
