@@ -32,7 +32,7 @@ def pixel_type(band_type: Column, strict: bool = False) -> Column:
     """Code of a band type; an unknown one is null, or an error when strict."""
     code = F.lit(None).cast("int")
     if strict:
-        code = F.raise_error(F.concat(F.lit("Unsupported data type: "), F.coalesce(band_type, F.lit("null")))).cast("int")
+        code = F.raise_error(F.concat(F.lit("no pixel type for band type "), F.coalesce(band_type, F.lit("null")))).cast("int")
     for name, value in reversed(PIXEL_TYPES.items()):
         code = F.when(band_type == name, F.lit(value)).otherwise(code)
     return code

@@ -124,13 +124,13 @@ def to_mercator(
         },
         {f"mx_{a}{b}": F.when(code == 3857, F.col(f"_x_{a}")).otherwise(mercator_x(F.col(f"_lon_{a}{b}"))) for a, b in pairs}
         | {f"my_{a}{b}": F.when(code == 3857, F.col(f"_y_{b}")).otherwise(mercator_y(F.col(f"_lat_{a}{b}"))) for a, b in pairs},
-        {f"{m}_{a}{b}": F.nullif(f"{m}_{a}{b}", nan) for a, b in pairs for m in ("mx", "my")},
     ]
     out = df
     for step in steps:
         out = out.withColumns(step)
-    added = {name for step in steps for name in step if name.startswith("_")}
-    return out.drop(*added)
+    # behind an inline, a filter on the result stays above and is not spelled out in terms of all the steps
+    sides = [F.nullif(f"{m}_{a}{b}", nan).alias(f"{m}_{a}{b}") for a, b in pairs for m in ("mx", "my")]
+    return out.select(*df.columns, F.inline(F.array(F.struct(*sides))))
 
 
 def _add(sine: str, cosine: str, label: str, high: int, low: int, rest: int, sign: float) -> list[tuple[str, Column]]:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from geomosaic.functions import dates, scales
@@ -12,6 +13,8 @@ from geomosaic.operators.bounded import join_measured
 
 STATISTICS_SKIP = 5
 RANGE_FACTOR = 10
+# Fixed value: cell sizes within this share of one another are similar.
+SIZE_TOLERANCE = 0.8
 
 
 def overview_extent(items: DataFrame, group: Sequence[str]) -> DataFrame:
@@ -38,7 +41,9 @@ def ingest_counts(listing: DataFrame, catalog: DataFrame) -> DataFrame:
 
 def any_tag(items: DataFrame) -> DataFrame:
     """One tag per dataset, always the same one, with its polarization."""
-    return items.groupBy("dataset").agg(F.min("tag").alias("tag")).withColumn(
+    # distinct first, on hashes: the least of a text takes a sort, which then sees a row per tag
+    tags = items.select("dataset", "tag").distinct()
+    return tags.groupBy("dataset").agg(F.min("tag").alias("tag")).withColumn(
         "polarization", F.element_at(F.split("tag", "_"), -1)
     )
 
@@ -119,18 +124,17 @@ def statistics(pixels: DataFrame, group: Sequence[str], value: str = "v") -> Dat
 def histogram(pixels: DataFrame, group: Sequence[str], bins: int, value: str = "v") -> DataFrame:
     """Counts per bin of equal width between the least and the greatest value of each group.
 
-    The upper edge belongs to the last bin, a group of one value to the first. Nulls are left out; every
-    other pixel is counted. Values are counted first, so what is joined with the range of its group is
-    each distinct value once, and no pixel moves.
+    The upper edge belongs to the last bin, a group of one value to the first. Nulls and NaN are left out; every
+    other pixel is counted. The ends of the groups come first; with them each pixel is put into its bin where it
+    lies, and counts per bin are combined before they move. Give it pixels that are cheap to read again.
     """
     v = F.col(value)
-    counted = pixels.where(v.isNotNull() & ~F.isnan(v)).groupBy(*group, v.alias("_v")).agg(F.count("*").alias("_n"))
-    ends = counted.groupBy(*group).agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"))
-    placed = join_measured(counted, ends, group)
+    valid = pixels.where(v.isNotNull() & ~F.isnan(v)).select(*group, v.alias("_v"))
+    ends = valid.groupBy(*group).agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+    placed = join_measured(valid, ends, group)
     bin_number = F.least(F.width_bucket("_v", "_low", "_high", F.lit(bins)), F.lit(bins).cast("bigint"))
-    return placed.groupBy(*group, F.when(F.col("_low") < F.col("_high"), bin_number).otherwise(F.lit(1).cast("bigint")).alias("bin")).agg(
-        F.sum("_n").alias("n_pixels")
-    )
+    bin_number = F.when(F.col("_low") < F.col("_high"), bin_number).otherwise(F.lit(1).cast("bigint"))
+    return placed.groupBy(*group, bin_number.alias("bin")).agg(F.count("*").alias("n_pixels"))
 
 
 def cell_size_ranges(items: DataFrame, factor: int = RANGE_FACTOR) -> DataFrame:
@@ -139,6 +143,26 @@ def cell_size_ranges(items: DataFrame, factor: int = RANGE_FACTOR) -> DataFrame:
     return items.withColumn("low_ps", low).withColumn("high_ps", F.col("low_ps") * factor)
 
 
+def cell_size_groups(items: DataFrame, tolerance: float = SIZE_TOLERANCE, group: str = "dataset") -> DataFrame:
+    """(group, size_group, n_items, size_min, size_max): the cell sizes of each dataset, similar ones together.
+
+    Sizes (``low_ps``) belong together while each is at least ``tolerance`` of the next larger one. Sizes are folded on a
+    logarithmic scale whose steps are narrower than a gap, so only a few thousand rows of a dataset
+    are compared, however many sizes it has. Null and non-positive sizes are left out.
+    """
+    size = F.col("low_ps")
+    step = F.floor(F.log(size) / F.lit(-math.log(tolerance) / 2))
+    folded = items.where(size > 0).groupBy(group, step.alias("step")).agg(
+        F.count("*").alias("n"), F.min(size).alias("low"), F.max(size).alias("high")
+    )
+    in_order = Window.partitionBy(group).orderBy("step")
+    gap = F.coalesce((F.lag("high").over(in_order) < F.col("low") * tolerance).cast("long"), F.lit(1))
+    named = folded.withColumn("gap", gap).withColumn("size_group", F.sum("gap").over(in_order))
+    return named.groupBy(group, "size_group").agg(
+        F.sum("n").alias("n_items"), F.min("low").alias("size_min"), F.max("high").alias("size_max")
+    )
+
+
 def coverage_grid(
     catalog: DataFrame, products: Sequence[str], polarizations: Sequence[str], season_codes: Sequence[str]
 ) -> DataFrame:

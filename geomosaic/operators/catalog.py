@@ -65,16 +65,11 @@ def with_headers(paths: DataFrame, headers: DataFrame, path: str = "path") -> Da
     ).drop("_found")
 
 
-def with_season(df: DataFrame) -> DataFrame:
-    """Inner lookup of ``season_name`` in the four-row dimension."""
-    return df.join(F.broadcast(seasons(df.sparkSession)), "season_name")
-
-
 def with_every_season(df: DataFrame, strict: bool = True) -> DataFrame:
     """Lookup of ``season_name`` that keeps all rows; an unknown name is an error, or has null columns when lenient."""
     out = df.join(F.broadcast(seasons(df.sparkSession)), "season_name", "left")
     if strict:
-        problem = F.concat(F.lit("Season not recognized: "), F.coalesce("season_name", F.lit("null")))
+        problem = F.concat(F.lit("unknown season name: "), F.coalesce("season_name", F.lit("null")))
         out = out.withColumn(
             "season_code", F.when(F.col("season_code").isNull(), F.raise_error(problem)).otherwise(F.col("season_code"))
         )
@@ -85,7 +80,7 @@ def with_season_code(df: DataFrame, strict: bool = True) -> DataFrame:
     """Lookup of ``season_code``; an unknown code is an error, or null when lenient."""
     out = df.join(F.broadcast(seasons(df.sparkSession)), "season_code", "left")
     if strict:
-        problem = F.concat(F.lit("Season code not recognized: "), F.coalesce("season_code", F.lit("null")))
+        problem = F.concat(F.lit("unknown season code: "), F.coalesce("season_code", F.lit("null")))
         out = out.withColumn(
             "season_name", F.when(F.col("season_name").isNull(), F.raise_error(problem)).otherwise(F.col("season_name"))
         )

@@ -16,7 +16,6 @@ from geomosaic.session import staged
 
 # Base date of the attribute order, and the request limits.
 ORDER_BASE = "2050-01-01 00:00:00"
-MAX_RECORDS = 2000
 MAX_DOWNLOADS = 50
 MAX_IMAGE_ROWS = 5000
 MAX_IMAGE_COLS = 5000

@@ -10,6 +10,7 @@ from geomosaic.plans import (  # noqa: F401
     rastering,
     refreshing,
     scanning,
+    serving,
     sinking,
     streams,
     timing,

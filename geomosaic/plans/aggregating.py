@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from geomosaic.operators import aggregates
+from geomosaic.operators import aggregates, pixels, shapes
 from geomosaic.plans import views
 from geomosaic.plans.registry import query
 
@@ -54,6 +54,40 @@ def agg_boundary_cells(spark, sf_dir):
     return aggregates.covered_cells(views.scenes(spark, sf_dir), views.SCENE_CELL)
 
 
+@query(
+    "agg_boundary_outline",
+    """with touched as (select distinct dataset, cell_x,
+           unnest(generate_series(cast(floor(y_min/57600) as bigint), cast(ceil(y_max/57600) as bigint)-1)) as cell_y
+         from (select dataset, y_min, y_max,
+           unnest(generate_series(cast(floor(x_min/57600) as bigint), cast(ceil(x_max/57600) as bigint)-1)) as cell_x
+           from scenes where item_id%4 = 0)),
+       c as (select * from touched where (cell_x*7 + cell_y*13)%5 <> 0)
+       select c.dataset, cast(4*count(*) - 2*count(r.cell_x) - 2*count(u.cell_x) as bigint) as n_edges,
+         count(*)*57600.0::double*57600 as area, true as closed
+       from c left join c r on r.dataset = c.dataset and r.cell_x = c.cell_x+1 and r.cell_y = c.cell_y
+         left join c u on u.dataset = c.dataset and u.cell_x = c.cell_x and u.cell_y = c.cell_y+1 group by c.dataset""",
+)
+def agg_boundary_outline(spark, sf_dir):
+    """Length and area of the outline of covered cells, holes taken off; some cells are left out, so that there are holes."""
+    cells = aggregates.covered_cells(views.scenes(spark, sf_dir).where("item_id%4 = 0"), views.SCENE_CELL)
+    rings = shapes.outline(cells.where("(cell_x*7 + cell_y*13)%5 <> 0"))
+    # each place of a ring is there once, from 0 on
+    whole = (F.min("place") == 0) & (F.max("place") == F.count("*") - 1) & (F.sum("place") * 2 == F.max("place") * F.count("*"))
+    closed = rings.groupBy("dataset", "ring").agg(whole.alias("closed"))
+    areas = shapes.ring_areas(rings, views.SCENE_CELL).join(closed, ["dataset", "ring"])
+    return areas.groupBy("dataset").agg(
+        F.sum("n_edges").alias("n_edges"), F.sum("area").alias("area"), F.every("closed").alias("closed")
+    )
+
+
+@query("agg_footprint_corners")
+def agg_footprint_corners(spark, sf_dir):
+    """Footprints of at most twelve corners; SQL has no hull, a test holds it against a plain one."""
+    found = shapes.footprint_corners(views.tiles(spark, sf_dir), ["vec_id"])
+    corner = F.transform("corners", lambda c: F.concat_ws(" ", c.x, c.y))
+    return found.select("vec_id", "n_valid", F.array_join(corner, ",").alias("corners"), "area")
+
+
 @query(
     "agg_footprint",
     """select t.vec_id, count(v) as n_valid,
@@ -106,6 +140,24 @@ def agg_cell_size_ranges(spark, sf_dir):
     )
 
 
+@query(
+    "agg_cell_size_groups",
+    """with s as (select 'OPERA_'||pol as dataset, round((mx_max-mx_min)/64, 6) as size from granules join mercator using (event_id)
+         where reject_reason is null and mx_max > mx_min),
+       d as (select dataset, size, count(*) as n from s group by 1, 2),
+       g as (select *, case when lag(size) over w >= size*0.8::double then 0 else 1 end as gap from d
+         window w as (partition by dataset order by size)),
+       k as (select *, cast(sum(gap) over (partition by dataset order by size) as bigint) as size_group from g)
+       select dataset, size_group, cast(sum(n) as bigint) as n_items, min(size) as size_min, max(size) as size_max from k group by 1, 2""",
+)
+def agg_cell_size_groups(spark, sf_dir):
+    """Cell sizes of projected scenes, grouped by the tolerance."""
+    scenes = views.granules(spark, sf_dir)
+    placed = pixels.project_extent(views.native_headers_of(scenes, "pol")).where("reject_reason is null and mx_max > mx_min")
+    sized = placed.select(F.concat(F.lit("OPERA_"), "pol").alias("dataset"), F.round(F.expr("(mx_max-mx_min)/64"), 6).alias("low_ps"))
+    return aggregates.cell_size_groups(sized)
+
+
 @query(
     "agg_coverage_grid",
     """select concat_ws('_',p,l,s) as dataset, p as product_type, l as polarization, s as season_code,

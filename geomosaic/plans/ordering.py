@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from geomosaic.operators import mosaic
+from geomosaic.operators import mosaic, records
 from geomosaic.plans import views
 from geomosaic.plans.registry import query
 
@@ -27,11 +27,31 @@ def ord_catalog_date(spark, sf_dir):
        order by item_id limit 2000""",
 )
 def lim_records(spark, sf_dir):
-    wanted = views.scenes(spark, sf_dir).where(
-        "start_date between timestamp_ntz'2024-01-05' and timestamp_ntz'2024-01-25' "
-        "and x_min < 1500000 and x_max > 200000 and y_min < 1900000 and y_max > 100000"
+    return record_page(spark, sf_dir)
+
+
+def record_page(spark, sf_dir, after=None):
+    return records.records(
+        views.scenes(spark, sf_dir),
+        ["item_id"],
+        fields=["item_id", "name", "start_date", "tag"],
+        where="x_min < 1500000",
+        box=(200000, 100000, 1e12, 1900000),
+        time=("2024-01-05 00:00:00", "2024-01-25 00:00:00"),
+        after=after,
     )
-    return wanted.select("item_id", "name", "start_date", "tag").orderBy("item_id").limit(mosaic.MAX_RECORDS)
+
+
+@query(
+    "lim_records_next",
+    """select item_id, name, start_date, tag from scenes
+       where start_date between timestamp '2024-01-05' and timestamp '2024-01-25'
+         and x_min < 1500000 and x_max > 200000 and y_min < 1900000 and y_max > 100000
+       order by item_id limit 2000 offset 2000""",
+)
+def lim_records_next(spark, sf_dir):
+    """The second page, by the key of the last record of the first."""
+    return record_page(spark, sf_dir, after=records.last_key(record_page(spark, sf_dir), ["item_id"]))
 
 
 @query(

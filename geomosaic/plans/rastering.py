@@ -9,7 +9,7 @@ from geomosaic.operators import aggregates, catalog, overviews, pixels
 from geomosaic.operators.spatial import Box, join_boxes
 from geomosaic.plans import mosaicking, views
 from geomosaic.plans.registry import query
-from geomosaic.session import work_path
+from geomosaic.session import staged, work_path
 
 
 def blocks(spark, sf_dir, value=lambda v: v):
@@ -81,7 +81,8 @@ def px_rtc_scales(spark, sf_dir):
          least(max(v), avg(v)+2*stddev_pop(v)) as hi from view_pixels group by view_id) s using (view_id)""",
 )
 def px_stretch_sd(spark, sf_dir):
-    shown = pixels.stretch_deviation(mosaicking.view_cells(spark, sf_dir), ["view_id"])
+    # the mosaic of the views is read for their statistics and for their pixels
+    shown = pixels.stretch_deviation(staged(mosaicking.view_cells(spark, sf_dir), "view-cells"), ["view_id"])
     return shown.select("view_id", "gx", "gy", F.round("stretched", 6).alias("stretched"))
 
 

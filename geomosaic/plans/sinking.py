@@ -88,16 +88,19 @@ def sink_item_text(spark, sf_dir):
 
 @query(
     "sink_items",
-    """select concat('FIXTURE_', dataset, '_240131_0000') as run_name, name, category, start_date, x_min, max_ps
+    """select 'FIXTURE_240131_0000' as run_name, timestamp '2024-01-31 00:00:00' as run_stamp, dataset, name, category, start_date,
+         x_min, max_ps, (select count(*) from items) as n_items
        from items""",
 )
 def sink_items(spark, sf_dir):
-    run = writers.write_items(views.items(spark, sf_dir), work_path(spark, "sink_items"))
-    return spark.read.parquet(run).select(
-        names.run_name(F.lit("FIXTURE"), F.col("dataset"), views.as_of()).alias("run_name"),
-        "name",
-        "category",
-        "start_date",
-        "x_min",
-        "max_ps",
+    """The last complete run of three, of which the newest broke off before its manifest."""
+    base, items = work_path(spark, "sink_items"), views.items(spark, sf_dir)
+    earlier = F.expr("timestamp_ntz'2024-01-30 00:00:00'")
+    writers.write_run(items.where("item_id%2 = 0"), base, "FIXTURE_240130_0000", earlier)
+    for _ in range(2):  # the second time finds it complete
+        writers.write_run(items, base, "FIXTURE_240131_0000", views.as_of())
+    writers.write_items(items.limit(1), f"{base}/runs/FIXTURE_240201_0000")
+    counts = writers.complete_runs(spark, base).select("run_name", "n_items")
+    return writers.read_last_run(spark, base).join(F.broadcast(counts), "run_name").select(
+        "run_name", "run_stamp", "dataset", "name", "category", "start_date", "x_min", "max_ps", "n_items"
     )

@@ -21,7 +21,7 @@ def st_ingest(spark, sf_dir):
     for run in range(2):
         listed = scene_stream(spark, sf_dir).withColumn("copy", copies)
         paths = listed.select(F.expr(f"concat('/vsis3/{views.BUCKET}/',opera_name,'.tif')").alias("path"))
-        ingest.ingest_catalog(paths, held, work_path(spark, f"st_ingest_checkpoint_{run}"))
+        ingest.ingest_catalog(paths, held, work_path(spark, f"st_ingest_checkpoint_{run}"), buckets=8)
     return spark.read.parquet(held).groupBy("path").agg(F.count("*").alias("n"))
 
 
@@ -40,20 +40,13 @@ def st_extent(spark, sf_dir):
 @query(
     "st_sliding_counts",
     """select 'OPERA_'||pol as dataset, d as window_start, d + interval 21 days as window_end, count(*) as n_items
-       from (select unnest(generate_series(timestamp '2023-12-01', timestamp '2024-02-15', interval 1 day)) as d)
-       join granules g on g.start_date >= d and g.start_date < d + interval 21 days
-       where d + interval 21 days <= (select max(start_date) - interval 1 day from granules) group by 1, 2, 3""",
+       from (select unnest(generate_series((select min(start_date)::date - 20 from granules), (select max(start_date)::date from granules),
+         interval 1 day)) as d)
+       join granules g on g.start_date >= d and g.start_date < d + interval 21 days group by 1, 2, 3""",
 )
 def st_sliding_counts(spark, sf_dir):
     sink = work_path(spark, "st_sliding_counts")
-    named = scene_stream(spark, sf_dir).select(
-        F.concat(F.lit("OPERA_"), "pol").alias("dataset"), F.col("start_date").cast("timestamp").alias("start_date")
-    )
-    ingest.sliding_counts(named, sink, work_path(spark, "st_sliding_checkpoint"))
-    closed = spark.read.parquet(sink)
-    return closed.select(
-        "dataset",
-        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-        F.col("window_end").cast("timestamp_ntz").alias("window_end"),
-        "n_items",
-    )
+    named = scene_stream(spark, sf_dir).select(F.concat(F.lit("OPERA_"), "pol").alias("dataset"), "start_date")
+    ingest.daily_deltas(named, sink, work_path(spark, "st_sliding_checkpoint"))
+    windows = ingest.sliding_counts(spark, sink)
+    return windows.select("dataset", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("window_start", "window_end")], "n_items")

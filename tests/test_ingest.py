@@ -163,7 +163,7 @@ def test_coherence_rows_without_a_known_season_are_rejected(spark):
         "N01E046_summer_vv_COH06": None, "N01E046_summer_vv": "name", "N01E046_monsoon_vv_COH06": "season", None: "name",
     }
     assert found["N01E046_summer_vv_COH06"].season_code == "JJA"
-    with pytest.raises(Exception, match="Season not recognized: monsoon"):
+    with pytest.raises(Exception, match="unknown season name: monsoon"):
         parsed = core.where("name like '%monsoon%'").withColumns(names.coh_fields(F.col("name")))
         catalog.with_every_season(parsed).select("season_code").collect()
 
