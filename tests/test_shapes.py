@@ -5,8 +5,12 @@ import random
 
 from pyspark.sql import functions as F
 
+from geomosaic import plans
 from geomosaic.functions import scales
 from geomosaic.operators import aggregates, shapes
+from geomosaic.plans import views
+
+SF_DIR = "/root/testdata/sf0.001"
 
 BLOCKS = "id int, values array<double>, n_rows int, n_cols int, cell double, x_min double, y_max double"
 
@@ -47,6 +51,24 @@ def test_footprints_equal_plain_hulls(spark):
         assert r.area == (area(ring) if ring else None)
 
 
+def test_footprint_query_equals_plain_hulls(spark):
+    found = {r.vec_id: r for r in plans.QUERIES["agg_footprint_corners"](spark, SF_DIR).collect()}
+    tiles = views.tiles(spark, SF_DIR).select("vec_id", "values", "x_min", "y_max").collect()
+    assert len(found) == len(tiles)
+    for t in tiles:
+        valid = [i for i, v in enumerate(t["values"]) if scales.VALID_LOW <= v <= scales.VALID_HIGH]
+        rows = {}
+        for i in valid:
+            rows.setdefault(i // 8, []).append(i % 8)
+        ring = plain_hull([(x + a, -r - b) for r, cols in rows.items() for x in (min(cols), max(cols)) for a in (0, 1) for b in (0, 1)])
+        while len(ring) > 12:
+            losses = [area(ring) - area(ring[:k] + ring[k + 1 :]) for k in range(len(ring))]
+            del ring[losses.index(min(losses))]
+        places = [(t.x_min + x * 450, t.y_max + y * 450) for x, y in ring]
+        assert found[t.vec_id].corners == ",".join(f"{x} {y}" for x, y in places)
+        assert (found[t.vec_id].n_valid, found[t.vec_id].area) == (len(valid), area(ring) * 450 * 450)
+
+
 def test_footprints_lose_the_corners_that_cost_least(spark):
     size = 41
     disc = [1.0 if (x - 20) ** 2 + (y - 20) ** 2 <= 400 else None for y in range(size) for x in range(size)]
