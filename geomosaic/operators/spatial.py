@@ -103,18 +103,20 @@ def _levels(left: DataFrame, right: DataFrame, on: list[str]) -> list:
 
 
 def _with_partners(df: DataFrame, partners: list, on: list[str]) -> DataFrame:
-    """``df`` with the levels of the rows it can meet, as sorted arrays; no row stays whose key has no partner."""
+    """``df`` with the levels of the rows it can meet, as sorted arrays; null for a key without partners."""
 
     def arrays(rows: list) -> tuple[list[int], list[int]]:
         return sorted({r["own"] for r in rows}), sorted({r["time"] for r in rows})
 
-    if not on:
-        own, time = (F.array(*map(F.lit, levels)).cast("array<int>") for levels in arrays(partners))
-        return df.withColumns({"_partners": own, "_partner_times": time})
-    keys = sorted({r[on[0]] for r in partners})
-    rows = [(key, *arrays([r for r in partners if r[on[0]] == key])) for key in keys]
-    known = df.sparkSession.createDataFrame(rows, f"{on[0]} int, _partners array<int>, _partner_times array<int>")
-    return df.join(F.broadcast(known), on)
+    def of_key(place: int) -> Column:
+        if not on:
+            return F.array(*map(F.lit, arrays(partners)[place])).cast("array<int>")
+        keys = sorted({r[on[0]] for r in partners})
+        lists = [(F.lit(k), F.array(*map(F.lit, arrays([r for r in partners if r[on[0]] == k])[place]))) for k in keys]
+        known = F.create_map(*[c for pair in lists for c in pair]) if lists else F.create_map().cast("map<int,array<int>>")
+        return F.element_at(known, F.col(on[0]))
+
+    return df.withColumns({"_partners": of_key(0), "_partner_times": of_key(1)})
 
 
 def _meeting_levels(own: Column, partners: Column) -> Column:
@@ -220,11 +222,10 @@ def join_boxes(
     # a row is in a cell once, so fewer rows than this have no hot cell
     l_rows, r_rows = (sum(row["count"] for row in side) for side in (l_levels, r_levels))
     if l_rows * r_rows > meetings:
-        hot = staged(hot_cells(l_cells, r_cells, keys, meetings), "hot-cells")
-        if not hot.isEmpty():
-            l_cells = _slice(l_cells, hot, keys, "_nl", "_nr", "_sl", "_sr")
-            r_cells = _slice(r_cells, hot, keys, "_nr", "_nl", "_sr", "_sl")
-            cut = ["_sl", "_sr"]
+        hot = hot_cells(l_cells, r_cells, keys, meetings)
+        l_cells = _slice(l_cells, hot, keys, "_nl", "_nr", "_sl", "_sr")
+        r_cells = _slice(r_cells, hot, keys, "_nr", "_nl", "_sr", "_sl")
+        cut = ["_sl", "_sr"]
     # cheap comparisons first: this is looked at once per candidate pair
     return (
         l_cells.drop("_row").join(r_cells.drop("_row"), [*keys, *cut])
