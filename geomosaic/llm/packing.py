@@ -15,8 +15,8 @@ from __future__ import annotations
 
 import os
 import re
-from array import array
 from collections import deque
+from itertools import chain, compress, repeat
 
 import numpy as np
 import public_tokenizers
@@ -25,6 +25,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.normalizers import Sequence
+from tokenizers.pre_tokenizers import WhitespaceSplit
 
 from geomosaic.llm.bpe_words import BYTE_SIGNS, covered
 from geomosaic.llm.common import slices
@@ -37,88 +39,125 @@ BLOCK_TOKENS = 1 << 19
 SENTENCE_CUT, INNER_CUT = 24, 96
 #: Tokens of a sentence after which it may be cut inside.
 STRIDE = 256
-#: Distinct words that a task remembers before it starts anew.
+#: Distinct words, or pieces of words, that a task remembers before it starts anew.
 MOST_WORDS = 400_000
 
+#: Last letters of a word that ends a sentence.
+_STOPS = (b".", b"!", b"?")
 #: Characters that normalizing only lower-cases, one by one: printable ASCII and composed Latin letters.
 _PLAIN = re.compile("[!-~\u00c0-\u012f\u0131-\u017e]+")
+_PLAIN_LINE = re.compile("[ -~\u00c0-\u012f\u0131-\u017e]+")
 _L = covered(r"\p{L}", 0x180)
-#: How the tokenizer cuts a plain word in lower case (fixed rule).
-_PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[0-9]|[^{_L}0-9]+")
+#: How the tokenizer cuts plain words in lower case (fixed rule), and the spaces between them.
+_PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[0-9]|[^{_L}0-9 ]+| ")
 
 
-class _Pieces(dict):
-    """Ids of pieces of plain words, merged by the tokenizer's model and remembered."""
+#: The tokenizer's sign of each byte; a space stays one.
+_SIGNS = {b: BYTE_SIGNS[b] for b in range(256)} | {32: " "}
+#: How it marks the last token of a piece.
+_LAST = "</w>"
 
-    def __init__(self, tokenizer: Tokenizer):
-        super().__init__()
-        self.model = tokenizer.model
 
-    def __missing__(self, piece: str) -> bytes:
-        signs = piece if piece.isascii() else "".join(BYTE_SIGNS[b] for b in piece.encode())
-        ids = self[piece] = array("I", [t.id for t in self.model.tokenize(signs)]).tobytes()
-        return ids
+class _Table:
+    """The ids of each key met so far, one after another in a flat table."""
 
+    def __init__(self):
+        self.places: dict = {}
+        self.ids, self.ends = np.empty(0, np.uint32), np.zeros(1, np.int64)
 
-class _Places(dict):
-    """The place of each word met so far in flat tables of ids."""
+    def add(self, keys: list, ids: np.ndarray, sizes: np.ndarray) -> None:
+        first = len(self.ends) - 1
+        self.places.update(zip(keys, range(first, first + len(keys)), strict=True))
+        self.ids = np.concatenate([self.ids, ids])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
 
-    def __init__(self, tokenizer: Tokenizer):
-        super().__init__()
-        self.tokenizer, self.pieces = tokenizer, _Pieces(tokenizer)
-        self.ids, self.ends, self.stops = array("I"), array("q", [0]), bytearray()
+    def find(self, keys: list) -> np.ndarray:
+        """The place of each key, -1 of those not met."""
+        return np.fromiter(map(self.places.get, keys, repeat(-1)), np.int64, len(keys))
 
-    def __missing__(self, word: bytes) -> int:
-        text = word.decode()
-        if _PLAIN.fullmatch(text) and "<|" not in text:
-            text = text.lower()
-            for piece in (text,) if text.isascii() and text.isalpha() else _PIECES.findall(text):
-                self.ids.frombytes(self.pieces[piece])
-        else:
-            self.ids.extend(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        self.ends.append(len(self.ids))
-        self.stops.append(word[-1] in b".!?")
-        place = self[word] = len(self.stops) - 1
-        return place
+    def spread(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the keys at these places, laid end to end, and how many each has."""
+        first = self.ends[places]
+        sizes = self.ends[places + 1] - first
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.ids[np.arange(total) + np.repeat(first - ends + sizes, sizes)], sizes
 
 
 class Encoder:
     """Ids of a text and the places where its sentences end.
 
     This tokenizer drops white space and merges nothing across it, so a word is encoded once and then looked up.
-    Words of plain letters and signs are cut by the same rule as the tokenizer's and merged by its model;
-    the tokenizer itself takes all others.
+    The new words of a slice that are plain letters and signs are cut all at once, by the same rule as the tokenizer's;
+    their new pieces are merged by its model, again all at once. The tokenizer itself takes all other words.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.places = _Places(self.tokenizer)
+        self.tokenizer, self.merger = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        for one in (self.tokenizer, self.merger):
+            one.no_truncation()
+            one.no_padding()
+        self.merger.normalizer, self.merger.pre_tokenizer = Sequence([]), WhitespaceSplit()
+        signs = self.merger.get_vocab()
+        self.last = np.zeros(max(signs.values()) + 1, bool)
+        self.last[[i for sign, i in signs.items() if sign.endswith(_LAST)]] = True
+        self.words, self.pieces, self.stops = _Table(), _Table(), b""
 
     def __call__(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each text, its ids with the end id, and the token counts at which a sentence ends, the last included."""
-        if len(self.places) > MOST_WORDS:
-            self.places = _Places(self.tokenizer)
-        found = []
-        for text in texts:
-            words = text.split()
-            found.append(np.fromiter(map(self.places.__getitem__, words), np.int64, len(words)))
-        known = self.places
-        tables = np.array(known.ids, np.uint32), np.array(known.ends, np.int64), np.array(known.stops, bool)
-        return [self._one(places, *tables) for places in found]
-
-    @staticmethod
-    def _one(places: np.ndarray, ids: np.ndarray, bounds: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        first = bounds[places]
-        sizes = bounds[places + 1] - first
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        out = np.full(total + 1, END_ID, np.uint32)
-        out[:-1] = ids[np.arange(total) + np.repeat(first - ends + sizes, sizes)]
-        at = np.unique(ends[stops[places]])
-        return out, np.append(at[(at > 0) & (at < total)], total + 1)
+        if len(self.words.places) > MOST_WORDS:
+            self.words, self.stops = _Table(), b""
+        if len(self.pieces.places) > MOST_WORDS:
+            self.pieces = _Table()
+        split = [text.split() for text in texts]
+        found = [self.words.find(words) for words in split]
+        new = {words[k]: None for words, places in zip(split, found, strict=True) for k in np.flatnonzero(places < 0)}
+        if new:
+            self._learn(list(new))
+            for words, places in zip(split, found, strict=True):
+                missing = np.flatnonzero(places < 0)
+                places[missing] = self.words.find([words[k] for k in missing])
+        stops = np.frombuffer(self.stops, bool)
+        return [self._one(places, stops[places]) for places in found]
+
+    def _one(self, places: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ids, sizes = self.words.spread(places)
+        total = len(ids)
+        at = np.unique(np.cumsum(sizes)[stops])
+        return np.append(ids, np.uint32(END_ID)), np.append(at[(at > 0) & (at < total)], total + 1)
+
+    def _learn(self, words: list[bytes]) -> None:
+        text, other = b" ".join(words).decode(), []
+        if not _PLAIN_LINE.fullmatch(text) or "<|" in text:
+            parts = text.split(" ")
+            plain = [_PLAIN.fullmatch(part) is not None and "<|" not in part for part in parts]
+            text = " ".join(compress(parts, plain))
+            other = [w for w, is_plain in zip(words, plain, strict=True) if not is_plain]
+            words = list(compress(words, plain))
+        if words:
+            self.words.add(words, *self._merged(_PIECES.findall(text.lower())))
+        if other:
+            encoded = self.tokenizer.encode_batch_fast([w.decode() for w in other], add_special_tokens=False)
+            ids = [e.ids for e in encoded]
+            flat = np.fromiter(chain.from_iterable(ids), np.uint32)
+            self.words.add(other, flat, np.fromiter(map(len, ids), np.int64, len(ids)))
+        self.stops += bytes(w.endswith(_STOPS) for w in chain(words, other))
+
+    def _merged(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words given by their pieces, with a space between words, and how many each word has."""
+        known = self.pieces.places
+        known.setdefault(" ", -1)
+        new = [p for p in dict.fromkeys(pieces) if p not in known]
+        if new:
+            signs = " ".join(new).encode().decode("latin-1").translate(_SIGNS)
+            ids = np.array(self.merger.encode_batch_fast([signs], add_special_tokens=False)[0].ids, np.uint32)
+            self.pieces.add(new, ids, np.diff(np.flatnonzero(self.last[ids]), prepend=-1))
+        places = self.pieces.find(pieces)
+        between = places < 0
+        ids, sizes = self.pieces.spread(places[~between])
+        word = np.cumsum(between)[~between]
+        return ids, np.bincount(word, sizes, minlength=between.sum() + 1).astype(np.int64)
 
 
 def with_strides(stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
