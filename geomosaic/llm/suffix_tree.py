@@ -11,8 +11,9 @@ A rare word is a draw from its class: by its discounted count, and what the disc
 words that training has not seen, thought as many as those seen once. Nothing of a text's own
 words beyond the training rows enters its score.
 
-All counts are over all training documents, added up in the tasks and then by a shuffle, and the divergence
-test is made where the counts are. Least counts are absolute: what is learnt of a phrase does not depend on
+All counts are over all training documents, whose texts are cut to symbols once; they are added up in the tasks and
+then by a shuffle, and the divergence test is made where the counts are. Entries seen once are not stored: a context's
+total is its count as an entry of the depth before. Least counts are absolute: what is learnt of a phrase does not depend on
 how much else there is. Words of ``MIN_COUNT``, and the states that pass the test with their entries, are sent to every
 task, so memory grows with them. The counts of rare words are not sent; rare words meet them by a join.
 """
@@ -42,6 +43,8 @@ END = b"\n"
 _MAP_BITS = 1 << 26
 START, OTHER = 0, 1
 _CACHED = 200_000
+#: Tokens that a task counts at a time.
+_RUN_TOKENS = 2_000_000
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -82,6 +85,15 @@ class Vocabulary:
     head: np.ndarray  # hashes, sorted
     head_counts: np.ndarray
     size: float  # tokens, distinct tokens and one
+    texts: int  # training texts
+
+    @property
+    def followed(self) -> np.ndarray:
+        """How often each symbol stands before another token: all do but the ends; the start does in each text."""
+        counts = self.symbol_counts.astype(np.int64)
+        counts[self.describe([END])["symbol"]] -= self.texts
+        counts[START] = self.texts
+        return counts
 
     def describe(self, words: list[bytes]) -> dict[str, np.ndarray]:
         """For each word its hash, symbol, base score, and what its class says of it; nan where the count must be joined."""
@@ -185,7 +197,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 def vocabulary(words: DataFrame) -> Vocabulary:
     """From (word, ending, n) rows. Words of the least count and at most 65,536 endings come to the driver."""
-    total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    ends = F.when(F.col("word") == int(hashes_of([END])[0]), F.col("n"))
+    total, distinct, texts = words.agg(*(F.coalesce(c, F.lit(0)) for c in (F.sum("n"), F.count("*"), F.sum(ends)))).first()
     head_words, head_counts = _arrays(words.where(F.col("n") >= MIN_COUNT).select("word", F.col("n").cast("double")))
     rare = words.where(F.col("n") < MIN_COUNT)
     once, twice = F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice")
@@ -201,80 +214,127 @@ def vocabulary(words: DataFrame) -> Vocabulary:
     unseen = np.maximum(kept_back, 0.1) / np.maximum(singles, 1)
     numbers = {bytes(e): 2 + len(head_words) + k for k, e in enumerate(named["ending"])}
     return Vocabulary(
-        head_words, numbers, counts, unseen.astype(float), discount, head_words, head_counts, float(total + distinct + 1)
+        head_words, numbers, counts, unseen.astype(float), discount, head_words, head_counts, float(total + distinct + 1), texts
     )
 
 
-def _followers(docs: DataFrame, words: Vocabulary, tree: Tree, depth: int, frequent: np.ndarray | None) -> DataFrame:
-    """(key, context, n, shorter): contexts of a depth with the next symbol, over all texts, and the probability of that
-    symbol by the shorter states. ``frequent`` maps contexts of the depth; those it lacks are not of the least count.
-    """
+def symbols_of(docs: DataFrame, words: Vocabulary) -> DataFrame:
+    """(symbols) of each row of ``docs``: the symbols of its tokens, as 32-bit integers."""
 
     def run(batches):
-        described, held = Described(words), []
-
-        def counted():
-            key, context, shorter = map(np.concatenate, zip(*held, strict=True))
-            keys, first, n = np.unique(key, return_index=True, return_counts=True)
-            columns = [keys, context[first], n, shorter[first]]
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "context", "n", "shorter"])
-
+        described = Described(words)
         for _, texts in slices(batches, "text"):
             found = [tokens(t) for t in texts]
             place = described.places([w for f in found for w in f])
-            symbol = described.columns["symbol"][place]
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            before = histories(symbol, sizes, depth)
-            keys = context_keys(before)
-            at = np.arange(len(symbol))
-            if frequent is not None:
-                # a context with its last token is an entry of the depth before, of the token before
-                entry = mixed(keys[depth - 2], symbol)
-                starts = np.cumsum(sizes) - sizes
-                often = np.append(False, is_mapped(frequent, entry)[:-1])
-                often[starts] = False
-                at = np.flatnonzero(often)
-            if len(at):
-                shorter = tree.probability(symbol[at], [b[at] for b in before[: depth - 1]])
-                held.append((mixed(keys[-1][at], symbol[at]), keys[-1][at], shorter))
-            if sum(len(h[0]) for h in held) > 2_000_000:
-                yield counted()
-                held.clear()
-        if held:
-            yield counted()
+            symbol = described.columns["symbol"][place].astype(np.int32)
+            ends = np.cumsum([0, *map(len, found)], dtype=np.int32) * np.int32(4)
+            made = pa.Array.from_buffers(pa.binary(), len(found), [None, pa.py_buffer(ends), pa.py_buffer(symbol)])
+            yield pa.RecordBatch.from_arrays([made], ["symbols"])
+
+    return docs.select("text").mapInArrow(run, "symbols binary")
+
+
+def _pairs(symbols: DataFrame, words: Vocabulary, tree: Tree) -> DataFrame:
+    """(key, context, total, n, shorter) of each symbol with the one before it, seen ``MIN_ENTRY`` times.
+
+    Only the two symbols and their count are shuffled; what follows from them is added to the entries that stay.
+    """
+
+    def count(batches):
+        for symbol, sizes in _runs(batches):
+            (before,) = histories(symbol, sizes, 1)
+            pair, n = np.unique(before.astype(np.int64) << 32 | symbol, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(n)], ["pair", "n"])
+
+    def describe(batches):
+        followed = words.followed
+        for batch in batches:
+            pair = batch.column(0).to_numpy()
+            context, symbol = pair >> 32, pair & 0xFFFFFFFF
+            columns = [mixed(context, symbol), context, followed[context], batch.column(1), tree.root[symbol]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "context", "total", "n", "shorter"])
+
+    rows = symbols.mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    often = rows.where(F.col("n") >= MIN_ENTRY)
+    return often.mapInArrow(describe, "key long, context long, total long, n long, shorter double")
+
+
+def _entries(symbols: DataFrame, tree: Tree, depth: int, before: DataFrame) -> DataFrame:
+    """(key, context, total, n, shorter): contexts of a depth from 2 on with the next symbol, seen ``MIN_ENTRY`` times.
+
+    ``before`` holds the entries of the depth before. A context of the least count is one of them, which gives its
+    total, and without its oldest symbol an entry must be one of them too. Tasks look at maps of both, which miss none.
+    """
+    contexts = before.where(F.col("n") >= MIN_COUNT)
+    frequent, repeated = key_map(contexts), key_map(before)
+
+    def run(batches):
+        for symbol, sizes in _runs(batches):
+            back = histories(symbol, sizes, depth)
+            # the context with its last token is an entry of the depth before, of the token before
+            entry = mixed(context_keys(back[: depth - 1])[-1], symbol)
+            of_context = np.append(np.int64(0), entry[:-1])
+            seen = is_mapped(repeated, entry) & np.append(False, is_mapped(frequent, entry)[:-1])
+            seen[np.cumsum(sizes) - sizes] = False
+            at = np.flatnonzero(seen)
+            back, symbol = [b[at] for b in back], symbol[at]
+            context = context_keys(back)[-1]
+            key, first, n = np.unique(mixed(context, symbol), return_index=True, return_counts=True)
+            shorter = tree.probability(symbol[first], [b[first] for b in back[: depth - 1]])
+            columns = [key, context[first], of_context[at][first], n, shorter]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "context", "whole", "n", "shorter"])
+
+    rows = symbols.mapInArrow(run, "key long, context long, whole long, n long, shorter double").groupBy("key").agg(
+        F.sum("n").alias("n"), *[F.max(c).alias(c) for c in ("context", "whole", "shorter")]
+    )
+    totals = contexts.select(F.col("key").alias("whole"), F.col("n").alias("total"))
+    return rows.where(F.col("n") >= MIN_ENTRY).join(totals, "whole").select("key", "context", "total", "n", "shorter")
+
+
+def _runs(batches):
+    """The texts of (symbols) batches, some ``_RUN_TOKENS`` at a time: their symbols end to end, and how many each has."""
+    held, size = [], 0
+    for _, texts in slices(batches, "symbols"):
+        held += texts
+        size += sum(map(len, texts)) // 4
+        if size >= _RUN_TOKENS:
+            yield _laid(held)
+            held, size = [], 0
+    if held:
+        yield _laid(held)
+
 
-    rows = docs.select("text").mapInArrow(run, "key long, context long, n long, shorter double").groupBy("key")
-    return rows.agg(F.min("context").alias("context"), F.sum("n").alias("n"), F.max("shorter").alias("shorter"))
+def _laid(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(b"".join(texts), np.int32).astype(np.int64), np.fromiter(map(len, texts), np.int64, len(texts)) // 4
 
 
 def grow(docs: DataFrame, words: Vocabulary) -> Tree:
     """The tree of the texts of ``docs``, a depth at a time until no context of a depth is a state."""
-    total = words.symbol_counts.sum()
-    tree = Tree((words.symbol_counts + 0.5) / (total + 0.5 * len(words.symbol_counts)))
-    frequent, n = None, F.col("n")
+    size = words.symbol_counts.sum()
+    tree = Tree((words.symbol_counts + 0.5) / (size + 0.5 * len(words.symbol_counts)))
+    symbols, rows, n = staged(symbols_of(docs, words), "symbols"), None, F.col("n")
     for depth in itertools.count(1):
-        rows = staged(_followers(docs, words, tree, depth, frequent), "followers")
-        entry = n >= MIN_ENTRY
+        found = _pairs(symbols, words, tree) if depth == 1 else _entries(symbols, tree, depth, rows)
+        rows = staged(found, "entries")
         contexts = rows.groupBy("context").agg(
-            F.sum("n").alias("total"),
-            F.coalesce(F.sum(F.when(entry, n)), F.lit(0)).alias("held"),
-            F.count_if(entry).alias("parts"),
-            F.sum(F.when(entry, n * F.log(n / F.col("shorter")))).alias("cross"),
+            F.max("total").alias("total"),
+            F.sum("n").alias("held"),
+            F.count("*").alias("parts"),
+            F.sum(n * F.log(n / F.col("shorter"))).alias("cross"),
         )
         # the gain: of each entry, n ln(n / total / shorter)
         gain = F.col("cross") - F.col("held") * F.log(F.col("total"))
-        passing = contexts.where((F.col("total") >= MIN_COUNT) & (gain > F.col("parts") * float(0.5 * np.log(max(total, 2)))))
+        passing = contexts.where((F.col("total") >= MIN_COUNT) & (gain > F.col("parts") * float(0.5 * np.log(max(size, 2)))))
         states = staged(passing.select("context", "total", "held"), "states")
         context, whole, held = _arrays(states)
         if not len(context):
             return tree
-        kept = rows.where(entry).join(states, "context")
+        kept = rows.join(states.select("context"), "context")
         kept = kept.select("key", (n / (F.col("total") + PRIOR)).alias("share"))
         tree.contexts.append(context)
         tree.weights.append((whole - held + PRIOR) / (whole + PRIOR))
         for part, column in zip((tree.entries, tree.shares), _arrays(kept), strict=True):
             part.append(column)
-        frequent = key_map(rows.where(n >= MIN_COUNT))
 
 
 def _arrays(rows: DataFrame) -> list[np.ndarray]:
