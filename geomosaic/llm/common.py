@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +31,19 @@ def crc_bucket(column: str, n: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))), F.lit(n))
 
 
+def discard(table: DataFrame) -> None:
+    """Remove the files of a staged table that nothing reads any more."""
+    for file in table.inputFiles():
+        place = table.sparkSession._jvm.org.apache.hadoop.fs.Path(file)
+        place.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(place, False)
+
+
+def free_shuffles(table: DataFrame) -> None:
+    """Let Spark remove the shuffle files of queries that have ended; it does so once their plans are collected."""
+    gc.collect()
+    table.sparkSession._jvm.System.gc()
+
+
 def texts_of(column: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of each text; null is empty."""
     return [t or b"" for t in column.cast(pa.large_binary()).to_pylist()]

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geomosaic.llm.common import crc_bucket, slices, staged
+from geomosaic.llm.common import crc_bucket, discard, free_shuffles, slices, staged
 
 FOLDS, HELD_OUT = 7, 2
 #: Least count of a symbol or context, and of a context with its next symbol.
@@ -139,7 +139,7 @@ class Tree:
     """Root distribution over symbols; per depth the states and their entries, sorted by key.
 
     The key of a context of one token is its symbol; a longer one's is the hash of the next shorter one's key with its
-    oldest symbol. An entry's key is the hash of its context's key with the next symbol.
+    oldest symbol. An entry's key is that of the context that its symbol makes with the tokens before it.
     """
 
     root: np.ndarray
@@ -151,10 +151,11 @@ class Tree:
     def probability(self, symbol: np.ndarray, before: list[np.ndarray]) -> np.ndarray:
         """Of each symbol after the symbols ``before`` it, the last one first."""
         p = self.root[symbol]
-        for depth, key in enumerate(context_keys(before[: len(self.contexts)])):
+        before = before[: len(self.contexts)]
+        for depth, (key, whole) in enumerate(zip(context_keys(before), context_keys([symbol, *before])[1:], strict=True)):
             spot, known = find(self.contexts[depth], key)
             at = np.flatnonzero(known)
-            entry, seen = find(self.entries[depth], mixed(key[at], symbol[at]))
+            entry, seen = find(self.entries[depth], whole[at])
             own = np.where(seen, self.shares[depth][entry], 0.0) if len(self.entries[depth]) else 0.0
             p[at] = own + self.weights[depth][spot[at]] * p[at]
         return p
@@ -251,7 +252,7 @@ def _pairs(symbols: DataFrame, words: Vocabulary, tree: Tree) -> DataFrame:
         for batch in batches:
             pair = batch.column(0).to_numpy()
             context, symbol = pair >> 32, pair & 0xFFFFFFFF
-            columns = [mixed(context, symbol), context, followed[context], batch.column(1), tree.root[symbol]]
+            columns = [mixed(symbol, context), context, followed[context], batch.column(1), tree.root[symbol]]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "context", "total", "n", "shorter"])
 
     rows = symbols.mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
@@ -271,24 +272,21 @@ def _entries(symbols: DataFrame, tree: Tree, depth: int, before: DataFrame) -> D
     def run(batches):
         for symbol, sizes in _runs(batches):
             back = histories(symbol, sizes, depth)
-            # the context with its last token is an entry of the depth before, of the token before
-            entry = mixed(context_keys(back[: depth - 1])[-1], symbol)
-            of_context = np.append(np.int64(0), entry[:-1])
-            seen = is_mapped(repeated, entry) & np.append(False, is_mapped(frequent, entry)[:-1])
+            # a context is an entry of the depth before, of the token before
+            seen = is_mapped(frequent, context_keys(back)[-1]) & is_mapped(repeated, context_keys([symbol, *back[:-1]])[-1])
             seen[np.cumsum(sizes) - sizes] = False
             at = np.flatnonzero(seen)
             back, symbol = [b[at] for b in back], symbol[at]
-            context = context_keys(back)[-1]
-            key, first, n = np.unique(mixed(context, symbol), return_index=True, return_counts=True)
-            shorter = tree.probability(symbol[first], [b[first] for b in back[: depth - 1]])
-            columns = [key, context[first], of_context[at][first], n, shorter]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "context", "whole", "n", "shorter"])
-
-    rows = symbols.mapInArrow(run, "key long, context long, whole long, n long, shorter double").groupBy("key").agg(
-        F.sum("n").alias("n"), *[F.max(c).alias(c) for c in ("context", "whole", "shorter")]
+            key, first, n = np.unique(context_keys([symbol, *back])[-1], return_index=True, return_counts=True)
+            back, symbol = [b[first] for b in back], symbol[first]
+            columns = [key, context_keys(back)[-1], n, tree.probability(symbol, back[:-1])]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "context", "n", "shorter"])
+
+    rows = symbols.mapInArrow(run, "key long, context long, n long, shorter double").groupBy("key").agg(
+        F.max("context").alias("context"), F.sum("n").alias("n"), F.max("shorter").alias("shorter")
     )
-    totals = contexts.select(F.col("key").alias("whole"), F.col("n").alias("total"))
-    return rows.where(F.col("n") >= MIN_ENTRY).join(totals, "whole").select("key", "context", "total", "n", "shorter")
+    totals = contexts.select(F.col("key").alias("context"), F.col("n").alias("total"))
+    return rows.where(F.col("n") >= MIN_ENTRY).join(totals, "context").select("key", "context", "total", "n", "shorter")
 
 
 def _runs(batches):
@@ -315,7 +313,10 @@ def grow(docs: DataFrame, words: Vocabulary) -> Tree:
     symbols, rows, n = staged(symbols_of(docs, words), "symbols"), None, F.col("n")
     for depth in itertools.count(1):
         found = _pairs(symbols, words, tree) if depth == 1 else _entries(symbols, tree, depth, rows)
-        rows = staged(found, "entries")
+        last, rows = rows, staged(found, "entries")
+        del found
+        if last is not None:
+            discard(last)
         contexts = rows.groupBy("context").agg(
             F.max("total").alias("total"),
             F.sum("n").alias("held"),
@@ -326,8 +327,11 @@ def grow(docs: DataFrame, words: Vocabulary) -> Tree:
         gain = F.col("cross") - F.col("held") * F.log(F.col("total"))
         passing = contexts.where((F.col("total") >= MIN_COUNT) & (gain > F.col("parts") * float(0.5 * np.log(max(size, 2)))))
         states = staged(passing.select("context", "total", "held"), "states")
+        free_shuffles(states)
         context, whole, held = _arrays(states)
         if not len(context):
+            discard(rows)
+            discard(symbols)
             return tree
         kept = rows.join(states.select("context"), "context")
         kept = kept.select("key", (n / (F.col("total") + PRIOR)).alias("share"))
