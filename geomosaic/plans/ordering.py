@@ -60,8 +60,7 @@ def lim_records_next(spark, sf_dir):
        where mosaic_rank <= 50""",
 )
 def lim_downloads(spark, sf_dir):
-    pairs = views.tile_pairs(spark, sf_dir).select("view_id", "name", "start_date")
-    capped = mosaic.cap_items(pairs, mosaic.by_attribute(), mosaic.MAX_DOWNLOADS, ["view_id"])
+    capped = views.capped_tiles(spark, sf_dir, mosaic.MAX_DOWNLOADS)
     url = F.concat(F.lit(views.SITE), "name", F.lit(".tif"))
     return capped.select("view_id", "mosaic_rank", url.alias("download_url"))
 

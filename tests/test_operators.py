@@ -235,6 +235,35 @@ def test_cap_is_planned_before_the_shuffle(spark):
     assert sorted(r.id for r in capped.collect()) == [994, 995, 996, 997, 998, 999]
 
 
+@pytest.mark.parametrize("at_once", [16_000_000, 0])
+def test_cap_of_what_is_met_in_rounds(spark, at_once):
+    """The leading items of each request, as from all pairs; the first round settles most requests."""
+    rng = random.Random(8)
+    items = [(f"n{k:04d}", rng.choice([None, *range(40)]), float(x := rng.choice([0, 5, 50])), x + 8.0) for k in range(900)]
+    items += [(f"z{k}", None, 200.0, 209.0) for k in range(5)]
+    asked = [(None if k == 3 else k % 11, float(a := rng.randint(-5, 60)), a + 9.0) for k in range(14)]
+    asked += [(20, 201.0, 202.0), (21, 900.0, 901.0), (None, 200.0, 300.0)]
+    i = spark.createDataFrame(items, "name string, day int, x0 double, x1 double")
+    r = spark.createDataFrame(asked, "request_id int, a double, b double")
+    looked_at = []
+
+    def meet(some, waiting):
+        pairs = some.join(waiting, (F.col("x0") < F.col("b")) & (F.col("a") < F.col("x1")))
+        looked_at.append(pairs.count())
+        return pairs
+
+    got = mosaic.cap_met(i, r, meet, [F.col("day").isNull(), F.col("day"), F.col("name")], 7, at_once=at_once)
+    met = {}
+    for n, day, x0, x1 in items:
+        for q, a, b in asked:
+            if x0 < b and a < x1:
+                met.setdefault(q, []).append((day is None, day or 0, n))
+    want = sorted((str(q), k + 1, p[2]) for q, found in met.items() for k, p in enumerate(sorted(found)[:7]))
+    assert sorted((str(x.request_id), x.mosaic_rank, x["name"]) for x in got.collect()) == want
+    assert (sum(looked_at) < sum(map(len, met.values())) / 2) == (len(looked_at) > 1) == (at_once == 0)
+    assert mosaic.cap_met(i.limit(0), r, meet, [F.col("name")], 7, at_once=at_once).count() == 0
+
+
 def test_new_paths_once_and_idempotent(spark):
     listing = spark.createDataFrame([("a",), ("b",), ("b",), ("c",)], "path string")
     held = spark.createDataFrame([("c",)], "path string")
