@@ -8,8 +8,10 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from geomosaic.functions import projection
 from geomosaic.operators import aggregates, blocks, bounded, catalog, mosaic, pixels, quality, spatial, timewin
 from geomosaic.operators.spatial import Box, join_boxes
+from geomosaic.plans import rastering
 from geomosaic.sources import readers, writers
 
 
@@ -235,6 +237,66 @@ def test_cap_is_planned_before_the_shuffle(spark):
     assert sorted(r.id for r in capped.collect()) == [994, 995, 996, 997, 998, 999]
 
 
+def asked_items(spark):
+    """Items and requests on a few spots; some ids come twice or are null, one request crosses the world's edge."""
+    rng = random.Random(4)
+    day = [None, *(datetime.datetime(2024, 1, d) for d in range(1, 9))]
+    world = projection.WORLD
+    items = []
+    for k in range(300):
+        x, y, size, when = rng.choice([0, 40, 41]) + rng.random(), rng.choice([0, 40, 41]) + rng.random(), rng.choice([1, 5, 5, 5, 70]), rng.choice(day)
+        items.append((f"i{k:03d}", when, when, x, y, x + size, y + size, rng.choice([None, 100.0]), rng.choice([None, 460.0])))
+    items += [("edge", day[1], day[1], world - 9, 0.0, world + 9, 9.0, None, None), ("west", None, None, -world, 0.0, -world + 5, 9.0, None, None), ("none", None, None, None, 0.0, 1.0, 1.0, None, None)]
+    asked = []
+    for k in range(60):
+        x, y, size, when = rng.uniform(-5, 60), rng.uniform(-5, 60), rng.choice([0, 3, 3, 9]), rng.choice(day)
+        asked.append((None if k == 7 else k % 55, x, y, x + size, y + size, rng.choice([30.0, 455.0, 2000.0]), when, when))
+    asked += [(None, 39.0, 39.0, 45.0, 45.0, 90.0, None, None), (90, world - 3, 1.0, world + 3, 2.0, 90.0, None, None), (91, None, 1.0, 2.0, 2.0, 90.0, None, None)]
+    i = spark.createDataFrame(items, "name string, start_date timestamp_ntz, end_date timestamp_ntz, x_min double, y_min double, x_max double, y_max double, min_ps double, max_ps double")
+    r = spark.createDataFrame(asked, "request_id long, rx_min double, ry_min double, rx_max double, ry_max double, cell double, t_from timestamp_ntz, t_to timestamp_ntz")
+    return i, r
+
+
+@pytest.mark.parametrize(("rows_per_task", "meetings"), [(200_000, 16_000_000), (200_000, 40), (60, 300), (1, 16_000_000)])
+def test_order_at_home_is_that_of_all_pairs(spark, rows_per_task, meetings):
+    i, r = asked_items(spark)
+    for order in (mosaic.by_attribute(), mosaic.by_name()):
+        # the same item twice in a request of two rows has either rank
+        want = sorted((str(x.request_id), x.mosaic_rank, x["name"]) for x in mosaic.order_items(mosaic.select_items(i, r), order).collect())
+        got = mosaic.order_selected(i, r, order, rows_per_task, meetings)
+        assert sorted((str(x.request_id), x.mosaic_rank, x["name"]) for x in got.collect()) == want
+    assert {"90", "None"} <= {w[0] for w in want}
+    assert mosaic.order_selected(i.limit(0), r, order).count() == mosaic.order_selected(i, r.limit(0), order).count() == 0
+
+
+def test_pairs_do_not_move_to_be_numbered(spark):
+    i, r = asked_items(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = mosaic.order_selected(i, r.where("request_id between 10 and 50"), mosaic.by_name())._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    steps = [line.strip(" :+-*") for line in plan.splitlines()]
+    below = steps[next(k for k, line in enumerate(steps) if line.startswith("Window ")) :]
+    first = {word: next(k for k, line in enumerate(below) if word in line) for word in ("SortMergeJoin", "Exchange")}
+    assert first["SortMergeJoin"] < first["Exchange"]
+
+
+def test_identify_moves_no_pair_to_its_block(spark, tmp_path):
+    """Points meet the blocks with their values: nothing is joined after the extent join."""
+    spark.range(1, 40).select(F.col("id").alias("c_custkey")).write.parquet(f"{tmp_path}/customer.parquet")
+    ids = spark.range(50)
+    ids.selectExpr("id as vec_id", "cast(id % 10 as int) as label", "transform(sequence(1, 64), k -> cast(k + id as float)) as embedding").write.parquet(f"{tmp_path}/embeddings.parquet")
+    ids.selectExpr("id as event_id", "id as user_id", "'view' as event_type", "1D as value", "timestamp_ntz'2024-01-01' as ts").write.parquet(f"{tmp_path}/events.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = rastering.px_identify(spark, str(tmp_path))
+        assert found._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin") == 1
+        assert found.count() > 0 and found.where("raw is null or raw % 100 <> 0").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @pytest.mark.parametrize("at_once", [16_000_000, 0])
 def test_cap_of_what_is_met_in_rounds(spark, at_once):
     """The leading items of each request, as from all pairs; the first round settles most requests."""
