@@ -6,6 +6,7 @@ and remembered as bytes; the ids of a text are the joined bytes of its pieces.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import json
 import re
@@ -62,24 +63,35 @@ def _byte_signs() -> list[str]:
 BYTE_SIGNS = _byte_signs()
 
 
+@functools.cache
+def token_bytes(path: str) -> list[bytes]:
+    """The bytes of each id of a byte-level tokenizer's file; a worker makes them once."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    vocab, added = spec["model"]["vocab"], {t["content"]: t["id"] for t in spec["added_tokens"]}
+    byte_of = {s: b for b, s in enumerate(BYTE_SIGNS)}
+    tokens = [b""] * (max([*vocab.values(), *added.values()]) + 1)
+    for token, number in vocab.items():
+        tokens[number] = bytes(byte_of[s] for s in token)
+    for token, number in added.items():
+        tokens[number] = token.encode()
+    return tokens
+
+
+@functools.cache
+def byte_tokenizer(path: str) -> ByteTokenizer:
+    """The tokenizer of a file, which a worker makes once."""
+    return ByteTokenizer(path)
+
+
 class ByteTokenizer:
-    """The byte-level tokenizer of a file: cutting, exact merging of one piece, bytes of an id."""
+    """The byte-level tokenizer of a file: cutting, and exact merging of one piece."""
 
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as file:
-            self.tokenizer = Tokenizer.from_str(text := file.read())
-        spec = json.loads(text)
-        self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.added = {t.content: number for number, t in self.tokenizer.get_added_tokens_decoder().items()}
         self._added = re.compile("|".join(map(re.escape, self.added))) if self.added else None
         self._signs = str.maketrans(dict(enumerate(BYTE_SIGNS)))
-        byte_of = {s: b for b, s in enumerate(BYTE_SIGNS)}
-        size = max([*spec["model"]["vocab"].values(), *self.added.values()]) + 1
-        #: The bytes of each id.
-        self.tokens = [b""] * size
-        for token, number in spec["model"]["vocab"].items():
-            self.tokens[number] = bytes(byte_of[s] for s in token)
-        for token, number in self.added.items():
-            self.tokens[number] = token.encode()
 
     def cut(self, text: str) -> list[str | int]:
         """Pieces of a text; an added token is its id."""

@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -17,7 +18,9 @@ import corpus_pipeline
 from compare import compare, connect
 from geomosaic.llm import (
     bpe_codec,
+    bpe_words,
     chat,
+    common,
     exact_dedup,
     fuse_filter,
     lexicon,
@@ -197,6 +200,25 @@ def test_punctuation_before_apostrophes_is_cut_as_by_the_library(spark):
     assert lengths == {k: len(ids) for k, ids in expected.items()}
 
 
+def test_lexicon_takes_the_most_frequent_pieces_without_sorting_all(spark):
+    rng = random.Random(8)
+    rows = [(f"p{k}", rng.choice([1, 1, 1, 2, 2, 3, 9])) for k in range(200)]
+    counts = spark.createDataFrame(rows, "piece string, n long").repartition(3)
+    for words in (0, 1, 30, 60, 199, 200, 500):
+        got = sorted(map(tuple, bpe_codec.most_frequent(counts, words).collect()))
+        assert got == sorted(sorted(rows, key=lambda r: (-r[1], r[0]))[:words])
+
+
+def test_codec_holds_few_bytes_at_once(spark, monkeypatch):
+    texts = ["ab " * k for k in (0, 50, 10, 400, 3, 20)]
+    batch = pa.RecordBatch.from_pydict({"ids": [t.encode() for t in texts]})
+    parts = [found for _, found in common.slices([batch], "ids", 200)]
+    assert b"".join(sum(parts, [])) == "".join(texts).encode()
+    assert all(len(p) == 1 or sum(map(len, p)) <= 200 for p in parts)
+    monkeypatch.setattr(bpe_words, "Tokenizer", None)  # bytes of ids need no tokenizer
+    assert b"".join(bpe_words.token_bytes.__wrapped__(bpe_codec.TOKENIZER)[i] for i in (39, 50256)) == b"H<|endoftext|>"
+
+
 def test_histogram_answers_every_limit(spark):
     lengths = [0, 0, 3, 3, 7, 1024, 5000, 5001, 2048]
     made = token_counts.histogram(spark.createDataFrame([(n,) for n in lengths] + [(None,)], "length long"))
