@@ -33,12 +33,16 @@ def chosen_items(items: DataFrame, requests: DataFrame, families: Mapping[str, F
     """(request_id, item_family, name, mosaic_rank): the leading items that each request shows, of its own family.
 
     ``items`` and ``requests`` as for ``mosaic.select_items``, each with a column that names the family. Requests that are too large get none.
+    The orders of ``families`` follow from the items alone, so requests meet the leading items of their family only (``mosaic.cap_met``).
     """
     asked = requests.where(~too_large() & F.col(request_family).isin(*families))
-    pairs = mosaic.select_items(items, asked).where(F.col(item_family) == F.col(request_family))
-    pairs = staged(pairs.select("request_id", item_family, "name", "start_date"), "served-pairs")
+
+    def shown(stretch: DataFrame, waiting: DataFrame) -> DataFrame:
+        return mosaic.select_items(stretch, waiting).select("request_id", item_family, "name", "_place")
+
     capped = [
-        mosaic.cap_items(pairs.where(F.col(item_family) == name), family.order(), family.cap) for name, family in families.items()
+        mosaic.cap_met(items.where(F.col(item_family) == name), asked.where(F.col(request_family) == name), shown, family.order(), family.cap)
+        for name, family in families.items()
     ]
     out = capped[0]
     for more in capped[1:]:

@@ -1,6 +1,7 @@
 """Operators on small frames: properties, edges, skew and brute force."""
 
 import datetime
+import functools
 import json
 import random
 
@@ -9,7 +10,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from geomosaic.functions import projection
-from geomosaic.operators import aggregates, blocks, bounded, catalog, mosaic, pixels, quality, spatial, timewin
+from geomosaic.operators import aggregates, blocks, bounded, catalog, mosaic, pixels, quality, serving, spatial, timewin
 from geomosaic.operators.spatial import Box, join_boxes
 from geomosaic.plans import rastering
 from geomosaic.sources import readers, writers
@@ -558,6 +559,33 @@ def test_items_from_damaged_catalog(spark):
     assert (row.x_min, row.y_min, row.center_x, row.center_y) == (1.0, None, 2.0, None)
 
 
+def test_served_items_are_met_by_leading_stretches(spark, monkeypatch):
+    rng = random.Random(9)
+    day = datetime.datetime(2024, 1, 1)
+    items, asked, met = [], [], []
+    for k in range(300):
+        x, y = rng.uniform(0, 300), rng.uniform(0, 300)
+        start = None if k % 50 == 0 else day + datetime.timedelta(hours=rng.randrange(900))
+        items.append(("AB"[k % 2], f"n{k:03}", start, start, x, y, x + 200, y + 200, None, 4.0 if k % 3 else None))
+    for k in range(40):
+        x, y = rng.uniform(0, 400), rng.uniform(0, 400)
+        t = day + datetime.timedelta(days=rng.randrange(30)) if k % 2 else None
+        asked.append((k, x, y, x + 60, y + 60, rng.choice([1.0, 5.0]), t, None, "AB"[k % 3 % 2]))
+    items = spark.createDataFrame(items, "dataset string, name string, start_date timestamp, end_date timestamp, x_min double, y_min double, x_max double, y_max double, min_ps double, max_ps double")
+    asked = spark.createDataFrame(asked, "request_id long, rx_min double, ry_min double, rx_max double, ry_max double, cell double, t_from timestamp, t_to timestamp, asked string")
+    families = {"A": serving.Family(mosaic.by_attribute, 2, lambda v: v), "B": serving.Family(mosaic.by_name, 3, lambda v: v)}
+    want = []
+    for name, family in families.items():
+        pairs = mosaic.select_items(items, asked).where((F.col("dataset") == name) & (F.col("asked") == name))
+        want += mosaic.cap_items(pairs, family.order(), family.cap).select("request_id", "dataset", "name", "mosaic_rank").collect()
+    select_items = mosaic.select_items
+    monkeypatch.setattr(mosaic, "cap_met", functools.partial(mosaic.cap_met, at_once=0))
+    monkeypatch.setattr(mosaic, "select_items", lambda i, r: met.append(i.count() * r.count()) or select_items(i, r))
+    got = serving.chosen_items(items, asked, families, "dataset", "asked").collect()
+    assert sorted(got) == sorted(want) and len(want) > 60
+    assert sum(met) < 300 * 40 / 2 / 2
+
+
 def test_window_explodes_only_what_it_keeps(spark):
     df = block(spark, [float(i) for i in range(16)], 4)
     got = pixels.explode_window(df, ["id"], (F.lit(-3), F.lit(1)), (F.lit(2), F.lit(9))).collect()
