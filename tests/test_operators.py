@@ -143,6 +143,20 @@ def test_a_hot_cell_is_cut_by_its_product(spark):
     assert len(met) == 50 and sum(met) == 2000 * 900 and max(met) < 2 * meetings
 
 
+def test_meetings_make_tasks_and_not_the_files(spark):
+    """Few rows that meet often, from one file each, are dealt to as many tasks as their meetings ask for."""
+    start, end = "timestamp_micros(id) as", "timestamp_micros(id + 50) as"
+    left = spark.range(300).coalesce(1).selectExpr("id as lid", "1.01D as x0", "1.01D as y0", "1.49D as x1", "1.49D as y1", f"{start} s", f"{end} e")
+    right = spark.range(200).coalesce(1).selectExpr("id as rid", "1.01D as u0", "1.01D as v0", "1.49D as u1", "1.49D as v1", f"{start} p", f"{end} q")
+    spots = Box("x0", "y0", "x1", "y1"), Box("u0", "v0", "u1", "v1")
+    found = join_boxes(left, right, *spots, meetings=1000)
+    assert found.rdd.getNumPartitions() >= 60 and found.count() == 300 * 200
+    spans = Box("x0", "y0", "x1", "y1", "s", "e"), Box("u0", "v0", "u1", "v1", "p", "q")
+    want = {(i, j) for i in range(300) for j in range(200) if abs(i - j) <= 50}
+    rows = join_boxes(left, right, *spans, meetings=1000).collect()
+    assert len(rows) == len(want) and {(r.lid, r.rid) for r in rows} == want
+
+
 def test_a_side_that_is_short_stays_whole(spark):
     cells = spark.range(100_000).select(F.lit(0).alias("k"))
     (hot,) = spatial.hot_cells(cells, cells.limit(3), ["k"], 10_000).collect()
