@@ -13,6 +13,7 @@ need no padding, where that costs less than padding it.
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 from collections import deque
@@ -42,8 +43,8 @@ STRIDE = 256
 #: Distinct words, or pieces of words, that a task remembers before it starts anew.
 MOST_WORDS = 400_000
 
-#: Last letters of a word that ends a sentence.
-_STOPS = (b".", b"!", b"?")
+#: Whether a byte is the last letter of a word that ends a sentence.
+_STOPS = np.isin(np.arange(256), list(b".!?"))
 #: Characters that normalizing only lower-cases, one by one: printable ASCII and composed Latin letters.
 _PLAIN = re.compile("[!-~\u00c0-\u012f\u0131-\u017e]+")
 _PLAIN_LINE = re.compile("[ -~\u00c0-\u012f\u0131-\u017e]+")
@@ -111,21 +112,30 @@ class Encoder:
         if len(self.pieces.places) > MOST_WORDS:
             self.pieces = _Table()
         split = [text.split() for text in texts]
-        found = [self.words.find(words) for words in split]
-        new = {words[k]: None for words, places in zip(split, found, strict=True) for k in np.flatnonzero(places < 0)}
-        if new:
-            self._learn(list(new))
-            for words, places in zip(split, found, strict=True):
-                missing = np.flatnonzero(places < 0)
-                places[missing] = self.words.find([words[k] for k in missing])
-        stops = np.frombuffer(self.stops, bool)
-        return [self._one(places, stops[places]) for places in found]
-
-    def _one(self, places: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        lengths = np.fromiter(map(len, split), np.int64, len(split))
+        words = list(chain.from_iterable(split))
+        places = self.words.find(words)
+        missing = places < 0
+        if missing.any():
+            again = list(compress(words, missing.tobytes()))
+            self._learn(list(dict.fromkeys(again)))
+            places[missing] = self.words.find(again)
         ids, sizes = self.words.spread(places)
-        total = len(ids)
-        at = np.unique(np.cumsum(sizes)[stops])
-        return np.append(ids, np.uint32(END_ID)), np.append(at[(at > 0) & (at < total)], total + 1)
+        ends = np.cumsum(sizes)
+        bounds = np.append(0, ends)[np.append(0, np.cumsum(lengths))]  # of each text in the ids
+        totals = np.diff(bounds)
+        stops = np.flatnonzero(np.frombuffer(self.stops, bool)[places])
+        of = np.repeat(np.arange(len(split)), lengths)[stops]
+        at = ends[stops] - bounds[of]
+        inner = (at > 0) & (at < totals[of])
+        inner[1:] &= (at[1:] != at[:-1]) | (of[1:] != of[:-1])  # a word may have no id
+        of, at = of[inner], at[inner]
+        held = np.split(at, np.searchsorted(of, np.arange(1, len(split))))
+        parts = np.split(ids, bounds[1:-1])
+        return [
+            (np.append(part, np.uint32(END_ID)), np.append(cuts, total + 1))
+            for part, cuts, total in zip(parts, held, totals.tolist(), strict=True)
+        ]
 
     def _learn(self, words: list[bytes]) -> None:
         text, other = b" ".join(words).decode(), []
@@ -142,7 +152,8 @@ class Encoder:
             ids = [e.ids for e in encoded]
             flat = np.fromiter(chain.from_iterable(ids), np.uint32)
             self.words.add(other, flat, np.fromiter(map(len, ids), np.int64, len(ids)))
-        self.stops += bytes(w.endswith(_STOPS) for w in chain(words, other))
+        letters = np.frombuffer(b" ".join(chain(words, other)) + b" ", np.uint8)
+        self.stops += _STOPS[letters[np.flatnonzero(letters == ord(" ")) - 1]].tobytes()
 
     def _merged(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of words given by their pieces, with a space between words, and how many each word has."""
@@ -160,6 +171,12 @@ class Encoder:
         return ids, np.bincount(word, sizes, minlength=between.sum() + 1).astype(np.int64)
 
 
+@functools.cache
+def encoder(path: str) -> Encoder:
+    """The encoder of a file, which a worker makes once; later tasks of it know the words of earlier ones."""
+    return Encoder(path)
+
+
 def with_strides(stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Cuts of one document and their penalties: sentence ends, and places inside long sentences."""
     starts = np.append(0, stops[:-1])
@@ -283,7 +300,7 @@ def pack(docs: DataFrame, path: str = TOKENIZER) -> DataFrame:
     """
 
     def run(batches):
-        encoder, packer = Encoder(path), Packer(TaskContext.get().partitionId() << 32)
+        encode, packer = encoder(path), Packer(TaskContext.get().partitionId() << 32)
 
         def packed(pieces):
             columns = zip(*pieces, strict=True) if pieces else ([] for _ in _NAMES)
@@ -291,7 +308,7 @@ def pack(docs: DataFrame, path: str = TOKENIZER) -> DataFrame:
 
         for part, texts in slices(batches, "text"):
             pieces = []
-            for doc_id, (ids, stops) in zip(part.column(0).to_pylist(), encoder(texts), strict=True):
+            for doc_id, (ids, stops) in zip(part.column(0).to_pylist(), encode(texts), strict=True):
                 pieces += packer.add(doc_id, ids, stops)
             yield packed(pieces)
         yield packed(packer.flush(final=True))

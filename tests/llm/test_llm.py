@@ -241,6 +241,16 @@ def test_windows_cost_the_least(spark):
         assert sum(16 - (b - a) + price[b] for a, b in zip([0, *ends], ends, strict=False)) == best[cuts[-1]]
 
 
+def test_a_worker_keeps_its_encoder_and_what_it_knows_changes_nothing():
+    texts = [(t or "").encode() for _, t in TEXTS] + [b"", b" One. two! \x0b three? ", "\u200b. A\u0301b! x".encode()]
+    kept = packing.encoder(packing.TOKENIZER)
+    assert kept is packing.encoder(packing.TOKENIZER)
+    first, again = kept(texts), kept(texts[::-1])[::-1]
+    alone = [packing.Encoder(packing.TOKENIZER)([t])[0] for t in texts[-3:]]
+    for (a, b), (c, d) in zip([*first, *first[-3:]], [*again, *alone], strict=True):
+        assert a.tolist() == c.tolist() and b.tolist() == d.tolist() and b[-1] == len(a) and (np.diff(b) > 0).all()
+
+
 def test_packing_holds_every_id_once(docs, monkeypatch):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     expected = [tokenizer.encode(t or "", add_special_tokens=False).ids + [2] for _, t in TEXTS]
