@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import random
 import re
 import zlib
@@ -363,6 +364,14 @@ def test_tree_learns_longer_contexts_and_rare_words_of_a_large_corpus(spark):
     assert suffix_tree.vocabulary(counts).symbols.tolist() == [1, 2]
 
 
+def test_what_was_sent_to_tasks_leaves_the_disk(spark):
+    place = spark.sparkContext._temp_dir
+    docs = spark.createDataFrame([(k, "a b c a b d " * 9) for k in range(20)], "doc_id long, text string")
+    before = set(os.listdir(place))
+    assert suffix_tree.scores(docs).count() == 20
+    assert set(os.listdir(place)) <= before
+
+
 def test_states_are_those_of_a_plain_count(spark):
     rng = random.Random(9)
     texts = [" ".join(rng.choices("abcd", [8, 4, 2, 1], k=rng.randrange(30))) + " a b b c" * (k % 3) for k in range(60)]
