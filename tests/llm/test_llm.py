@@ -372,6 +372,30 @@ def test_what_was_sent_to_tasks_leaves_the_disk(spark):
     assert set(os.listdir(place)) <= before
 
 
+def test_parts_of_texts_lose_no_entry(spark, monkeypatch):
+    rng = random.Random(10)
+    # the last word depends on the first, up to nine tokens before
+    phrases = [" ".join([f"s{k}{v}", *(f"f{k}{j}" for j in range(k)), f"e{k}{v}"]) for k in range(9) for v in "ab"]
+    texts = [" ".join(x for p in rng.choices(phrases, k=30) for x in (p, str(rng.randrange(10**6)))) for _ in range(20)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    words = suffix_tree.vocabulary(suffix_tree.word_counts(docs))
+    kept, parts_of = [], suffix_tree.parts_of
+
+    def watched(symbols, depth, repeated):
+        parts = parts_of(symbols, depth, repeated)
+        kept.append(parts.selectExpr("sum(length(symbols)) / 4").first()[0])
+        return parts
+
+    monkeypatch.setattr(suffix_tree, "parts_of", watched)
+    tree = suffix_tree.grow(docs, words)
+    monkeypatch.setattr(suffix_tree, "parts_of", lambda symbols, *_: symbols)
+    whole = suffix_tree.grow(docs, words)
+    assert len(tree.contexts) == len(whole.contexts) >= 9
+    for name in ("contexts", "weights", "entries", "shares"):
+        assert all(map(np.array_equal, getattr(tree, name), getattr(whole, name)))
+    assert len(kept) >= 3 and kept == sorted(kept, reverse=True) and kept[-1] < words.symbol_counts.sum() / 2
+
+
 def test_states_are_those_of_a_plain_count(spark):
     rng = random.Random(9)
     texts = [" ".join(rng.choices("abcd", [8, 4, 2, 1], k=rng.randrange(30))) + " a b b c" * (k % 3) for k in range(60)]
