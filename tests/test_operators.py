@@ -143,6 +143,40 @@ def test_a_hot_cell_is_cut_by_its_product(spark):
     assert len(met) == 50 and sum(met) == 2000 * 900 and max(met) < 2 * meetings
 
 
+@pytest.mark.parametrize("wide", ["l", "r"])
+def test_the_side_with_more_bytes_is_not_repeated(spark, wide):
+    """Rows of the wide side have one cell per level, and corners on the edges of cells are found once from either side."""
+    rng = random.Random(9)
+
+    def rows(n):
+        out = [(f"{k}", x, y, x + w, y + w) for k in range(n) for x, y, w in [(rng.randrange(-64, 64) / 2, rng.randrange(-64, 64) / 2, rng.choice([0.5, 1.0, 8.0, 3.0, 16.0]))]]
+        return out + [("far", -1e300, -1e300, 1e300, 1e300), ("dot", 2.0, 2.0, 2.0, 2.0), ("tiny", -1e-12, -1e-12, 1e-12, 1e-12)]
+
+    left, right = rows(150), rows(150)
+    (l_df, l_box), (r_df, r_box) = frame(spark, left, "l"), frame(spark, right, "r")
+    l_df, r_df = (df.withColumn(f"{p}_long", F.repeat(F.lit("x"), 500 if p == wide else 1)) for df, p in ((l_df, "l"), (r_df, "r")))
+    want = sorted((a[0], b[0]) for a in left for b in right if a[1] < b[3] and b[1] < a[3] and a[2] < b[4] and b[2] < a[4])
+    for meetings in (16_000_000, 30):
+        got = join_boxes(l_df, r_df, l_box, r_box, meetings=meetings)
+        assert sorted((x.lid, x.rid) for x in got.collect()) == want
+    l_fixed, r_fixed = spatial._fixed(l_df, l_box, "l", False), spatial._fixed(r_df, r_box, "r", False)
+    levels = spatial._levels(l_fixed, r_fixed, [])
+    of = {side: sum(x["bytes"] for x in levels if x["side"] == side) for side in "lr"}
+    assert of[wide] > max(v for k, v in of.items() if k != wide)
+    fixed, box, other = (l_fixed, l_box, "r") if wide == "l" else (r_fixed, r_box, "l")
+    placed = spatial._place(fixed, box, wide, [x for x in levels if x["side"] == other], [], True)
+    assert placed.groupBy(f"{wide}id", "_level").count().where("count > 1").count() == 0
+
+
+def test_rectangles_do_not_grow_with_the_meetings(spark, monkeypatch):
+    """With more meetings in all, a rectangle takes more of them, so rows are not repeated more often."""
+    monkeypatch.setattr(spatial, "MOST_CUT", 20)
+    same = spark.range(2000).selectExpr("id as lid", "1.01D as x0", "1.01D as y0", "1.49D as x1", "1.49D as y1")
+    other = spark.range(900).selectExpr("id as rid", "1.01D as u0", "1.01D as v0", "1.49D as u1", "1.49D as v1")
+    found = join_boxes(same, other, Box("x0", "y0", "x1", "y1"), Box("u0", "v0", "u1", "v1"), meetings=1000)
+    assert found.rdd.getNumPartitions() <= 20 and found.distinct().count() == 2000 * 900
+
+
 def test_meetings_make_tasks_and_not_the_files(spark):
     """Few rows that meet often, from one file each, are dealt to as many tasks as their meetings ask for."""
     start, end = "timestamp_micros(id) as", "timestamp_micros(id + 50) as"
@@ -297,6 +331,23 @@ def test_pairs_do_not_move_to_be_numbered(spark):
     assert first["SortMergeJoin"] < first["Exchange"]
 
 
+def test_items_are_written_once_to_be_numbered(spark, monkeypatch):
+    """Items are stored without their homes, of which each has several, and slices get tasks of their own."""
+    written = {}
+
+    def staged(df, name):
+        out = bounded.staged(df, name)
+        written.setdefault(name, []).append(out.count() if "x_min" in out.columns else 0)
+        return out
+
+    i, r = asked_items(spark)
+    r = r.where("request_id between 10 and 50")
+    monkeypatch.setattr(mosaic, "staged", staged)
+    found = mosaic.order_selected(i, r, mosaic.by_name(), meetings=10)
+    assert sum(map(sum, written.values())) == i.count()
+    assert found.rdd.getNumPartitions() > 100 and found.count() == mosaic.select_items(i, r).count()
+
+
 def test_identify_moves_no_pair_to_its_block(spark, tmp_path):
     """Points meet the blocks with their values: nothing is joined after the extent join."""
     spark.range(1, 40).select(F.col("id").alias("c_custkey")).write.parquet(f"{tmp_path}/customer.parquet")
