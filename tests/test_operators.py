@@ -197,6 +197,15 @@ def test_a_side_that_is_short_stays_whole(spark):
     assert (hot["_nl"], hot["_nr"]) == (30, 1)
 
 
+def test_slices_of_long_rows_are_short(spark):
+    """Rows of 100 times the bytes are repeated a tenth as often as if both sides counted the same."""
+    counted = spark.createDataFrame([(0, 100_000, 100_000)], "k int, l long, r long")
+    (hot,) = spatial.slices_of(counted, ["k"], 10_000, 100.0).collect()
+    assert (hot["_nl"], hot["_nr"]) == (10_000, 100)
+    (hot,) = spatial.slices_of(counted, ["k"], 10_000, 0.01).collect()
+    assert (hot["_nl"], hot["_nr"]) == (100, 10_000)
+
+
 def test_boxes_that_are_none_are_told_with_a_reason(spark):
     inf, nan = float("inf"), float("nan")
     rows = [("ok", 0.0, 0.0, 1.0, 1.0), ("inf", 0.0, 0.0, inf, 1.0), ("low", -inf, 0.0, 1.0, 1.0), ("nan", 0.0, nan, 1.0, 1.0),
