@@ -197,6 +197,15 @@ def test_a_side_that_is_short_stays_whole(spark):
     assert (hot["_nl"], hot["_nr"]) == (30, 1)
 
 
+def test_a_side_of_one_file_is_spread_by_all_cores(spark, tmp_path):
+    """The rows that become several each are dealt out first, however few their files are."""
+    spark.range(300).coalesce(1).selectExpr("id as lid", "1.01D as x0", "1.01D as y0", "1.49D as x1", "1.49D as y1").write.parquet(f"{tmp_path}/one")
+    one = spark.read.parquet(f"{tmp_path}/one").withColumn("_row", F.monotonically_increasing_id())
+    cores = spark.sparkContext.defaultParallelism
+    spread = spatial._spread_out(one)
+    assert one.rdd.getNumPartitions() < cores == spread.rdd.getNumPartitions() and spread.count() == 300
+
+
 def test_slices_of_long_rows_are_short(spark):
     """Rows of 100 times the bytes are repeated a tenth as often as if both sides counted the same."""
     counted = spark.createDataFrame([(0, 100_000, 100_000)], "k int, l long, r long")
